@@ -45,7 +45,7 @@ SCORE_DIGITS = 9
 class SearchIndex:
     """Stored tables behind a search.
 
-    ``documents(doc_id, <fields>)``; ``texts(field, text_id, hot, rare)`` with the terms of each
+    ``documents(doc_id, <all fields>)``; ``texts(field, text_id, hot, rare)`` with the terms of each
     distinct text and their term-frequency factor; ``terms(field, term, idf, is_hot)``;
     ``text_documents(field, text_id, doc_id)`` with the first documents of each text.
     """
@@ -142,7 +142,7 @@ def build_index(documents: DataFrame, fields: Sequence[str] = FIELDS, hot_texts:
     first_documents = first_per_group(_as_rows(documents, fields), ["field", "text"], [F.col("doc_id")], PAGE_SIZE)
     text_id = F.min("doc_id").over(Window.partitionBy("field", "text"))
     return SearchIndex(
-        documents=documents.select("doc_id", *fields),
+        documents=documents.select("doc_id", *FIELDS),
         texts=materialize(bags, "bags"),
         terms=terms,
         text_documents=materialize(first_documents.select("field", text_id.alias("text_id"), "doc_id"), "text-documents"),
