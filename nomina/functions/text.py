@@ -102,7 +102,7 @@ def _suffix_pattern() -> str:
     """Anchored tail: any run of (separator, organisation term), then trailing punctuation."""
     terms = sorted(ORGANISATION_SUFFIXES, key=lambda t: (-len(t), t))
     alternatives = "|".join(_literal_pattern(t) for t in terms)
-    return rf"(?i)(?:[^{WORD}]+(?:{alternatives})\.?)*[^{WORD}.]*$"
+    return rf"(?i)(?:[^{WORD}]+(?:{alternatives})\.?)*[^{WORD}.]*\z"
 
 
 SUFFIX_PATTERN = _suffix_pattern()

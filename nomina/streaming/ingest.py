@@ -3,9 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from nomina.sources.store import CompanyStore, split_complete
+from nomina.sources.store import COMPANY_FIELDS, CompanyStore, split_complete
+
+
+def first_of_each_name(records: DataFrame) -> DataFrame:
+    """One record per ``normalized_name``: the smallest, so a repeated batch keeps the same one."""
+    rest = F.struct(*(c for c in COMPANY_FIELDS if c != "normalized_name"))
+    return records.groupBy("normalized_name").agg(F.min(rest).alias("_rest")).select("normalized_name", "_rest.*")
 
 
 def stream_into(
@@ -30,7 +37,7 @@ def stream_into(
         if check_exists:
             others = store.read_without(load)
             if mode == "exact":
-                complete = complete.dropDuplicates(["normalized_name"])
+                complete = first_of_each_name(complete)
             complete = store.absent(complete, mode, others)
         store.append(complete, load)
         if quarantine is not None:
