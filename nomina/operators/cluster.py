@@ -30,14 +30,17 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def _is_star_forest(edges: DataFrame) -> bool:
     """True when every name has one parent and no parent has a parent itself."""
-    parents = edges.groupBy("a").agg(F.count("*").alias("n"))
-    if not parents.filter(F.col("n") > 1).isEmpty():
-        return False
-    return edges.join(edges.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty()
+    roles = edges.select(F.col("a").alias("name"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionAll(
+        edges.select("b", F.lit(0), F.lit(1))
+    )
+    seen = roles.groupBy("name").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return seen.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """``(name, cluster_id)`` for all names in ``edges(name_1, name_2)``; the id is the smallest name.
+def components(edges: DataFrame, names: DataFrame | None = None, max_rounds: int = 100) -> DataFrame:
+    """``(name, cluster_id)`` for all ``names(name)``, by default those in ``edges(name_1, name_2)``.
+
+    The id is the smallest name of the component; names without an edge are their own.
 
     Alternates large-star and small-star passes (Kiveris et al., 2014). A pass is an
     aggregation with partial minima and an equi-join against one row per name, so a
@@ -46,23 +49,22 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """
     a, b = F.greatest("name_1", "name_2"), F.least("name_1", "name_2")
     links = edges.filter(F.col("name_1") != F.col("name_2")).select(a.alias("a"), b.alias("b")).distinct()
+    links = materialize(links, "components")
     for _ in range(max_rounds):
-        links = materialize(_small_star(_large_star(links).distinct()).distinct(), "components")
+        links = materialize(_small_star(_large_star(links)).distinct(), "components")
         if _is_star_forest(links):
             break
     else:
         raise RuntimeError(f"no fixed point after {max_rounds} rounds")
     members = links.select(F.col("a").alias("name"), F.col("b").alias("cluster_id"))
-    names = distinct_names(edges)
+    names = distinct_names(edges) if names is None else names
     return names.join(members, "name", "left").select("name", F.coalesce("cluster_id", "name").alias("cluster_id"))
 
 
 def name_clusters(pairs: DataFrame) -> DataFrame:
     """Cluster of every name of a labelled pair table; names without duplicates are clusters of one."""
     duplicates = pairs.filter(F.col("is_duplicate") == 1).select("name_1", "name_2")
-    # A name is its own neighbour, so names without a duplicate stay in.
-    alone = distinct_names(pairs).select(F.col("name").alias("name_1"), F.col("name").alias("name_2"))
-    return components(duplicates.unionByName(alone))
+    return components(duplicates, distinct_names(pairs))
 
 
 def cluster_sizes(clusters: DataFrame) -> DataFrame:

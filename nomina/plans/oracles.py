@@ -212,7 +212,7 @@ PAIR_FEATURES = [
     """oriented AS (SELECT no, kind, partial, CASE WHEN length(x) <= length(y) THEN x ELSE y END AS a,
          CASE WHEN length(x) <= length(y) THEN y ELSE x END AS y FROM compared)""",
     """windows AS (SELECT no, kind, partial, a, y, CASE WHEN partial THEN
-         unnest(list_transform(range(1, greatest(length(y) - length(a), 0) + 2), lambda i: substr(y, i, length(a)))) ELSE y END AS b
+         unnest(CASE WHEN a = '' THEN [y] ELSE list_transform(range(1, length(y) - length(a) + 2), lambda i: substr(y, i, length(a))) END) ELSE y END AS b
        FROM oriented WHERE partial UNION ALL SELECT no, kind, partial, a, y, y FROM oriented WHERE NOT partial)""",
     *lcs("windows"),
     f"""scores AS (SELECT no, kind, max(CASE WHEN w.a = w.y THEN 100 ELSE {ratio("w.a", "w.b", "l.m")} END) AS r
