@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nomina.functions.text import WORD, strip, words
@@ -210,41 +210,43 @@ def _ints(values: np.ndarray) -> pa.Array:
     return pa.array(values, type=pa.int32())
 
 
+def _arrow(function, returns: str):
+    # Marked nondeterministic so that a filter on the result does not run the function a second time.
+    return F.arrow_udf(function, returns).asNondeterministic()
+
+
 def _ratio_function(matcher: str):
     ratio, _ = _matcher(matcher)
 
-    @F.arrow_udf("int")
     def ratio_of(a: pa.Array, b: pa.Array) -> pa.Array:
         return _ints(ratio(a, b))
 
-    return ratio_of
+    return _arrow(ratio_of, "int")
 
 
 def _partial_function(matcher: str):
     _, partial = _matcher(matcher)
 
-    @F.arrow_udf("int")
     def partial_of(a: pa.Array, b: pa.Array) -> pa.Array:
         return _ints(partial(a, b))
 
-    return partial_of
+    return _arrow(partial_of, "int")
 
 
 def _token_set_function(matcher: str):
     ratio, _ = _matcher(matcher)
 
-    @F.arrow_udf("int")
-    def token_set_of(common: pa.Array, left: pa.Array, right: pa.Array) -> pa.Array:
-        return _ints(_token_set(ratio, common, left, right))
+    def token_set_of(p1: pa.Array, p2: pa.Array, common: pa.Array, left: pa.Array, right: pa.Array) -> pa.Array:
+        empty = (_length(p1) == 0) | (_length(p2) == 0)
+        return _ints(np.where(empty, 0, _token_set(ratio, common, left, right)))
 
-    return token_set_of
+    return _arrow(token_set_of, "int")
 
 
 def _all_function(matcher: str, blended: bool):
     ratio, partial = _matcher(matcher)
     fields = RATIO_FIELDS if blended else RATIO_FIELDS[:-1]
 
-    @F.arrow_udf(", ".join(f"{name} int" for name in fields))
     def ratios_of(
         a: pa.Array, b: pa.Array, p1: pa.Array, p2: pa.Array, sorted1: pa.Array, sorted2: pa.Array,
         common: pa.Array, left: pa.Array, right: pa.Array,
@@ -259,7 +261,7 @@ def _all_function(matcher: str, blended: bool):
             )
         return pa.StructArray.from_arrays([_ints(c) for c in columns], names=list(fields))
 
-    return ratios_of
+    return _arrow(ratios_of, ", ".join(f"{name} int" for name in fields))
 
 
 # --- Native preparation ----------------------------------------------------------
@@ -273,19 +275,31 @@ def processed(c: Column) -> Column:
     return strip(F.lower(F.regexp_replace(kept, f"[^{WORD}]", " ")))
 
 
-def sorted_words(c: Column) -> Column:
-    return F.array_join(F.array_sort(words(c)), " ")
+def _processed_words(p: Column) -> Column:
+    """Tokens of a processed text, which has no white space but blanks."""
+    return F.array_remove(F.split(p, " "), "")
 
 
-def token_set_parts(p1: Column, p2: Column) -> tuple[Column, Column, Column]:
-    """Sorted common tokens, and the same followed by the tokens only one side has."""
-    w1, w2 = words(p1), words(p2)
-    common = F.array_join(F.array_sort(F.array_intersect(w1, w2)), " ")
+def _joined(tokens: Column) -> Column:
+    return F.array_join(F.sort_array(tokens), " ")
 
-    def with_rest(own: Column, other: Column) -> Column:
-        return F.btrim(F.concat_ws(" ", common, F.array_join(F.array_sort(F.array_except(own, other)), " ")))
 
-    return common, with_rest(w1, w2), with_rest(w2, w1)
+def _with_token_parts(df: DataFrame, a: Column, b: Column) -> DataFrame:
+    """Add the strings token scores compare, under names starting with ``_``.
+
+    Step by step: each intermediate value has a column of its own, so Spark computes it
+    once instead of once per use.
+    """
+    df = df.withColumns({"_p1": processed(a), "_p2": processed(b)})
+    df = df.withColumns({"_w1": _processed_words(F.col("_p1")), "_w2": _processed_words(F.col("_p2"))})
+    df = df.withColumns(
+        {
+            "_common": _joined(F.array_intersect("_w1", "_w2")),
+            "_only1": _joined(F.array_except("_w1", "_w2")),
+            "_only2": _joined(F.array_except("_w2", "_w1")),
+        }
+    )
+    return df.withColumns({side: F.btrim(F.concat_ws(" ", "_common", only)) for side, only in (("_left", "_only1"), ("_right", "_only2"))})
 
 
 # --- Public similarities ----------------------------------------------------------
@@ -304,37 +318,39 @@ def partial_ratio(a: Column, b: Column, matcher: str = "indel") -> Column:
 
 
 def token_sort_ratio(a: Column, b: Column, matcher: str = "indel") -> Column:
-    return _ratio_function(matcher)(sorted_words(processed(a)), sorted_words(processed(b)))
-
-
-def token_set_ratio(a: Column, b: Column, matcher: str = "indel") -> Column:
-    """0 when either side has no word characters."""
-    p1, p2 = processed(a), processed(b)
-    score = _token_set_function(matcher)(*token_set_parts(p1, p2))
-    return F.when((p1 != "") & (p2 != ""), score).otherwise(0)
+    return _ratio_function(matcher)(_joined(_processed_words(processed(a))), _joined(_processed_words(processed(b))))
 
 
-def wratio(a: Column, b: Column, matcher: str = "indel") -> Column:
-    return ratios(a, b, matcher)["wratio"]
+def with_token_set_ratio(df: DataFrame, a: Column, b: Column, name: str = "token_set_ratio", matcher: str = "indel") -> DataFrame:
+    """Add the token-set ratio; 0 when either side has no word characters."""
+    parts = _with_token_parts(df, a, b)
+    score = _token_set_function(matcher)("_p1", "_p2", "_common", "_left", "_right")
+    return parts.select(*df.columns, score.alias(name))
 
 
-def ratios(a: Column, b: Column, matcher: str = "indel", blended: bool = True) -> Column:
-    """Struct of all ratios; the strings cross to Python once."""
-    p1, p2 = processed(a), processed(b)
+def with_ratios(df: DataFrame, a: Column, b: Column, matcher: str = "indel", blended: bool = True) -> DataFrame:
+    """Add all ratios; the strings cross to Python once. The blended one can be left out."""
+    parts = _with_token_parts(df, a, b).withColumns({"_s1": _joined(F.col("_w1")), "_s2": _joined(F.col("_w2"))})
     call = _all_function(matcher, blended)
-    return call(a, b, p1, p2, sorted_words(p1), sorted_words(p2), *token_set_parts(p1, p2))
+    scores = call(a, b, *(F.col(c) for c in ("_p1", "_p2", "_s1", "_s2", "_common", "_left", "_right")))
+    names = RATIO_FIELDS if blended else RATIO_FIELDS[:-1]
+    return parts.select(*df.columns, scores.alias("_ratios")).select(
+        *df.columns, *(F.col(f"_ratios.{name}").alias(name) for name in names)
+    )
 
 
-def subs_ratio(a: Column, b: Column) -> Column:
+def shared_share(w1: Column, w2: Column) -> Column:
     """Share of tokens found on the other side, both ways, repeats counted; NULL without any token."""
-    w1, w2 = words(a), words(b)
 
     def found(own: Column, other: Column) -> Column:
         return F.size(F.filter(own, lambda t: F.array_contains(other, t)))
 
-    return F.try_divide(
-        (found(w1, w2) + found(w2, w1)).cast("double"), (F.size(w1) + F.size(w2)).cast("double")
-    )
+    return F.try_divide((found(w1, w2) + found(w2, w1)).cast("double"), (F.size(w1) + F.size(w2)).cast("double"))
+
+
+def subs_ratio(a: Column, b: Column) -> Column:
+    """Share of tokens of two texts found on the other side, 0 to 1."""
+    return shared_share(words(a), words(b))
 
 
 def damerau_within(a: Column, b: Column, limit: int) -> Column:

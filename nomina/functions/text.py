@@ -185,7 +185,7 @@ def normalize(c: Column, extract_entity: Callable[[Column], Column] | None = Non
 
 def words(c: Column) -> Column:
     """Tokens between runs of white space."""
-    return F.filter(F.split(strip(c), f"[{WHITESPACE}]+"), lambda t: t != "")
+    return F.array_remove(F.split(strip(c), f"[{WHITESPACE}]+"), "")
 
 
 def index_terms(c: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nomina.functions import similarity
-from nomina.functions.text import capitalize, normalize
+from nomina.functions.text import capitalize, normalize, words
 from nomina.operators.ranking import take_slice, with_position
 from nomina.session import materialize
 
@@ -82,14 +82,10 @@ def company_frame(
 def pair_features(pairs: DataFrame, matcher: str = "indel", blended: bool = True) -> DataFrame:
     """All similarity features of each pair."""
     a, b = F.col("name_1"), F.col("name_2")
-    scored = pairs.withColumn("_ratios", similarity.ratios(a, b, matcher, blended))
-    names = similarity.RATIO_FIELDS if blended else similarity.RATIO_FIELDS[:-1]
-    return scored.select(
-        *pairs.columns,
-        similarity.levenshtein(a, b).alias("levenshtein"),
-        *(F.col(f"_ratios.{name}").alias(name) for name in names),
-        similarity.subs_ratio(a, b).alias("subs_ratio"),
-    )
+    scored = similarity.with_ratios(pairs, a, b, matcher, blended)
+    split = scored.withColumns({"_w1": words(a), "_w2": words(b)})
+    shared = similarity.shared_share(F.col("_w1"), F.col("_w2"))
+    return split.withColumns({"levenshtein": similarity.levenshtein(a, b), "subs_ratio": shared}).drop("_w1", "_w2")
 
 
 def _weighted(weights: Mapping[str, float]) -> list[Column]:

@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nomina.functions.similarity import token_set_ratio
+from nomina.functions.similarity import with_token_set_ratio
 from nomina.functions.text import index_terms, normalize, percent_decode
 from nomina.operators.fuzzyterms import similar_terms
 from nomina.operators.ranking import first_per_group
@@ -163,7 +163,7 @@ def _hot_score(weights: Column, bag: Column) -> Column:
         w = F.filter(weights, lambda x: x["term"] == entry["term"])
         return total + F.coalesce(F.get(w, F.lit(0))["weight"] * entry["factor"], F.lit(0.0))
 
-    return F.aggregate(bag, F.lit(0.0), gain)
+    return F.when((F.size(weights) > 0) & (F.size(bag) > 0), F.aggregate(bag, F.lit(0.0), gain)).otherwise(0.0)
 
 
 def _profiles(index: SearchIndex, queries: DataFrame, fuzziness: int) -> DataFrame:
@@ -295,8 +295,9 @@ def search(
         F.min(F.struct(field_no.alias("f"), F.col("hit_rank").alias("r"))).alias("place"),
     )
     # The score depends on query and key only, so it is computed once per merged match.
-    with_query = merged.join(distinct, "query_no")
-    scored = with_query.withColumn("score", token_set_ratio(F.col("query"), F.col("match_key"), matcher) / 100)
+    named = merged.join(distinct, "query_no")
+    rated = with_token_set_ratio(named, F.col("query"), F.col("match_key"), matcher=matcher)
+    scored = rated.withColumn("score", F.col("token_set_ratio") / 100)
     order = Window.partitionBy("query").orderBy(F.desc("score"), "place")
     matches = scored.filter(F.col("score") > least_score).select(
         "query", F.row_number().over(order).alias("position"), "match_key", "score", "payload.*"
