@@ -3,20 +3,28 @@
 Per query and field the ten best documents by BM25 are found, relevant ones kept,
 collapsed by their shortest name and merged over the fields.
 
-Three things keep the work in proportion to queries and documents:
+What keeps the work in proportion to queries and documents:
 
 * equal query strings are searched once, and documents with equal text in a field are
   one *text* that stands for its first ten documents;
 * a query meets a text through the terms they share, never by pairing them all;
 * terms found in very many texts are *hot* and get no postings. What they add to a score
-  travels with the few hot terms of a text and of a query. Texts that share nothing but
-  hot terms with a query are grouped by their hot terms, and queries likewise, and only
-  the groups meet - and only where the best score such a text can reach is not below the
-  tenth best already found. The result is the exact ten best either way.
+  travels with the few hot terms of a text and of a query.
+
+Texts that share nothing but hot terms with a query are found in steps, each exact:
+
+1. sharing one hot term: the ten best texts of that term are all that can place;
+2. sharing several, only where the best score such a text can reach is not below the tenth
+   best found so far: pairs of hot terms have postings of their own;
+3. where even a pair is in very many texts, texts with the same hot terms form a group, of
+   which the ten shortest texts are all that can place, and groups take the place of texts.
+
+Queries with the same hot terms and weights go through these steps as one.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -37,24 +45,37 @@ K1, B = 1.2, 0.75
 LEAST_ENGINE_SCORE = 0.01
 LEAST_SCORE = 0.3
 
+_BAG = "array<struct<term:string,tf:int>>"
 FEWEST_HOT_TEXTS = 1000  # no term found in fewer texts is hot
 SCORE_DIGITS = 9
 
 
+@dataclass(frozen=True)
+class FieldStatistics:
+    """What ranking needs to know about a field; a handful of numbers per field."""
+
+    n_docs: int
+    mean_length: float
+    hot_texts: int
+
+
 @dataclass(frozen=True)
 class SearchIndex:
     """Stored tables behind a search.
 
-    ``documents(doc_id, <all fields>)``; ``texts(field, text_id, hot, rare)`` with the terms of each
-    distinct text and their term-frequency factor; ``terms(field, term, idf, is_hot)``;
-    ``text_documents(field, text_id, doc_id)`` with the first documents of each text.
+    ``documents(doc_id, <all fields>)``; ``texts(field, text_id, norm, hot, rare)`` with the
+    ``(term, tf)`` of each distinct text and its length norm; ``terms(field, term, idf,
+    ceiling, is_hot)``; ``best_texts(field, term, text_id, norm, hot)`` with the ten best texts of each
+    hot term; ``text_documents(field, text_id, doc_id)`` with the first documents of each text.
     """
 
     documents: DataFrame
     texts: DataFrame
     terms: DataFrame
+    best_texts: DataFrame
     text_documents: DataFrame
     fields: tuple[str, ...]
+    statistics: dict[str, FieldStatistics]
 
 
 def _as_rows(documents: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -69,19 +90,23 @@ def _term_counts(terms: Column) -> Column:
     )
 
 
-def term_statistics(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Per field: documents, mean length, texts. Per field and term: documents and texts with it."""
-    per_field = texts.groupBy("field").agg(
-        F.sum("n_docs").alias("n_field_docs"),
+def field_statistics(texts: DataFrame) -> DataFrame:
+    """Per field: documents, mean length and texts."""
+    return texts.groupBy("field").agg(
+        F.sum("n_docs").alias("n_docs"),
         (F.sum(F.col("n_docs") * F.col("length")) / F.sum("n_docs")).alias("mean_length"),
-        F.count("*").alias("n_field_texts"),
+        F.count("*").alias("n_texts"),
     )
-    per_term = (
-        texts.select("field", "n_docs", F.inline("counts"))
-        .groupBy("field", "term")
-        .agg(F.sum("n_docs").alias("df"), F.count("*").alias("n_texts"))
+
+
+def term_statistics(texts: DataFrame, statistics: dict[str, FieldStatistics]) -> DataFrame:
+    """Per field and term: documents and texts with it, its inverse document frequency and highest factor."""
+    terms = texts.select("field", "n_docs", _norm(statistics).alias("norm"), F.inline("counts"))
+    counted = terms.groupBy("field", "term").agg(
+        F.sum("n_docs").alias("df"), F.count("*").alias("n_texts"), F.max(factor(F.col("tf"), F.col("norm"))).alias("ceiling")
     )
-    return per_field, per_term
+    n, df = _per_field({f: x.n_docs for f, x in statistics.items()}), F.col("df")
+    return counted.withColumn("idf", F.log1p((n - df + 0.5) / (df + 0.5)))
 
 
 def distinct_texts(documents: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
@@ -95,8 +120,30 @@ def distinct_texts(documents: DataFrame, fields: Sequence[str] = FIELDS) -> Data
     )
 
 
-def inverse_document_frequency(n_docs: Column, df: Column) -> Column:
-    return F.log1p((n_docs - df + 0.5) / (df + 0.5))
+def _per_field(values: dict[str, float]) -> Column:
+    """A number that depends on the field, as a constant lookup."""
+    out = F.lit(None).cast("double")
+    for name, value in values.items():
+        out = F.when(F.col("field") == name, F.lit(float(value))).otherwise(out)
+    return out
+
+
+def factor(tf: Column, norm: Column) -> Column:
+    """What one term of a text adds to a score, before its weight; falls as the text gets longer."""
+    return (K1 + 1) * tf / (tf + norm)
+
+
+def _norm(statistics: dict[str, FieldStatistics]) -> Column:
+    share = F.col("length") / _per_field({f: x.mean_length for f, x in statistics.items()})
+    return K1 * (1 - B + B * share)
+
+
+def collect_statistics(texts: DataFrame, hot_texts: int | None = None) -> dict[str, FieldStatistics]:
+    def limit(n_texts: int) -> int:
+        return hot_texts if hot_texts is not None else max(FEWEST_HOT_TEXTS, math.isqrt(n_texts))
+
+    rows = field_statistics(texts).collect()  # one row per searched field
+    return {row.field: FieldStatistics(row.n_docs, row.mean_length, limit(row.n_texts)) for row in rows}
 
 
 def build_index(documents: DataFrame, fields: Sequence[str] = FIELDS, hot_texts: int | None = None) -> SearchIndex:
@@ -110,43 +157,41 @@ def build_index(documents: DataFrame, fields: Sequence[str] = FIELDS, hot_texts:
     if "doc_id" not in documents.columns:
         documents = materialize(documents.withColumn("doc_id", F.monotonically_increasing_id()), "documents")
     texts = materialize(distinct_texts(documents, fields), "texts")
-    per_field, per_term = term_statistics(texts)
-    per_field = F.broadcast(materialize(per_field, "field-statistics"))  # one row per searched field
-    limit = F.lit(hot_texts) if hot_texts is not None else F.greatest(F.lit(FEWEST_HOT_TEXTS), F.sqrt("n_field_texts"))
-    terms = materialize(
-        per_term.join(per_field, "field").select(
-            "field",
-            "term",
-            inverse_document_frequency(F.col("n_field_docs"), F.col("df")).alias("idf"),
-            (F.col("n_texts") > limit).alias("is_hot"),
-        ),
-        "terms",
-    )
-    tf, length_share = F.col("tf"), F.col("length") / F.col("mean_length")
-    factor = (K1 + 1) * tf / (tf + K1 * (1 - B + B * length_share))
-    occurrences = (
-        texts.join(per_field, "field")
-        .select("field", "text_id", "length", "mean_length", F.inline("counts"))
-        .select("field", "text_id", "term", factor.alias("factor"))
-    )
-    hot = terms.filter("is_hot").select("field", "term", F.lit(True).alias("is_hot"))
-    entry = F.struct("term", "factor")
-    bags = (
-        occurrences.join(hot, ["field", "term"], "left")
-        .groupBy("field", "text_id")
-        .agg(
-            F.sort_array(F.collect_list(F.when(F.col("is_hot"), entry))).alias("hot"),
-            F.collect_list(F.when(F.col("is_hot").isNull(), entry)).alias("rare"),
+    statistics = collect_statistics(texts, hot_texts)
+    is_hot = F.col("n_texts") > _per_field({f: x.hot_texts for f, x in statistics.items()})
+    terms = term_statistics(texts, statistics).select("field", "term", "idf", "ceiling", is_hot.alias("is_hot"))
+    terms = materialize(terms, "terms")
+    norm = _norm(statistics).alias("norm")
+    if terms.filter("is_hot").isEmpty():
+        bags = texts.select("field", "text_id", norm, F.array().cast(_BAG).alias("hot"), F.col("counts").alias("rare"))
+    else:
+        hot = terms.filter("is_hot").select("field", "term", "is_hot")
+        occurrences = texts.select("field", "text_id", norm, F.inline("counts"))
+        entry = F.struct("term", "tf")
+        bags = (
+            occurrences.join(hot, ["field", "term"], "left")
+            .groupBy("field", "text_id")
+            .agg(
+                F.first("norm").alias("norm"),
+                F.sort_array(F.collect_list(F.when(F.col("is_hot"), entry))).alias("hot"),
+                F.collect_list(F.when(F.col("is_hot").isNull(), entry)).alias("rare"),
+            )
         )
+    bags = materialize(bags, "bags")
+    of_hot_terms = bags.select("field", "text_id", "norm", "hot", F.inline("hot"))
+    best_texts = first_per_group(
+        of_hot_terms, ["field", "term"], [F.desc(factor(F.col("tf"), F.col("norm"))), F.col("text_id")], PAGE_SIZE
     )
     first_documents = first_per_group(_as_rows(documents, fields), ["field", "text"], [F.col("doc_id")], PAGE_SIZE)
     text_id = F.min("doc_id").over(Window.partitionBy("field", "text"))
     return SearchIndex(
         documents=documents.select("doc_id", *FIELDS),
-        texts=materialize(bags, "bags"),
+        texts=bags,
         terms=terms,
+        best_texts=materialize(best_texts.drop("tf"), "best-texts"),
         text_documents=materialize(first_documents.select("field", text_id.alias("text_id"), "doc_id"), "text-documents"),
         fields=tuple(fields),
+        statistics=statistics,
     )
 
 
@@ -156,12 +201,12 @@ def _check_fields(fields: Sequence[str]) -> None:
         raise ValueError(f"fields must be among {FIELDS}, not {sorted(unknown)}")
 
 
-def _hot_score(weights: Column, bag: Column) -> Column:
+def _hot_score(weights: Column, bag: Column, norm: Column) -> Column:
     """Sum over hot terms that a query (weights) and a text (bag) share."""
 
     def gain(total: Column, entry: Column) -> Column:
         w = F.filter(weights, lambda x: x["term"] == entry["term"])
-        return total + F.coalesce(F.get(w, F.lit(0))["weight"] * entry["factor"], F.lit(0.0))
+        return total + F.coalesce(F.get(w, F.lit(0))["weight"] * factor(entry["tf"], norm), F.lit(0.0))
 
     return F.when((F.size(weights) > 0) & (F.size(bag) > 0), F.aggregate(bag, F.lit(0.0), gain)).otherwise(0.0)
 
@@ -174,13 +219,13 @@ def _profiles(index: SearchIndex, queries: DataFrame, fuzziness: int) -> DataFra
     weighted = (
         tokens.join(reached, "token")
         .join(index.terms, "term")
-        .groupBy("query_no", "field", "term", "is_hot", "idf")
+        .groupBy("query_no", "field", "term", "is_hot", "idf", "ceiling")
         .agg((F.sum(F.col("tf") * F.col("weight")) * F.col("idf")).alias("weight"))
     )
-    entry = F.struct("term", "weight")
+    rare, hot = F.struct("term", "weight"), F.struct("term", "weight", "ceiling")
     return weighted.groupBy("query_no", "field").agg(
-        F.sort_array(F.collect_list(F.when(F.col("is_hot"), entry))).alias("hot"),
-        F.collect_list(F.when(~F.col("is_hot"), entry)).alias("rare"),
+        F.sort_array(F.collect_list(F.when(F.col("is_hot"), hot))).alias("hot"),
+        F.collect_list(F.when(~F.col("is_hot"), rare)).alias("rare"),
     )
 
 
@@ -189,12 +234,12 @@ def _best(scored: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
 
 
 def _by_rare_terms(index: SearchIndex, profiles: DataFrame) -> DataFrame:
-    wanted = profiles.select("query_no", "field", F.col("hot").alias("hot_weights"), F.inline("rare"))
-    postings = index.texts.select("field", "text_id", F.col("hot").alias("hot_bag"), F.inline("rare"))
+    wanted = profiles.select("query_no", "field", F.col("hot").alias("weights"), F.inline("rare"))
+    postings = index.texts.select("field", "text_id", "norm", F.col("hot").alias("bag"), F.inline("rare"))
     met = wanted.join(postings, ["field", "term"]).select(
         "query_no", "field", "text_id",
-        (F.col("weight") * F.col("factor")).alias("gain"),
-        _hot_score(F.col("hot_weights"), F.col("hot_bag")).alias("hot_score"),
+        (F.col("weight") * factor(F.col("tf"), F.col("norm"))).alias("gain"),
+        _hot_score(F.col("weights"), F.col("bag"), F.col("norm")).alias("hot_score"),
     )
     # Partitioned by query and field once, for both the sum and the ranking.
     summed = met.repartition("query_no", "field").groupBy("query_no", "field", "text_id")
@@ -202,38 +247,75 @@ def _by_rare_terms(index: SearchIndex, profiles: DataFrame) -> DataFrame:
     return _best(scored, ["query_no", "field"], "text_id")
 
 
-def _by_hot_terms(index: SearchIndex, profiles: DataFrame, found: DataFrame) -> DataFrame:
-    """Best texts that share only hot terms with a query, where such texts can still place."""
-    reachable = F.aggregate("hot", F.lit(0.0), lambda s, x: s + x["weight"] * F.lit(K1 + 1))
-    floor = found.groupBy("query_no", "field").agg(F.count("*").alias("n"), F.min("engine_score").alias("lowest"))
-    open_queries = (
-        profiles.filter(F.size("hot") > 0)
-        .select("query_no", "field", F.col("hot").alias("weights"), reachable.alias("reachable"))
-        .join(floor, ["query_no", "field"], "left")
-        .filter(F.col("n").isNull() | (F.col("n") < PAGE_SIZE) | (F.col("reachable") >= F.col("lowest")))
-        .select("query_no", "field", "weights")
-    )
-    query_groups = open_queries.select("field", "weights").distinct()
-    hot_texts = index.texts.filter(F.size("hot") > 0).select("field", "text_id", F.col("hot").alias("bag"))
-    # The first texts of a group of equal hot terms are the only ones that can place.
-    text_groups = (
-        first_per_group(hot_texts, ["field", "bag"], [F.col("text_id")], PAGE_SIZE)
-        .groupBy("field", "bag")
-        .agg(F.sort_array(F.collect_list("text_id")).alias("text_ids"))
+def _scored(met: DataFrame) -> DataFrame:
+    """Best texts per group of queries, from groups and texts that met through hot terms."""
+    score = F.round(_hot_score(F.col("weights"), F.col("bag"), F.col("norm")), SCORE_DIGITS)
+    found = met.select("field", "weights", "text_id", score.alias("engine_score")).distinct()
+    return _best(found, ["field", "weights"], "text_id")
+
+
+def _by_one_hot_term(index: SearchIndex, groups: DataFrame) -> DataFrame:
+    best = index.best_texts.withColumnRenamed("hot", "bag")
+    return _scored(groups.select("field", "weights", F.explode("weights.term").alias("term")).join(best, ["field", "term"]))
+
+
+def _term_pairs(terms: Column) -> Column:
+    """All pairs of a sorted array of terms; texts and queries have few hot terms each."""
+    return F.flatten(
+        F.transform(
+            terms,
+            lambda a, i: F.transform(
+                F.slice(terms, i + 2, F.size(terms)), lambda b: F.struct(a.alias("first"), b.alias("second"))
+            ),
+        )
     )
-    left = query_groups.select("field", "weights", F.explode("weights.term").alias("term"))
-    right = text_groups.select("field", "bag", "text_ids", F.explode("bag.term").alias("term"))
-    first_shared = F.get(F.array_sort(F.array_intersect("weights.term", "bag.term")), F.lit(0))
-    met = left.join(right, ["field", "term"]).filter(F.col("term") == first_shared)
-    scored = met.select(
-        "field", "weights", "text_ids",
-        F.round(_hot_score(F.col("weights"), F.col("bag")), SCORE_DIGITS).alias("engine_score"),
-        F.col("text_ids")[0].alias("first_text"),
-    )
-    groups = _best(scored, ["field", "weights"], "first_text")
-    texts = groups.select("field", "weights", "engine_score", F.explode("text_ids").alias("text_id"))
-    best = _best(texts, ["field", "weights"], "text_id")
-    return open_queries.join(best, ["field", "weights"]).select("query_no", "field", "text_id", "engine_score")
+
+
+def _by_several_hot_terms(index: SearchIndex, groups: DataFrame) -> DataFrame:
+    groups = groups.select("field", "weights", F.explode(_term_pairs(F.col("weights.term"))).alias("pair"))
+    wanted = groups.select("field", "pair").distinct()
+    texts = index.texts.filter(F.size("hot") > 1).select("field", "text_id", "norm", F.col("hot").alias("bag"))
+    paired = texts.withColumn("pair", F.explode(_term_pairs(F.col("bag.term")))).join(wanted, ["field", "pair"], "left_semi")
+    sizes = paired.groupBy("field", "pair").agg(F.count("*").alias("n"))
+    limit = _per_field({f: x.hot_texts for f, x in index.statistics.items()})
+    is_hot = materialize(sizes.select("field", "pair", (F.col("n") > limit).alias("is_hot")), "hot-pairs")
+    # A group and a text meet once: at the first two hot terms they share.
+    shared = F.array_sort(F.array_intersect("weights.term", "bag.term"))
+    once = (F.col("pair.first") == shared[0]) & (F.col("pair.second") == shared[1])
+
+    cold = paired.join(is_hot.filter(~F.col("is_hot")), ["field", "pair"], "left_semi")
+    by_pair = groups.join(cold, ["field", "pair"]).filter(once).select("field", "weights", "text_id", "norm", "bag")
+
+    # Texts with the same hot terms, equally often, differ in length only: the shorter, the better.
+    hot_pairs = is_hot.filter("is_hot").select("field", "pair")
+    first_texts = first_per_group(texts, ["field", "bag"], [F.col("norm"), F.col("text_id")], PAGE_SIZE)
+    alike = first_texts.groupBy("field", "bag").agg(F.collect_list(F.struct("text_id", "norm")).alias("members"))
+    alike = alike.withColumn("pair", F.explode(_term_pairs(F.col("bag.term")))).join(hot_pairs, ["field", "pair"], "left_semi")
+    by_group = groups.join(alike, ["field", "pair"]).filter(once).select("field", "weights", "bag", F.inline("members"))
+    return _scored(by_pair.unionByName(by_group))
+
+
+def _with_hot_terms(index: SearchIndex, profiles: DataFrame, by_rare: DataFrame) -> DataFrame:
+    """Complete the best texts with those that share only hot terms with a query."""
+    with_hot = profiles.filter(F.size("hot") > 0).select("query_no", "field", F.col("hot").alias("weights"))
+
+    def merged(found: DataFrame, groups: DataFrame) -> DataFrame:
+        of_queries = with_hot.join(groups, ["field", "weights"]).select(*found.columns)
+        # A text found both ways has its full score, the larger one, from its rare terms.
+        both = found.unionByName(of_queries).groupBy("query_no", "field", "text_id")
+        return _best(both.agg(F.max("engine_score").alias("engine_score")), ["query_no", "field"], "text_id")
+
+    groups = with_hot.select("field", "weights").distinct()
+    found = materialize(merged(by_rare, _by_one_hot_term(index, groups)), "found")
+    reachable = F.aggregate("weights", F.lit(0.0), lambda s, x: s + x["weight"] * x["ceiling"])
+    tenth = found.groupBy("query_no", "field").agg(F.count("*").alias("n"), F.min("engine_score").alias("lowest"))
+    # Rounded up by one unit, like the scores it is compared with may have been.
+    undecided = (F.col("n") < PAGE_SIZE) | (reachable + 10.0**-SCORE_DIGITS >= F.col("lowest"))
+    still_open = with_hot.filter(F.size("weights") > 1).join(tenth, ["query_no", "field"]).filter(undecided)
+    open_groups = materialize(still_open.select("field", "weights").distinct(), "open-groups")
+    if open_groups.isEmpty():
+        return found
+    return merged(found, _by_several_hot_terms(index, open_groups))
 
 
 def field_hits(index: SearchIndex, queries: DataFrame, fuzziness: int = 1) -> DataFrame:
@@ -245,15 +327,8 @@ def field_hits(index: SearchIndex, queries: DataFrame, fuzziness: int = 1) -> Da
         raise ValueError(f"fuzziness must be one of {FUZZINESS}, not {fuzziness!r}")
     profiles = materialize(_profiles(index, queries, fuzziness), "profiles")
     texts = _by_rare_terms(index, profiles)
-    if not index.terms.filter("is_hot").isEmpty():
-        texts = materialize(texts, "found")
-        both = texts.unionByName(_by_hot_terms(index, profiles, texts))
-        # A text found both ways has its full score in the first part.
-        texts = _best(
-            both.groupBy("query_no", "field", "text_id").agg(F.max("engine_score").alias("engine_score")),
-            ["query_no", "field"],
-            "text_id",
-        )
+    if not index.best_texts.isEmpty():
+        texts = _with_hot_terms(index, profiles, texts)
     ranked = Window.partitionBy("query_no", "field").orderBy(F.desc("engine_score"), "doc_id")
     documents = texts.join(index.text_documents, ["field", "text_id"])
     return (

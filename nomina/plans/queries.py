@@ -267,11 +267,9 @@ def _index(spark: SparkSession, sf_dir: str) -> search.SearchIndex:
 
 
 def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = search.distinct_texts(inputs.company(spark, sf_dir))
-    per_field, per_term = search.term_statistics(materialize(texts, "texts"))
-    joined = per_term.join(F.broadcast(per_field), "field")  # one row per field
-    idf = search.inverse_document_frequency(F.col("n_field_docs"), F.col("df"))
-    return joined.select("field", "term", "df", F.round(idf, 6).alias("idf"))
+    texts = materialize(search.distinct_texts(inputs.company(spark, sf_dir)), "texts")
+    terms = search.term_statistics(texts, search.collect_statistics(texts))
+    return _rounded(terms.select("field", "term", "df", "idf"), "idf")
 
 
 def _search(spark: SparkSession, sf_dir: str, fuzziness: int) -> DataFrame:
