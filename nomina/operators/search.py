@@ -201,12 +201,15 @@ def _check_fields(fields: Sequence[str]) -> None:
         raise ValueError(f"fields must be among {FIELDS}, not {sorted(unknown)}")
 
 
+def _weight_map(hot: str) -> Column:
+    return F.map_from_arrays(F.col(f"{hot}.term"), F.col(f"{hot}.weight"))
+
+
 def _hot_score(weights: Column, bag: Column, norm: Column) -> Column:
-    """Sum over hot terms that a query (weights) and a text (bag) share."""
+    """Sum over hot terms that a query (map of weights) and a text (bag) share."""
 
     def gain(total: Column, entry: Column) -> Column:
-        w = F.filter(weights, lambda x: x["term"] == entry["term"])
-        return total + F.coalesce(F.get(w, F.lit(0))["weight"] * factor(entry["tf"], norm), F.lit(0.0))
+        return total + F.coalesce(F.try_element_at(weights, entry["term"]) * factor(entry["tf"], norm), F.lit(0.0))
 
     return F.when((F.size(weights) > 0) & (F.size(bag) > 0), F.aggregate(bag, F.lit(0.0), gain)).otherwise(0.0)
 
@@ -234,7 +237,7 @@ def _best(scored: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
 
 
 def _by_rare_terms(index: SearchIndex, profiles: DataFrame) -> DataFrame:
-    wanted = profiles.select("query_no", "field", F.col("hot").alias("weights"), F.inline("rare"))
+    wanted = profiles.select("query_no", "field", _weight_map("hot").alias("weights"), F.inline("rare"))
     postings = index.texts.select("field", "text_id", "norm", F.col("hot").alias("bag"), F.inline("rare"))
     met = wanted.join(postings, ["field", "term"]).select(
         "query_no", "field", "text_id",
@@ -250,13 +253,14 @@ def _by_rare_terms(index: SearchIndex, profiles: DataFrame) -> DataFrame:
 def _scored(met: DataFrame) -> DataFrame:
     """Best texts per group of queries, from groups and texts that met through hot terms."""
     score = F.round(_hot_score(F.col("weights"), F.col("bag"), F.col("norm")), SCORE_DIGITS)
-    found = met.select("field", "weights", "text_id", score.alias("engine_score")).distinct()
-    return _best(found, ["field", "weights"], "text_id")
+    found = met.select("field", "group_no", "text_id", score.alias("engine_score")).distinct()
+    return _best(found, ["field", "group_no"], "text_id")
 
 
 def _by_one_hot_term(index: SearchIndex, groups: DataFrame) -> DataFrame:
     best = index.best_texts.withColumnRenamed("hot", "bag")
-    return _scored(groups.select("field", "weights", F.explode("weights.term").alias("term")).join(best, ["field", "term"]))
+    terms = groups.select("field", "group_no", _weight_map("hot").alias("weights"), F.explode("hot.term").alias("term"))
+    return _scored(terms.join(best, ["field", "term"]))
 
 
 def _term_pairs(terms: Column) -> Column:
@@ -272,7 +276,8 @@ def _term_pairs(terms: Column) -> Column:
 
 
 def _by_several_hot_terms(index: SearchIndex, groups: DataFrame) -> DataFrame:
-    groups = groups.select("field", "weights", F.explode(_term_pairs(F.col("weights.term"))).alias("pair"))
+    pairs = F.explode(_term_pairs(F.col("hot.term"))).alias("pair")
+    groups = groups.select("field", "group_no", _weight_map("hot").alias("weights"), F.col("hot.term").alias("terms"), pairs)
     wanted = groups.select("field", "pair").distinct()
     texts = index.texts.filter(F.size("hot") > 1).select("field", "text_id", "norm", F.col("hot").alias("bag"))
     paired = texts.withColumn("pair", F.explode(_term_pairs(F.col("bag.term")))).join(wanted, ["field", "pair"], "left_semi")
@@ -280,42 +285,48 @@ def _by_several_hot_terms(index: SearchIndex, groups: DataFrame) -> DataFrame:
     limit = _per_field({f: x.hot_texts for f, x in index.statistics.items()})
     is_hot = materialize(sizes.select("field", "pair", (F.col("n") > limit).alias("is_hot")), "hot-pairs")
     # A group and a text meet once: at the first two hot terms they share.
-    shared = F.array_sort(F.array_intersect("weights.term", "bag.term"))
+    shared = F.sort_array(F.array_intersect("terms", "bag.term"))
     once = (F.col("pair.first") == shared[0]) & (F.col("pair.second") == shared[1])
 
     cold = paired.join(is_hot.filter(~F.col("is_hot")), ["field", "pair"], "left_semi")
-    by_pair = groups.join(cold, ["field", "pair"]).filter(once).select("field", "weights", "text_id", "norm", "bag")
+    by_pair = groups.join(cold, ["field", "pair"]).filter(once).select("field", "group_no", "weights", "text_id", "norm", "bag")
 
     # Texts with the same hot terms, equally often, differ in length only: the shorter, the better.
     hot_pairs = is_hot.filter("is_hot").select("field", "pair")
     first_texts = first_per_group(texts, ["field", "bag"], [F.col("norm"), F.col("text_id")], PAGE_SIZE)
     alike = first_texts.groupBy("field", "bag").agg(F.collect_list(F.struct("text_id", "norm")).alias("members"))
     alike = alike.withColumn("pair", F.explode(_term_pairs(F.col("bag.term")))).join(hot_pairs, ["field", "pair"], "left_semi")
-    by_group = groups.join(alike, ["field", "pair"]).filter(once).select("field", "weights", "bag", F.inline("members"))
-    return _scored(by_pair.unionByName(by_group))
+    by_group = groups.join(alike, ["field", "pair"]).filter(once).select("field", "group_no", "weights", "bag", F.inline("members"))
+    columns = ["field", "group_no", "weights", "text_id", "norm", "bag"]
+    return _scored(by_pair.select(columns).unionAll(by_group.select(columns)))
 
 
 def _with_hot_terms(index: SearchIndex, profiles: DataFrame, by_rare: DataFrame) -> DataFrame:
     """Complete the best texts with those that share only hot terms with a query."""
-    with_hot = profiles.filter(F.size("hot") > 0).select("query_no", "field", F.col("hot").alias("weights"))
-
-    def merged(found: DataFrame, groups: DataFrame) -> DataFrame:
-        of_queries = with_hot.join(groups, ["field", "weights"]).select(*found.columns)
+    # Queries with equal hot terms and weights in a field are one group, known by its first query.
+    with_hot = profiles.filter(F.size("hot") > 0).select("query_no", "field", "hot")
+    groups = with_hot.groupBy("field", "hot").agg(F.min("query_no").alias("group_no"))
+    grouped = materialize(with_hot.join(groups, ["field", "hot"]), "query-groups")
+    heads = grouped.filter(F.col("query_no") == F.col("group_no")).drop("query_no")
+
+    def merged(found: DataFrame, of_groups: DataFrame) -> DataFrame:
+        members = grouped.select("query_no", "field", "group_no")
+        of_queries = members.join(of_groups, ["field", "group_no"]).select(*found.columns)
         # A text found both ways has its full score, the larger one, from its rare terms.
         both = found.unionByName(of_queries).groupBy("query_no", "field", "text_id")
         return _best(both.agg(F.max("engine_score").alias("engine_score")), ["query_no", "field"], "text_id")
 
-    groups = with_hot.select("field", "weights").distinct()
-    found = materialize(merged(by_rare, _by_one_hot_term(index, groups)), "found")
-    reachable = F.aggregate("weights", F.lit(0.0), lambda s, x: s + x["weight"] * x["ceiling"])
+    found = materialize(merged(by_rare, _by_one_hot_term(index, heads)), "found")
+    reachable = F.aggregate("hot", F.lit(0.0), lambda s, x: s + x["weight"] * x["ceiling"])
     tenth = found.groupBy("query_no", "field").agg(F.count("*").alias("n"), F.min("engine_score").alias("lowest"))
     # Rounded up by one unit, like the scores it is compared with may have been.
     undecided = (F.col("n") < PAGE_SIZE) | (reachable + 10.0**-SCORE_DIGITS >= F.col("lowest"))
-    still_open = with_hot.filter(F.size("weights") > 1).join(tenth, ["query_no", "field"]).filter(undecided)
-    open_groups = materialize(still_open.select("field", "weights").distinct(), "open-groups")
-    if open_groups.isEmpty():
+    still_open = grouped.filter(F.size("hot") > 1).join(tenth, ["query_no", "field"]).filter(undecided)
+    open_groups = still_open.select("field", "group_no").distinct()
+    open_heads = materialize(heads.join(open_groups, ["field", "group_no"]), "open-groups")
+    if open_heads.isEmpty():
         return found
-    return merged(found, _by_several_hot_terms(index, open_groups))
+    return merged(found, _by_several_hot_terms(index, open_heads))
 
 
 def field_hits(index: SearchIndex, queries: DataFrame, fuzziness: int = 1) -> DataFrame:
