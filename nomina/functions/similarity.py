@@ -82,7 +82,7 @@ def _advance(table, pattern_row, symbols, start, size, words_per_row):
 def _lcs(patterns: _Texts, row: np.ndarray, texts: _Texts, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """LCS of ``patterns[row]`` with slices of the text buffer, for all comparisons."""
     result = np.zeros(len(row), dtype=np.int64)
-    if not len(row):
+    if not len(row) or not len(patterns.codes) or not len(texts.codes):
         return result
     alphabet, ids = np.unique(np.concatenate([patterns.codes, texts.codes]), return_inverse=True)
     pattern_ids, symbols = ids[: len(patterns.codes)], ids[len(patterns.codes) :]
