@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -37,6 +37,11 @@ def _code_point(c: Column) -> Column:
     return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(c), 8, "0")), "UTF-32"))
 
 
+def _once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` computed once, however often it is used: worth it for expressions over whole pages."""
+    return F.transform(F.array(c), use)[0]
+
+
 def unescape(c: Column) -> Column:
     """Resolve named, decimal and hexadecimal character references."""
     # A map held as text is one foldable literal instead of one expression per entity.
@@ -53,9 +58,12 @@ def unescape(c: Column) -> Column:
         rest = F.substring(piece, F.length(name) + 2, F.lit(2**31 - 1))
         return F.when((name != "") & char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
 
-    pieces = F.split(c, "&")
-    tail = F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), resolve)
-    return F.when(c.contains("&"), F.concat(pieces[0], F.array_join(tail, ""))).otherwise(c)
+    def resolve_all(text: Column) -> Column:
+        pieces = F.split(text, "&")
+        tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), resolve)
+        return F.when(text.contains("&"), F.concat(pieces[0], F.array_join(tail, ""))).otherwise(text)
+
+    return _once(c, resolve_all)
 
 
 def title(html: Column) -> Column:
@@ -72,7 +80,7 @@ def result_links(html: Column) -> Column:
     """First link of every search hit that also has a heading and a description, in page order."""
     blocks = F.split(html, f"(?is){RESULT_BLOCK}")
     hits = F.filter(
-        F.slice(blocks, F.lit(2), F.greatest(F.size(blocks) - 1, F.lit(0))),
+        F.slice(blocks, F.lit(2), F.size(blocks)),
         lambda b: b.rlike(_HREF) & b.rlike(RESULT_HEADING) & b.rlike(RESULT_DESCRIPTION),
     )
     return F.transform(hits, lambda b: unescape(F.regexp_extract(b, _HREF, 1)))

@@ -77,7 +77,7 @@ def entity_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Titles cut down to the first known name in them; known are the longest words of all titles."""
     t = inputs.titles(spark, sf_dir)
     gazetteer = t.select(inputs.longest_word(F.col("title")).alias("name"))
-    return enrich.replace_by_entity(t.select("page_id", "title"), "title", gazetteer, max_words=2)
+    return enrich.replace_by_entity(t.select("page_id", "title"), "page_id", "title", gazetteer, max_words=2)
 
 
 def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
