@@ -33,9 +33,16 @@ def _key(size: Column, segment: Column, text: Column) -> Column:
     return F.struct(size.cast("int").alias("size"), segment.cast("int").alias("segment"), text.alias("text"))
 
 
-def _segment_bounds(size: Column, segment: int, pieces: int) -> tuple[Column, Column]:
-    start = F.floor(size * segment / pieces) + 1
-    return start, F.floor(size * (segment + 1) / pieces) + 1 - start
+def _segment(text: Column, size: Column, segment: Column, pieces: int, shift: Column | None = None) -> Column:
+    """Piece number ``segment`` of a term of ``size`` characters, read from ``text`` that many places further on.
+
+    NULL where it would reach beyond the text.
+    """
+    start = F.floor(size * segment / pieces).cast("int") + 1
+    end = F.floor(size * (segment + 1) / pieces).cast("int")
+    at = start if shift is None else start + shift
+    fits = (at >= 1) & (at + end - start <= F.length(text))
+    return F.when(fits, _key(size, segment, F.substring(text, at, end + 1 - start)))
 
 
 def _variant_keys(s: Column, limit: int) -> Column:
@@ -49,28 +56,27 @@ def _no_keys() -> Column:
 def _term_keys(term: Column, limit: int) -> Column:
     pieces = 2 * limit + 1
     n = F.length(term)
-    segments = []
-    for i in range(pieces):
-        start, size = _segment_bounds(n, i, pieces)
-        segments.append(_key(n, F.lit(i), F.substring(term, start, size)))
-    return F.when(n <= LONGEST_FOR_VARIANTS, _variant_keys(term, limit)).otherwise(F.array(*segments))
+    segments = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: _segment(term, n, i, pieces))
+    return F.when(n <= LONGEST_FOR_VARIANTS, _variant_keys(term, limit)).otherwise(segments)
 
 
 def _token_keys(token: Column, limit: int) -> Column:
     pieces = 2 * limit + 1
     n = F.length(token)
-    segments = []
-    for grown in range(-limit, limit + 1):
-        size = n + grown
-        for i in range(pieces):
-            start, length = _segment_bounds(size, i, pieces)
-            for shift in range(-limit, limit + 1):
-                at = start + shift
-                fits = (at >= 1) & (at + length - 1 <= n) & (size > LONGEST_FOR_VARIANTS)
-                segments.append(F.when(fits, _key(size, F.lit(i), F.substring(token, at, length))))
-    by_variant = F.when(n <= LONGEST_FOR_VARIANTS + limit, _variant_keys(token, limit)).otherwise(_no_keys())
-    by_segment = F.when(n > LONGEST_FOR_VARIANTS - limit, F.array_compact(F.array(*segments))).otherwise(_no_keys())
-    return F.concat(by_variant, by_segment)
+    drift = F.sequence(F.lit(-limit), F.lit(limit))
+
+    def of_size(size: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                F.sequence(F.lit(0), F.lit(pieces - 1)),
+                lambda i: F.transform(drift, lambda shift: _segment(token, size, i, pieces, shift)),
+            )
+        )
+
+    sizes = F.filter(F.transform(drift, lambda d: n + d), lambda size: size > LONGEST_FOR_VARIANTS)
+    segments = F.array_compact(F.flatten(F.transform(sizes, of_size)))
+    variants = F.when(n <= LONGEST_FOR_VARIANTS + limit, _variant_keys(token, limit)).otherwise(_no_keys())
+    return F.concat(variants, segments)
 
 
 def similar_terms(tokens: DataFrame, vocabulary: DataFrame, limit: int) -> DataFrame:

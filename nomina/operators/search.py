@@ -336,7 +336,7 @@ def field_hits(index: SearchIndex, queries: DataFrame, fuzziness: int = 1) -> Da
     """
     if fuzziness not in FUZZINESS:
         raise ValueError(f"fuzziness must be one of {FUZZINESS}, not {fuzziness!r}")
-    profiles = materialize(_profiles(index, queries, fuzziness), "profiles")
+    profiles = materialize(_profiles(index, queries, fuzziness), "profiles", spread_by="query_no")
     texts = _by_rare_terms(index, profiles)
     if not index.best_texts.isEmpty():
         texts = _with_hot_terms(index, profiles, texts)

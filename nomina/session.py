@@ -32,9 +32,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once to the scratch folder and return the stored table."""
+def materialize(df: DataFrame, label: str, spread_by: str | None = None) -> DataFrame:
+    """Write ``df`` once to the scratch folder and return the stored table.
+
+    ``spread_by`` keeps as many parts as there are shuffle partitions, for small tables
+    whose rows the next step multiplies.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    if spread_by is not None:
+        df = df.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), spread_by)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
