@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ENCODED_LENGTH = 255  # fixed value: ids per name
@@ -20,8 +21,6 @@ def build_vocabulary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     Characters are made distinct per task before the shuffle; what is ranked in one
     place is bounded by the number of Unicode characters, never by the rows.
     """
-    from pyspark.sql import Window
-
     chars = (
         df.select(F.explode(F.array(*columns)).alias("name"))
         .select(F.explode(F.array_distinct(characters(F.col("name")))).alias("ch"))
@@ -50,14 +49,14 @@ class Encoder:
         self.on_long = on_long
         self.unknown_id = unknown_id
         self.padding_id = max(self.ids.values(), default=-1) + 1
-        by_code_point = [""] * (max((ord(ch) for ch in self.ids), default=0) + 1)
+        by_code_point = ["-1"] * (max((ord(ch) for ch in self.ids), default=0) + 1)
         for ch, i in self.ids.items():
             by_code_point[ord(ch)] = str(i)
         self._by_code_point = ",".join(by_code_point)
 
     def _id(self, ch: Column) -> Column:
-        table = F.transform(F.split(F.lit(self._by_code_point), ","), lambda x: F.nullif(x, F.lit("")).cast("int"))
-        known = F.get(table, F.ascii(ch))
+        table = F.split(F.lit(self._by_code_point), ",").cast("array<int>")  # folds to one constant
+        known = F.nullif(F.get(table, F.ascii(ch)), F.lit(-1))
         if self.unknown_id is not None:
             return F.coalesce(known, F.lit(self.unknown_id))
         return F.coalesce(known, F.raise_error(F.concat(F.lit("character not in the vocabulary: "), ch)).cast("int"))
@@ -85,6 +84,4 @@ class Encoder:
 
 
 def _json(ids: dict[str, int]) -> str:
-    import json
-
     return json.dumps(ids)

@@ -144,15 +144,12 @@ def verdict(score: Column, above: float = SAME_NAME_FROM) -> Column:
 
 
 def random_split(pairs: DataFrame, test_percent: int = 33, seed: int = 69, key: str = "pair_id") -> DataFrame:
-    """Add ``split`` from a hash of the key: the same row always lands in the same part."""
-    bucket = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
+    """Add ``split`` from a hash of seed and key: a row lands in the same part in every run and every engine."""
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
     return pairs.withColumn("split", F.when(bucket < test_percent, "test").otherwise("train"))
 
 
-def _class_sizes(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("is_duplicate").agg(F.count("*").alias("n"))
-
-
 def balanced_split(pairs: DataFrame, share: float = 0.2) -> DataFrame:
     """Add ``split``: as many negatives as positives for testing, the rest for training.
 

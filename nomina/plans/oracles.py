@@ -247,6 +247,16 @@ PAIR_SCORES = [
 
 # --- Search -----------------------------------------------------------------------------------
 
+# Edit distance with adjacent transpositions: fold over the token's characters, keeping the last two rows.
+OSA = """list_reduce(list_transform(range(1, length(token) + 1), lambda i: [[i]]),
+    lambda rows, e: [rows[2], list_reduce(list_transform(range(1, length(term) + 1), lambda j: [j]),
+      lambda row, f: list_append(row, least(row[len(row)] + 1, rows[2][f[1] + 1] + 1,
+        rows[2][f[1]] + CASE WHEN substr(token, e[1][1], 1) = substr(term, f[1], 1) THEN 0 ELSE 1 END,
+        CASE WHEN e[1][1] > 1 AND f[1] > 1 AND substr(token, e[1][1], 1) = substr(term, f[1] - 1, 1)
+               AND substr(token, e[1][1] - 1, 1) = substr(term, f[1], 1) THEN rows[1][f[1] - 1] + 1 ELSE 1000 END)),
+      [e[1][1]])],
+    [range(0, 0), range(0, length(term) + 1)])[2][length(term) + 1]"""
+
 FIELD_NO = {"company_name": 1, "company_url": 2, "normalized_name": 3, "query_string": 4}
 
 
@@ -259,6 +269,14 @@ def search(queries: str, fuzziness: int = 1, fields: tuple[str, ...] = tuple(FIE
     shortest = "list_sort([{'n': length(v), 'i': i, 'v': v} FOR v, i IN [company_name, company_url, normalized_name, query_string] IF v <> ''])[1].v"
     if fuzziness == 0:
         near = "SELECT token, term, 1.0::DOUBLE AS weight FROM tokens JOIN vocabulary ON term = token"
+    elif fuzziness == 2:
+        # Folding letters to ASCII never adds edits, so the built-in byte distance of the folded words leaves out no pair.
+        ascii_of = "regexp_replace(strip_accents({0}), '[^\\x00-\\x7f]', '?', 'g')"
+        near = f"""SELECT token, term, 1 - d / least(length(token), length(term))::DOUBLE AS weight FROM (
+             SELECT token, term, {OSA} AS d FROM (SELECT token, {ascii_of.format("token")} AS t1 FROM tokens)
+             JOIN (SELECT term, {ascii_of.format("term")} AS t2 FROM vocabulary)
+               ON abs(length(token) - length(term)) <= 2 AND damerau_levenshtein(t1, t2) <= 2)
+           WHERE d = 0 OR (d <= 2 AND d < least(length(token), length(term)))"""
     else:
         near = """SELECT token, term, CASE WHEN token = term THEN 1.0 ELSE 1 - 1.0 / least(length(token), length(term)) END::DOUBLE AS weight
            FROM (SELECT token, term, list_filter(range(1, length(token) + 1), lambda i: substr(token, i, 1) <> substr(term, i, 1)) AS off
@@ -406,6 +424,13 @@ def _oracles() -> dict[str, str]:
     sql["page_links"] = links
     sql["first_page_links"] = f"SELECT * FROM ({links}) WHERE position < 2"
 
+    sql["result_links"] = "SELECT page_id, 0 AS position, url AS link FROM pages"
+    sql["record_lookup"] = with_(
+        [TITLES, COMPANY, CANDIDATE_PAGES, "asked AS (SELECT DISTINCT url FROM candidate_pages UNION ALL SELECT 'https://none/' || s_name FROM supplier)"],
+        """SELECT url, coalesce(company_name, '') AS company_name, coalesce(company_url, '') AS company_url, '' AS query_string,
+          coalesce(normalized_name, '') AS normalized_name FROM asked LEFT JOIN company ON company_url = url""",
+    )
+
     negative = "negatives AS (SELECT *, (row_number() OVER (ORDER BY pair_id) - 1) // 1000 AS chunk_id FROM name_pairs WHERE is_duplicate = 0)"
     stacked = "stacked AS (SELECT chunk_id, name_1 AS name FROM negatives UNION ALL SELECT chunk_id, name_2 FROM negatives)"
     for key, chunk in (("bulk_load_frame", ""), ("bulk_load_chunks", "chunk_id, ")):
@@ -418,6 +443,10 @@ def _oracles() -> dict[str, str]:
         [TITLES, NAME_PAIRS],
         "SELECT name_1, name_2, is_duplicate FROM name_pairs UNION SELECT name_2, name_1, is_duplicate FROM name_pairs",
     )
+    sql["distinct_names"] = with_([TITLES, NAME_PAIRS], "SELECT name_1 AS name FROM name_pairs UNION SELECT name_2 FROM name_pairs")
+    sql["swapped_pairs"] = with_([TITLES, NAME_PAIRS], "SELECT pair_id, name_2 AS name_1, name_1 AS name_2, is_duplicate FROM name_pairs")
+    sql["pair_slice"] = with_([TITLES, NAME_PAIRS], "SELECT * FROM name_pairs WHERE is_duplicate = 0 ORDER BY pair_id OFFSET 100")
+    sql["pairs_csv"] = with_([TITLES, NAME_PAIRS], "SELECT * FROM name_pairs")
     sql["pair_features"] = with_(
         PAIR_FEATURES,
         """SELECT pair_id, is_duplicate, levenshtein, ratio, partial_ratio, token_sort_ratio, token_set_ratio, wratio,
@@ -437,6 +466,10 @@ def _oracles() -> dict[str, str]:
     )
     sql["kfold"] = with_([TITLES, NAME_PAIRS, *folds()], "SELECT pair_id, is_duplicate, CAST(fold AS INTEGER) AS fold FROM folded")
 
+    sql["random_split"] = with_(
+        [TITLES, NAME_PAIRS],
+        "SELECT pair_id, CASE WHEN CAST('0x' || substr(md5('69:' || pair_id), 1, 8) AS BIGINT) % 100 < 33 THEN 'test' ELSE 'train' END AS split FROM name_pairs",
+    )
     sql["confusion"] = with_(PAIR_SCORES, "SELECT is_duplicate AS label, prediction, count(*) AS n FROM predicted GROUP BY ALL")
     counts = """counts AS (SELECT count(*) FILTER (is_duplicate = 1 AND prediction = 1) AS tp, count(*) FILTER (is_duplicate = 0 AND prediction = 1) AS fp,
       count(*) FILTER (is_duplicate = 1 AND prediction = 0) AS fn, count(*) FILTER (is_duplicate = 0 AND prediction = 0) AS tn FROM predicted)"""
@@ -525,6 +558,18 @@ def _oracles() -> dict[str, str]:
         [TITLES, COMPANY, QUERY_NAMES, *search("query_names", 0)],
         "SELECT field, term, df, round(ln(1 + (n - df + 0.5) / (df + 0.5)), 6) AS idf FROM dfs JOIN field_stats USING (field)",
     )
+    sql["fuzzy_terms"] = with_(
+        [TITLES, COMPANY, QUERY_NAMES, *search("query_names", 1)], "SELECT token, term, round(weight, 6) AS weight FROM near"
+    )
+    sql["bulk_loaded_store"] = sql["bulk_load_frame"]
+    sql["restored_store"] = with_([TITLES, COMPANY], "SELECT company_name, company_url, query_string, normalized_name FROM company")
+    sql["validated_payloads"] = with_(
+        [TITLES, COMPANY], "SELECT company_name, true AS valid FROM company UNION ALL SELECT s_name, false FROM supplier"
+    )
+    sql["fuzzy_terms_two_edits"] = with_(
+        [TITLES, COMPANY, QUERY_NAMES, *search("query_names", 2)], "SELECT token, term, round(weight, 6) AS weight FROM near"
+    )
+    sql["fuzzy_search_two_edits"] = search_query(2)
     sql["fuzzy_search"] = search_query(1)
     sql["fuzzy_search_exact"] = search_query(0)
     base = [TITLES, COMPANY, QUERY_NAMES]

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from nomina.functions import markup, text
 from nomina.functions.encoding import Encoder, build_vocabulary, max_length
-from nomina.functions.similarity import RATIO_FIELDS
 from nomina.operators import cluster, enrich, evaluate, models, pairs, search, transformers, tune
-from nomina.operators.ranking import with_position
+from nomina.operators.fuzzyterms import similar_terms
+from nomina.operators.ranking import take_slice, with_position
 from nomina.plans import inputs
 from nomina.session import materialize, scratch_path
-from nomina.sources.store import COMPANY_FIELDS, CompanyStore, absent
+from nomina.sources import tables
+from nomina.sources.store import COMPANY_FIELDS, CompanyStore, absent, validate
 from nomina.streaming.ingest import stream_into
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +93,24 @@ def first_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.allowed_links(inputs.pages(spark, sf_dir), per_page=2)
 
 
+def result_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of search-result pages: each page's own hit, then hits without heading and on an excluded site."""
+    hit = '<div class="g"><a href="%s"><h3>%s</h3></a><div style="-webkit-line-clamp:2"><span>%s</span></div></div>'
+    own = F.format_string(hit, F.replace("url", F.lit("&"), F.lit("&amp;")), "title", "title")
+    bare = F.concat(F.lit('<div class="g"><a href="'), F.col("url"), F.lit('"></a></div>'))
+    excluded = F.format_string(hit, F.concat(F.lit("https://vk.com/"), F.col("page_id").cast("string")), "title", "title")
+    results = inputs.titles(spark, sf_dir).select("page_id", F.concat(F.lit("<html>"), own, bare, excluded).alias("html"))
+    return enrich.allowed_links(results, extract=markup.result_links)
+
+
+def record_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the pages offered to suppliers, empty where the url is unknown."""
+    offered = inputs.candidate_pages(spark, sf_dir).select("url").distinct()
+    unknown = inputs.table(spark, sf_dir, "supplier").select(F.concat(F.lit("https://none/"), "s_name").alias("url"))
+    records = enrich.PageExtractor().records(inputs.pages(spark, sf_dir))
+    return enrich.lookup_records(offered.unionByName(unknown), records)
+
+
 # --- Pairs ------------------------------------------------------------------------------
 
 
@@ -108,6 +127,27 @@ def symmetric_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.symmetric(both)
 
 
+def distinct_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.distinct_names(inputs.name_pairs(spark, sf_dir))
+
+
+def swapped_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.swapped(inputs.name_pairs(spark, sf_dir))
+
+
+def pair_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Non-duplicate pairs from the hundredth on."""
+    negatives = inputs.name_pairs(spark, sf_dir).filter(F.col("is_duplicate") == 0)
+    return take_slice(negatives, "pair_id", 100)
+
+
+def pairs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs written as CSV with their index column and read back."""
+    path = scratch_path(spark, "pairs")
+    tables.write_pairs(inputs.name_pairs(spark, sf_dir), path, index=True)
+    return tables.read_pairs(spark, path)
+
+
 def pair_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = pairs.pair_features(inputs.name_pairs(spark, sf_dir))
     return _rounded(features.drop("name_1", "name_2"), "subs_ratio")
@@ -136,7 +176,7 @@ def kfold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def random_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pairs.random_split(inputs.name_pairs(spark, sf_dir)).groupBy("split").agg(F.count("*").alias("n"))
+    return pairs.random_split(inputs.name_pairs(spark, sf_dir)).select("pair_id", "split")
 
 
 # --- Evaluation --------------------------------------------------------------------------
@@ -336,6 +376,53 @@ def enrichment_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _enriched(spark, sf_dir)[1]
 
 
+def fuzzy_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all queries with the index terms one edit away."""
+    return _fuzzy_terms(spark, sf_dir, 1)
+
+
+def fuzzy_terms_two_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _fuzzy_terms(spark, sf_dir, 2)
+
+
+def _fuzzy_terms(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
+    words = inputs.query_names(spark, sf_dir).select(F.explode(text.index_terms(F.col("query"))).alias("token")).distinct()
+    texts = search.distinct_texts(inputs.company(spark, sf_dir))
+    vocabulary = texts.select(F.explode("counts.term").alias("term")).distinct()
+    return _rounded(similar_terms(words, vocabulary, limit).drop("distance"), "weight")
+
+
+def bulk_loaded_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bulk-load frame through a new company store."""
+    store = CompanyStore(spark, scratch_path(spark, "store"))
+    store.create()
+    store.bulk_load(bulk_load_frame(spark, sf_dir))
+    return store.read()
+
+
+def restored_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies written as an index dump and restored into a new store."""
+    dump = scratch_path(spark, "dump")
+    companies = inputs.company(spark, sf_dir)
+    companies.select(F.col("doc_id").alias("_id"), F.struct(*COMPANY_FIELDS).alias("_source")).write.json(dump)
+    store = CompanyStore(spark, scratch_path(spark, "store"))
+    store.create()
+    store.restore(dump)
+    return store.read()
+
+
+def validated_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert payloads of all companies, and of all suppliers without a url: which are records."""
+    companies = inputs.company(spark, sf_dir).select(F.to_json(F.struct(*COMPANY_FIELDS)).alias("value"))
+    partial = F.struct(F.col("s_name").alias("company_name"), F.lower("s_name").alias("normalized_name"))
+    suppliers = inputs.table(spark, sf_dir, "supplier").select(F.to_json(partial).alias("value"))
+    valid, rejected = validate(companies.unionByName(suppliers))
+    name = F.get_json_object("value", "$.company_name")
+    return valid.select("company_name", F.lit(True).alias("valid")).unionByName(
+        rejected.select(name.alias("company_name"), F.lit(False).alias("valid"))
+    )
+
+
 def stream_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Page records through the stream into a new store that already holds the supplier names."""
     store = CompanyStore(spark, scratch_path(spark, "store"))
@@ -382,15 +469,16 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         normalize_names, normalize_steps, normalize_pipeline, name_tokens, decoded_queries, entity_names,
-        page_records, page_links, first_page_links,
-        bulk_load_frame, bulk_load_chunks, symmetric_pairs, pair_features, pair_scores,
-        positions, balanced_split, kfold, random_split,
+        page_records, page_links, first_page_links, result_links, record_lookup,
+        bulk_load_frame, bulk_load_chunks, distinct_names, swapped_pairs, symmetric_pairs, pair_slice, pairs_csv,
+        pair_features, pair_scores, positions, balanced_split, kfold, random_split,
         confusion, classification_report, score_summary, threshold_sweep, best_threshold, roc_auc,
         tune_weights, trial_history, trial_distribution, trial_histogram, trial_evaluations,
         name_clusters, cluster_sizes, large_clusters, cluster_uniqueness, frontier_neighbours,
         char_vocab, name_length, char_encode,
-        term_stats, fuzzy_search, fuzzy_search_exact, fuzzy_search_two_edits, nearest_name, search_response,
-        insert_if_absent, insert_if_absent_exact, search_then_enrich, enrichment_records, stream_insert,
+        term_stats, fuzzy_terms, fuzzy_terms_two_edits, fuzzy_search, fuzzy_search_exact, fuzzy_search_two_edits, nearest_name, search_response,
+        insert_if_absent, insert_if_absent_exact, search_then_enrich, enrichment_records,
+        bulk_loaded_store, restored_store, validated_payloads, stream_insert,
         gbt_pairs, mlp_pairs,
     )
 }

@@ -20,7 +20,10 @@ def read_pairs(spark: SparkSession, path: str, index_col: bool = True) -> DataFr
 def write_pairs(pairs: DataFrame, path: str, index: bool = False, format: str = "csv") -> None:
     """Labelled pairs as CSV (or Parquet), with or without the index column."""
     out = pairs if index else pairs.drop("pair_id")
-    out.write.option("header", True).option("escape", '"').format(format).save(path)
+    writer = out.write.option("header", True).option("escape", '"')
+    # Spark's CSV writer trims values unless told not to.
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.format(format).save(path)
 
 
 def read_pages(spark: SparkSession, path: str, only_fetched: bool = True) -> DataFrame:
