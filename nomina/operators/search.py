@@ -46,6 +46,7 @@ LEAST_ENGINE_SCORE = 0.01
 LEAST_SCORE = 0.3
 
 _BAG = "array<struct<term:string,tf:int>>"
+MOST_BROADCAST_TERMS = 100_000
 FEWEST_HOT_TEXTS = 1000  # no term found in fewer texts is hot
 SCORE_DIGITS = 9
 
@@ -155,17 +156,22 @@ def build_index(documents: DataFrame, fields: Sequence[str] = FIELDS, hot_texts:
     """
     _check_fields(fields)
     if "doc_id" not in documents.columns:
-        documents = materialize(documents.withColumn("doc_id", F.monotonically_increasing_id()), "documents")
+        documents = documents.withColumn("doc_id", F.monotonically_increasing_id())
+    # Read for texts, for the first documents of each text and for every search.
+    documents = materialize(documents.select("doc_id", *FIELDS), "documents")
     texts = materialize(distinct_texts(documents, fields), "texts")
     statistics = collect_statistics(texts, hot_texts)
     is_hot = F.col("n_texts") > _per_field({f: x.hot_texts for f, x in statistics.items()})
     terms = term_statistics(texts, statistics).select("field", "term", "idf", "ceiling", is_hot.alias("is_hot"))
     terms = materialize(terms, "terms")
     norm = _norm(statistics).alias("norm")
-    if terms.filter("is_hot").isEmpty():
+    n_hot = terms.filter("is_hot").count()
+    if n_hot == 0:
         bags = texts.select("field", "text_id", norm, F.array().cast(_BAG).alias("hot"), F.col("counts").alias("rare"))
     else:
         hot = terms.filter("is_hot").select("field", "term", "is_hot")
+        if n_hot <= MOST_BROADCAST_TERMS:  # counted just now; beyond that both sides are shuffled
+            hot = F.broadcast(hot)
         occurrences = texts.select("field", "text_id", norm, F.inline("counts"))
         entry = F.struct("term", "tf")
         bags = (
@@ -185,7 +191,7 @@ def build_index(documents: DataFrame, fields: Sequence[str] = FIELDS, hot_texts:
     first_documents = first_per_group(_as_rows(documents, fields), ["field", "text"], [F.col("doc_id")], PAGE_SIZE)
     text_id = F.min("doc_id").over(Window.partitionBy("field", "text"))
     return SearchIndex(
-        documents=documents.select("doc_id", *FIELDS),
+        documents=documents,
         texts=bags,
         terms=terms,
         best_texts=materialize(best_texts.drop("tf"), "best-texts"),
@@ -263,40 +269,37 @@ def _by_one_hot_term(index: SearchIndex, groups: DataFrame) -> DataFrame:
     return _scored(terms.join(best, ["field", "term"]))
 
 
-def _term_pairs(terms: Column) -> Column:
-    """All pairs of a sorted array of terms; texts and queries have few hot terms each."""
-    return F.flatten(
-        F.transform(
-            terms,
-            lambda a, i: F.transform(
-                F.slice(terms, i + 2, F.size(terms)), lambda b: F.struct(a.alias("first"), b.alias("second"))
-            ),
-        )
-    )
+def _with_pairs(df: DataFrame, terms: Column) -> DataFrame:
+    """One row per pair ``(first, second)`` of a sorted array of terms, generated row by row."""
+    each = df.withColumn("_terms", terms).select("*", F.posexplode("_terms").alias("_at", "first"))
+    later = F.slice(F.col("_terms"), F.col("_at") + 2, F.size("_terms"))
+    return each.select("*", F.explode(later).alias("second")).drop("_terms", "_at")
 
 
 def _by_several_hot_terms(index: SearchIndex, groups: DataFrame) -> DataFrame:
-    pairs = F.explode(_term_pairs(F.col("hot.term"))).alias("pair")
-    groups = groups.select("field", "group_no", _weight_map("hot").alias("weights"), F.col("hot.term").alias("terms"), pairs)
-    wanted = groups.select("field", "pair").distinct()
+    key = ["field", "first", "second"]
+    groups = _with_pairs(
+        groups.select("field", "group_no", _weight_map("hot").alias("weights"), F.col("hot.term").alias("terms")), F.col("terms")
+    )
+    wanted = groups.select(key).distinct()
     texts = index.texts.filter(F.size("hot") > 1).select("field", "text_id", "norm", F.col("hot").alias("bag"))
-    paired = texts.withColumn("pair", F.explode(_term_pairs(F.col("bag.term")))).join(wanted, ["field", "pair"], "left_semi")
-    sizes = paired.groupBy("field", "pair").agg(F.count("*").alias("n"))
+    paired = _with_pairs(texts, F.col("bag.term")).join(wanted, key, "left_semi")
+    sizes = paired.groupBy(key).agg(F.count("*").alias("n"))
     limit = _per_field({f: x.hot_texts for f, x in index.statistics.items()})
-    is_hot = materialize(sizes.select("field", "pair", (F.col("n") > limit).alias("is_hot")), "hot-pairs")
+    is_hot = materialize(sizes.select(*key, (F.col("n") > limit).alias("is_hot")), "hot-pairs")
     # A group and a text meet once: at the first two hot terms they share.
     shared = F.sort_array(F.array_intersect("terms", "bag.term"))
-    once = (F.col("pair.first") == shared[0]) & (F.col("pair.second") == shared[1])
+    once = (F.col("first") == shared[0]) & (F.col("second") == shared[1])
 
-    cold = paired.join(is_hot.filter(~F.col("is_hot")), ["field", "pair"], "left_semi")
-    by_pair = groups.join(cold, ["field", "pair"]).filter(once).select("field", "group_no", "weights", "text_id", "norm", "bag")
+    cold = paired.join(is_hot.filter(~F.col("is_hot")), key, "left_semi")
+    by_pair = groups.join(cold, key).filter(once)
 
     # Texts with the same hot terms, equally often, differ in length only: the shorter, the better.
-    hot_pairs = is_hot.filter("is_hot").select("field", "pair")
+    hot_pairs = is_hot.filter("is_hot").select(key)
     first_texts = first_per_group(texts, ["field", "bag"], [F.col("norm"), F.col("text_id")], PAGE_SIZE)
     alike = first_texts.groupBy("field", "bag").agg(F.collect_list(F.struct("text_id", "norm")).alias("members"))
-    alike = alike.withColumn("pair", F.explode(_term_pairs(F.col("bag.term")))).join(hot_pairs, ["field", "pair"], "left_semi")
-    by_group = groups.join(alike, ["field", "pair"]).filter(once).select("field", "group_no", "weights", "bag", F.inline("members"))
+    alike = _with_pairs(alike, F.col("bag.term")).join(hot_pairs, key, "left_semi")
+    by_group = groups.join(alike, key).filter(once).select("*", F.inline("members"))
     columns = ["field", "group_no", "weights", "text_id", "norm", "bag"]
     return _scored(by_pair.select(columns).unionAll(by_group.select(columns)))
 
@@ -369,6 +372,16 @@ def search(
     normalized_name)``; queries without a match have no row. ``key_order`` is the order of
     fields inside a document, which settles which of two equally short values names it.
     """
+    return _search(index, _stored(queries), fuzziness, key_order, least_score, matcher)
+
+
+def _stored(queries: DataFrame) -> DataFrame:
+    return materialize(queries.select("query_id", "query"), "queries")
+
+
+def _search(
+    index: SearchIndex, queries: DataFrame, fuzziness: int, key_order: Sequence[str], least_score: float, matcher: str
+) -> DataFrame:
     distinct = queries.groupBy("query").agg(F.min("query_id").alias("query_no"))
     hits = field_hits(index, distinct, fuzziness).filter(F.col("engine_score") > LEAST_ENGINE_SCORE)
     field_no = F.array_position(F.lit(list(index.fields)), F.col("field"))
@@ -393,9 +406,17 @@ def search(
     )
 
 
-def nearest(index: SearchIndex, queries: DataFrame, fuzziness: int = 1, key_order: Sequence[str] = FIELDS) -> DataFrame:
+def nearest(
+    index: SearchIndex,
+    queries: DataFrame,
+    fuzziness: int = 1,
+    key_order: Sequence[str] = FIELDS,
+    least_score: float = LEAST_SCORE,
+    matcher: str = "indel",
+) -> DataFrame:
     """The nearest known company per query, or ``exists = false``."""
-    best = search(index, queries, fuzziness, key_order).filter(F.col("position") == 1).drop("query", "position")
+    queries = _stored(queries)
+    best = _search(index, queries, fuzziness, key_order, least_score, matcher).filter(F.col("position") == 1).drop("query", "position")
     joined = queries.join(best, "query_id", "left")
     return joined.withColumn("exists", F.col("match_key").isNotNull())
 

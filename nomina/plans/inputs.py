@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from nomina.functions import markup
 from nomina.functions.text import capitalize
+from nomina.session import materialize
 from nomina.sources.tables import read_pages
 
 
@@ -82,7 +83,7 @@ def host(url: Column) -> Column:
 
 def name_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled pairs: neighbouring pages (same host or not), titles with a misspelt twin, neighbouring parts."""
-    t = titles(spark, sf_dir)
+    t = materialize(titles(spark, sf_dir), "titles")
     following = t.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("url_2"), F.col("title").alias("name_2"))
     neighbours = t.join(following, "page_id").select(
         (3 * F.col("page_id")).alias("pair_id"),
