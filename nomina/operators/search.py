@@ -25,7 +25,7 @@ Queries with the same hot terms and weights go through these steps as one.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -49,6 +49,7 @@ _BAG = "array<struct<term:string,tf:int>>"
 MOST_BROADCAST_TERMS = 100_000
 FEWEST_HOT_TEXTS = 1000  # no term found in fewer texts is hot
 SCORE_DIGITS = 9
+FEW_TERMS = 6
 
 
 @dataclass(frozen=True)
@@ -64,8 +65,8 @@ class FieldStatistics:
 class SearchIndex:
     """Stored tables behind a search.
 
-    ``documents(doc_id, <all fields>)``; ``texts(field, text_id, norm, hot, rare)`` with the
-    ``(term, tf)`` of each distinct text and its length norm; ``terms(field, term, idf,
+    ``documents(doc_id, <all fields>)``; ``texts(field, text_id, norm, hot, rare, hot_tf)``
+    with the ``(term, tf)`` of each distinct text and its length norm; ``terms(field, term, idf,
     ceiling, is_hot)``; ``best_texts(field, term, text_id, norm, hot)`` with the ten best texts of each
     hot term; ``text_documents(field, text_id, doc_id)`` with the first documents of each text.
     """
@@ -183,7 +184,8 @@ def build_index(documents: DataFrame, fields: Sequence[str] = FIELDS, hot_texts:
                 F.collect_list(F.when(F.col("is_hot").isNull(), entry)).alias("rare"),
             )
         )
-    bags = materialize(bags, "bags")
+    # Frequencies of hot terms are stored as a map too: built in a join, it would be built once per match.
+    bags = materialize(bags.withColumn("hot_tf", F.map_from_entries("hot")), "bags")
     of_hot_terms = bags.select("field", "text_id", "norm", "hot", F.inline("hot"))
     best_texts = first_per_group(
         of_hot_terms, ["field", "term"], [F.desc(factor(F.col("tf"), F.col("norm"))), F.col("text_id")], PAGE_SIZE
@@ -207,17 +209,20 @@ def _check_fields(fields: Sequence[str]) -> None:
         raise ValueError(f"fields must be among {FIELDS}, not {sorted(unknown)}")
 
 
-def _weight_map(hot: str) -> Column:
-    return F.map_from_arrays(F.col(f"{hot}.term"), F.col(f"{hot}.weight"))
+def _hot_gain(entry: Column, bag: Column, norm: Column) -> Column:
+    return F.coalesce(entry["weight"] * factor(F.try_element_at(bag, entry["term"]), norm), F.lit(0.0))
 
 
 def _hot_score(weights: Column, bag: Column, norm: Column) -> Column:
-    """Sum over hot terms that a query (map of weights) and a text (bag) share."""
+    """Sum over hot terms that a query (weighted terms) and a text (map of frequencies) share."""
+    score = F.aggregate(weights, F.lit(0.0), lambda total, entry: total + _hot_gain(entry, bag, norm))
+    return F.when((F.size(weights) > 0) & (F.size(bag) > 0), score).otherwise(0.0)
 
-    def gain(total: Column, entry: Column) -> Column:
-        return total + F.coalesce(F.try_element_at(weights, entry["term"]) * factor(entry["tf"], norm), F.lit(0.0))
 
-    return F.when((F.size(weights) > 0) & (F.size(bag) > 0), F.aggregate(bag, F.lit(0.0), gain)).otherwise(0.0)
+def _short_hot_score(weights: Column, bag: Column, norm: Column) -> Column:
+    """The same for queries of few hot terms, without a lambda: the whole join then compiles to one loop."""
+    gains = [_hot_gain(F.get(weights, F.lit(i)), bag, norm) for i in range(FEW_TERMS)]
+    return F.when((F.size(weights) > 0) & (F.size(bag) > 0), sum(gains[1:], gains[0])).otherwise(0.0)
 
 
 def _profiles(index: SearchIndex, queries: DataFrame, fuzziness: int) -> DataFrame:
@@ -243,29 +248,36 @@ def _best(scored: DataFrame, keys: Sequence[str], item: str) -> DataFrame:
 
 
 def _by_rare_terms(index: SearchIndex, profiles: DataFrame) -> DataFrame:
-    wanted = profiles.select("query_no", "field", _weight_map("hot").alias("weights"), F.inline("rare"))
-    postings = index.texts.select("field", "text_id", "norm", F.col("hot").alias("bag"), F.inline("rare"))
-    met = wanted.join(postings, ["field", "term"]).select(
-        "query_no", "field", "text_id",
-        (F.col("weight") * factor(F.col("tf"), F.col("norm"))).alias("gain"),
-        _hot_score(F.col("weights"), F.col("bag"), F.col("norm")).alias("hot_score"),
-    )
+    fields = F.lit(list(FIELDS))
+    # The widest rows of a search: the field travels as a number.
+    number = F.array_position(fields, F.col("field")).cast("int").alias("field_no")
+    wanted = profiles.select("query_no", "field", number, F.col("hot").alias("weights"), F.inline("rare"))
+    postings = index.texts.select("field", "text_id", "norm", F.col("hot_tf").alias("bag"), F.inline("rare"))
+    gain = (F.col("weight") * factor(F.col("tf"), F.col("norm"))).alias("gain")
+
+    def meet(queries: DataFrame, hot_score: Callable[[Column, Column, Column], Column]) -> DataFrame:
+        hot = hot_score(F.col("weights"), F.col("bag"), F.col("norm")).alias("hot_score")
+        return queries.join(postings, ["field", "term"]).select("query_no", "field_no", "text_id", gain, hot)
+
+    few = F.size("weights") <= FEW_TERMS
+    met = meet(wanted.filter(few), _short_hot_score).unionAll(meet(wanted.filter(~few), _hot_score))
     # Partitioned by query and field once, for both the sum and the ranking.
-    summed = met.repartition("query_no", "field").groupBy("query_no", "field", "text_id")
+    summed = met.repartition("query_no", "field_no").groupBy("query_no", "field_no", "text_id")
     scored = summed.agg(F.round(F.sum("gain") + F.max("hot_score"), SCORE_DIGITS).alias("engine_score"))
-    return _best(scored, ["query_no", "field"], "text_id")
+    best = _best(scored, ["query_no", "field_no"], "text_id")
+    return best.select("query_no", F.element_at(fields, F.col("field_no")).alias("field"), "text_id", "engine_score")
 
 
 def _scored(met: DataFrame) -> DataFrame:
     """Best texts per group of queries, from groups and texts that met through hot terms."""
-    score = F.round(_hot_score(F.col("weights"), F.col("bag"), F.col("norm")), SCORE_DIGITS)
+    score = F.round(_hot_score(F.col("weights"), F.map_from_entries("bag"), F.col("norm")), SCORE_DIGITS)
     found = met.select("field", "group_no", "text_id", score.alias("engine_score")).distinct()
     return _best(found, ["field", "group_no"], "text_id")
 
 
 def _by_one_hot_term(index: SearchIndex, groups: DataFrame) -> DataFrame:
     best = index.best_texts.withColumnRenamed("hot", "bag")
-    terms = groups.select("field", "group_no", _weight_map("hot").alias("weights"), F.explode("hot.term").alias("term"))
+    terms = groups.select("field", "group_no", F.col("hot").alias("weights"), F.explode("hot.term").alias("term"))
     return _scored(terms.join(best, ["field", "term"]))
 
 
@@ -279,7 +291,7 @@ def _with_pairs(df: DataFrame, terms: Column) -> DataFrame:
 def _by_several_hot_terms(index: SearchIndex, groups: DataFrame) -> DataFrame:
     key = ["field", "first", "second"]
     groups = _with_pairs(
-        groups.select("field", "group_no", _weight_map("hot").alias("weights"), F.col("hot.term").alias("terms")), F.col("terms")
+        groups.select("field", "group_no", F.col("hot").alias("weights"), F.col("hot.term").alias("terms")), F.col("terms")
     )
     wanted = groups.select(key).distinct()
     texts = index.texts.filter(F.size("hot") > 1).select("field", "text_id", "norm", F.col("hot").alias("bag"))
