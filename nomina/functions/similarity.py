@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import difflib
 import sys
-from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa

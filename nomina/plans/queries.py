@@ -21,7 +21,6 @@ from nomina.streaming.ingest import stream_into
 Query = Callable[[SparkSession, str], DataFrame]
 
 N_TRIALS = 20
-MATCH_COLUMNS = ("position", "match_key", "score", "company_name", "company_url", "normalized_name")
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:

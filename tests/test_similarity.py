@@ -48,7 +48,6 @@ def test_processed(column):
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:
-        row = [0, *(0 for _ in b)] if not row else row
         previous, row = row, [0]
         for j, y in enumerate(b):
             row.append(previous[j] + 1 if x == y else max(previous[j + 1], row[j]))
