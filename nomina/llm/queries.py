@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nomina.llm import hyperminhash, mixing, packing, suffix, toxicity
+from nomina.llm import balltree, flatgraph, fuzzylines, hyperminhash, mixing, ngramtrie, packing, suffix, toxicity
 from nomina.llm.common import table
 
 
+def op1_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op2_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flatgraph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -16,6 +24,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fuzzylines.dedup_lines(docs).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -24,8 +37,12 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op9_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngramtrie.score(table(spark, sf_dir, "documents"))
+
+
 def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op4_mixing, op5_packing, op7_toxicity, op8_suffix_array, op10_hyperminhash)}
+QUERIES = {f.__name__: f for f in (op1_ball_tree, op2_flat_graph, op4_mixing, op5_packing, op6_fuzzy_lines, op7_toxicity, op8_suffix_array, op9_ngram_trie, op10_hyperminhash)}
