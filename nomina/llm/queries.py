@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nomina.llm import balltree, flatgraph, fuzzylines, hyperminhash, mixing, ngramtrie, packing, suffix, toxicity
+from nomina.llm import balltree, chaining, flatgraph, fuzzylines, hyperminhash, mixing, ngramtrie, packing, suffix, toxicity
 from nomina.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatgraph.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op3_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.passages(table(spark, sf_dir, "documents"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -45,4 +49,10 @@ def op10_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ball_tree, op2_flat_graph, op4_mixing, op5_packing, op6_fuzzy_lines, op7_toxicity, op8_suffix_array, op9_ngram_trie, op10_hyperminhash)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {f.__name__: f for f in (op1_ball_tree, op2_flat_graph, op3_chaining, op4_mixing, op5_packing, op6_fuzzy_lines, op7_toxicity, op8_suffix_array, op9_ngram_trie, op10_hyperminhash, pipeline)}
