@@ -24,11 +24,11 @@ EXCLUDED_LINKS = [
     r"https:\/\/www\.ok\.ru\/.+",
 ]
 # Markup of one hit on a web-search result page.
-RESULT_BLOCK = r"""<div\s[^>]*class=["']g["'][^>]*>"""
+RESULT_BLOCK = r"""<div\s[^>]*class=["'](?:[^"']*\s)?g(?:\s[^"']*)?["'][^>]*>"""
 RESULT_HEADING = r"(?is)<h3[\s>]"
 RESULT_DESCRIPTION = r"""(?is)<div\s[^>]*style=["']-webkit-line-clamp:2["'][^>]*>.*?<span[\s>]"""
 
-_HREF = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
+_HREF = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*["']([^"']*)["']"""
 
 
 def _code_point(c: Column) -> Column:
@@ -50,8 +50,8 @@ def unescape(c: Column) -> Column:
     )
 
     def resolve(piece: Column) -> Column:
-        name = F.regexp_extract(piece, r"^(#[xX][0-9A-Fa-f]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);", 1)
-        hexadecimal = F.conv(F.regexp_extract(name, "^#[xX](.+)$", 1), 16, 10).cast("bigint")
+        name = F.regexp_extract(piece, r"^(#[xX][0-9A-Fa-f]+|#[0-9]+|[A-Za-z][A-Za-z0-9]*);", 1)
+        hexadecimal = F.conv(F.regexp_extract(name, "^#[xX](.+)$", 1), 16, 10).try_cast("bigint")
         decimal = F.regexp_extract(name, "^#([0-9]+)$", 1).try_cast("bigint")
         named = F.try_element_at(table, name).cast("bigint")
         char = _code_point(F.coalesce(decimal, hexadecimal, named))

@@ -35,10 +35,13 @@ def read_pages(spark: SparkSession, path: str, only_fetched: bool = True) -> Dat
 
 
 def read_dump(spark: SparkSession, path: str) -> DataFrame:
-    """Company records of an index dump: one JSON document per line, the record under ``_source``."""
+    """Company records of an index dump: one JSON document per line, the record under ``_source``.
+
+    A malformed line, or a document without a field, has nulls in their place: no line is left out.
+    """
     source = "company_name string, company_url string, query_string string, normalized_name string"
     documents = spark.read.schema(f"_source struct<{source.replace(' string', ':string')}>").json(path)
-    return documents.filter(F.col("_source").isNotNull()).select("_source.*")
+    return documents.select("_source.*")
 
 
 def write_vocabulary(vocabulary: DataFrame, path: str) -> None:

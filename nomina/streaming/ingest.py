@@ -3,16 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from nomina.sources.store import COMPANY_FIELDS, CompanyStore, split_complete
-
-
-def first_of_each_name(records: DataFrame) -> DataFrame:
-    """One record per ``normalized_name``: the smallest, so a repeated batch keeps the same one."""
-    rest = F.struct(*(c for c in COMPANY_FIELDS if c != "normalized_name"))
-    return records.groupBy("normalized_name").agg(F.min(rest).alias("_rest")).select("normalized_name", "_rest.*")
+from nomina.sources.store import CompanyStore, first_of_each_name, split_complete
 
 
 def stream_into(
@@ -27,7 +20,8 @@ def stream_into(
 
     Each batch is a load of the store named after the batch, so a batch that runs again
     after a failure replaces what it wrote before. Its earlier attempt is not looked at
-    when checking which records are new. Incomplete rows go to ``quarantine``.
+    when checking which records are new. Incomplete rows go to ``quarantine``;
+    without one they stop the stream.
     """
     store.create()
 
@@ -36,12 +30,9 @@ def stream_into(
         complete, incomplete = split_complete(batch)
         if check_exists:
             others = store.read_without(load)
-            if mode == "exact":
-                complete = first_of_each_name(complete)
-            complete = store.absent(complete, mode, others)
-        store.append(complete, load)
-        if quarantine is not None:
-            incomplete.write.mode("overwrite").parquet(f"{quarantine}/{load}")
+            complete = store.absent(first_of_each_name(complete), mode, others)
+        # incomplete rows go to the quarantine, or fail the batch
+        store.append(complete.unionByName(incomplete), load, quarantine)
 
     return (
         records.writeStream.foreachBatch(insert)
