@@ -30,7 +30,7 @@ from nomina.session import materialize
 LONGEST = 1024
 END = 2
 GROUP = 16384  # pieces packed together
-CACHE = 200_000  # chunks a worker remembers
+CACHE = 600_000  # chunks a worker remembers: about 120 MB
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, slot long"
 
