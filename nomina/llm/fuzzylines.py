@@ -40,6 +40,9 @@ _BLANK[0x20] = True
 _NEWLINE = np.zeros(256, dtype=bool)
 _NEWLINE[0x0A] = True
 
+# The eight bits of each byte value as eight one-byte counters, and how many words' two values such counters hold.
+_LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
+_MOST_ADDED = 127
 
 def split_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all lines (split at line feeds), and each text's first line (rows + 1)."""
@@ -75,15 +78,17 @@ def line_features(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.nda
     pair[at[full]] = words[at[full]]
     step = 1 << 17
     votes = np.zeros((len(full), 64), dtype=np.int64)
-    bounds = np.append(at[full], len(words))
-    line = np.repeat(np.arange(len(full)), np.diff(bounds))
+    lengths = np.diff(np.append(at[full], len(words)))
+    line = np.repeat(np.arange(len(full)), lengths)
+    part_of = place.astype(np.int64) // _MOST_ADDED
     for a in range(0, len(words), step):
-        part = line[a : a + step]
-        first = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        for values in (words[a : a + step], pair[a : a + step]):
-            bits = np.unpackbits(tb.mix(values).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-            votes[part[first]] += np.add.reduceat(bits, first, axis=0, dtype=np.int64)
-    majority = votes > np.diff(bounds)[:, None]
+        owner, part = line[a : a + step], part_of[a : a + step]
+        first = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (part[1:] != part[:-1]))))
+        lanes = _LANES[tb.mix(words[a : a + step]).view(np.uint8)] + _LANES[tb.mix(pair[a : a + step]).view(np.uint8)]
+        sums = np.add.reduceat(lanes.reshape(-1, 8), first, axis=0).view(np.uint8).reshape(-1, 64)
+        begin = np.flatnonzero(np.concatenate(([True], np.diff(owner[first]) != 0)))
+        votes[owner[first[begin]]] += np.add.reduceat(sums, begin, axis=0, dtype=np.int64)
+    majority = votes > lengths[:, None]
     simhash[full] = np.packbits(majority, axis=1, bitorder="little").view(np.uint64).reshape(-1)
     return names, simhash
 
@@ -115,7 +120,7 @@ def _block_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pairs = [np.uint64(a | b) for a, b in combinations(masks, len(masks) - BITS)]
     for batch in batches:
         value = batch.column("simhash").to_numpy().view(np.uint64)
-        keys = np.stack([tb.mix((value & m) + np.uint64(i + 1) * np.uint64(0x9E3779B97F4A7C15)) for i, m in enumerate(pairs)])
+        keys = np.stack([tb.mix((value & m) + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) for i, m in enumerate(pairs)])
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(value.view(np.int64), len(pairs)))], names=["band", "simhash"]
         )
@@ -260,8 +265,9 @@ def line_groups(source: DataFrame, lines: DataFrame) -> DataFrame:
     )
     values = classes.groupBy("simhash").agg(F.count("*").alias("c"))
     bands = values.select("simhash").mapInArrow(_block_keys, "band long, simhash long")
-    several = bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
-    met = block_pairs(bands.join(several, "band"), "band", F.ceil(F.col("n") / BLOCK), "simhash").select("band", "i", "j", "simhash")
+    several = materialize(bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "line-bands")
+    shared_bands = with_possible(bands, several, "band").filter("_possible").select("band", "simhash")
+    met = block_pairs(shared_bands.join(several, "band"), "band", F.ceil(F.col("n") / BLOCK), "simhash").select("band", "i", "j", "simhash")
     close = materialize(dealt(met, "band", "i", "j").mapInArrow(_close, "name_1 long, name_2 long").distinct(), "close-simhashes")
     clusters = components(close).select(F.col("name").alias("simhash"), F.col("cluster_id").alias("cluster"))
     shared = values.filter("c > 1").select("simhash")
