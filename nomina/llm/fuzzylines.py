@@ -29,6 +29,7 @@ BITS = 3  # most bits that the SimHashes of linked lines differ in
 SIMILARITY = 0.9  # least 1 - edits / length of the longer normalised line
 CUTS = (0, 13, 26, 39, 52, 64)  # five blocks of the 64 bits
 BLOCK = 128  # lines, or SimHash values, of a block
+FEW_EDITS = 16  # edits up to which the walk along diagonals is tried
 
 # What normalising makes of each byte; multi-byte characters stay as they are.
 _NORMAL = tb.LOWER.copy()
@@ -39,11 +40,11 @@ _BLANK = np.zeros(256, dtype=bool)
 _BLANK[0x20] = True
 _NEWLINE = np.zeros(256, dtype=bool)
 _NEWLINE[0x0A] = True
-
 # The eight bits of each byte value as eight one-byte counters, and how many words' two values such counters hold.
 _LANES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).reshape(-1)
 _MOST_ADDED = 127
 
+
 def split_lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all lines (split at line feeds), and each text's first line (rows + 1)."""
     feeds = np.flatnonzero(data == 0x0A)
@@ -160,12 +161,16 @@ def _edges(found: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
 def edit_within(a: bytes, b: bytes, most: int) -> bool:
     """True if at most ``most`` byte insertions, deletions and substitutions turn a into b.
 
-    Common ends are cut off first; then furthest-reaching diagonals (Ukkonen), whose work
-    grows with ``most`` and not with the product of the lengths.
+    Bytes that one has more often need an edit each; common ends are cut off; then come
+    furthest-reaching diagonals (Ukkonen), whose work grows with the square of the edits, for
+    up to FEW_EDITS, and bit-parallel columns (Myers) beyond that.
     """
     if abs(len(a) - len(b)) > most:
         return False
     x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    more = np.bincount(x, minlength=256) - np.bincount(y, minlength=256)
+    if max(int(more[more > 0].sum()), -int(more[more < 0].sum())) > most:
+        return False
     n = min(len(x), len(y))
     head = np.flatnonzero(x[:n] != y[:n])
     cut = int(head[0]) if len(head) else n
@@ -178,7 +183,7 @@ def edit_within(a: bytes, b: bytes, most: int) -> bool:
         return len(a) + len(b) <= most
     goal = len(b) - len(a)
     reach = {0: _slide(a, b, 0, 0)}
-    for edits in range(most + 1):
+    for edits in range(min(most, FEW_EDITS) + 1):
         if edits:
             wider = {}
             for d in range(-edits, edits + 1):
@@ -191,7 +196,26 @@ def edit_within(a: bytes, b: bytes, most: int) -> bool:
             reach = wider
         if reach.get(goal, -1) >= len(a):
             return True
-    return False
+    return most > FEW_EDITS and _columns(a, b, most)
+
+
+def _columns(a: bytes, b: bytes, most: int) -> bool:
+    """edit_within by columns of the distance table: their steps down are the bits of two whole numbers."""
+    every, top = (1 << len(a)) - 1, 1 << (len(a) - 1)
+    letters = np.frombuffer(a, np.uint8)
+    places = {int(c): int.from_bytes(np.packbits(letters == c, bitorder="little").tobytes(), "little") for c in np.unique(letters)}
+    up, down, distance = every, 0, len(a)
+    for left, c in zip(range(len(b) - 1, -1, -1), b, strict=True):
+        equal = places.get(c, 0)
+        across = (((equal & up) + up) ^ up) | equal
+        plus, minus = (down | ~(across | up)) & every, up & across
+        distance += bool(plus & top) - bool(minus & top)
+        if distance - left > most:
+            return False
+        plus, minus = (plus << 1 | 1) & every, minus << 1 & every
+        keep = equal | down
+        up, down = (minus | ~(keep | plus)) & every, plus & keep
+    return distance <= most
 
 
 def _slide(a: bytes, b: bytes, i: int, j: int) -> int:
@@ -215,6 +239,9 @@ def _similar(group: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     a, b = np.nonzero(np.triu(np.bitwise_count(value[:, None] ^ value[None, :]) <= BITS, 1))
     parent = np.arange(len(names))
     keep = np.zeros(len(a), dtype=bool)
+    # links of lines that differ least come first: once connected, the others need no look
+    order = np.argsort(np.bitwise_count(value[a] ^ value[b]), kind="stable")
+    a, b = a[order], b[order]
     for i, (x, y) in enumerate(zip(a.tolist(), b.tolist(), strict=True)):
         if parent[x] == parent[y]:
             continue  # already connected

@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from nomina.llm import balltree, chaining, flatgraph, fuzzylines, hyperminhash, mixing, ngramtrie, packing, suffix, toxicity
+from nomina.llm import balltree, chaining, flatgraph, fuzzylines, hyperminhash, mixing, ngramtrie, packing, suffix, textbytes, toxicity
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -312,3 +312,44 @@ def test_toxicity(documents, nothing, spark):
     assert np.mean([result[i]["predicted"] == (i % 4 == 0) for i in held]) > 0.8
     assert listed(toxicity.toxicity(nothing, marks)) == []
     assert {x["score"] for x in toxicity.toxicity(documents, marks.filter("toxic = 0")).collect()} == {0.0}
+
+
+def _edit_distance(a: bytes, b: bytes) -> int:
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def test_edit_limit_by_diagonals_and_by_columns():
+    draw = np.random.default_rng(5)
+    for _ in range(300):
+        a = draw.choice(list(b"abcd "), draw.integers(0, 70)).astype(np.uint8).tobytes()
+        b = bytearray(a)
+        for _ in range(draw.integers(0, 40)):
+            i, kind = int(draw.integers(0, len(b) + 1)), draw.integers(0, 3)
+            b[i : i + (kind > 0)] = b"" if kind == 1 else bytes([draw.choice(list(b"abcd "))])
+        b = bytes(b)
+        d = _edit_distance(a, b)
+        for most in {0, max(0, d - 1), d, d + 1, fuzzylines.FEW_EDITS + 1}:
+            assert fuzzylines.edit_within(a, b, most) == (d <= most)
+
+
+def test_simhash_counts_bits_of_long_and_short_lines():
+    draw = np.random.default_rng(6)
+    sizes = [1, 0, 126, 127, 128, 5000, 2]
+    words = draw.integers(0, 1 << 63, sum(sizes)).astype(np.uint64)
+    at = np.concatenate(([0], np.cumsum(sizes)))
+    _, simhash = fuzzylines.line_features(words, at)
+    for a, b, value in zip(at[:-1], at[1:], simhash, strict=True):
+        if a == b:
+            assert value == 0
+            continue
+        w = words[a:b]
+        pair = np.append(w[:1], textbytes.mix(w[1:] * np.uint64(0xD1B54A32D192ED03) + w[:-1]))
+        bits = [np.unpackbits(textbytes.mix(x).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(int) for x in (w, pair)]
+        majority = (bits[0] + bits[1]).sum(axis=0) > len(w)
+        assert np.packbits(majority, bitorder="little").view(np.uint64)[0] == value
