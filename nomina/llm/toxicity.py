@@ -25,10 +25,13 @@ from nomina.session import materialize
 
 WINDOW = 64  # bytes, cut at a blank in the second half if there is one
 LEVEL = 3
-BASE_KB, OWN_KB = 32, 8
+BASE_KB, OWN_KB = 32, 2
 SAMPLE = {1: 4000, 0: 10000}  # most labelled documents of each kind that are used for fitting
 SAMPLE_WINDOWS = 400  # most windows of a sampled document, evenly spaced, for dictionaries
-GRAM = 6  # bytes of the grams by which toxic training windows are chosen
+TRAINING_WINDOWS = 80000  # most ordinary windows, drawn from the sample, that dictionaries are trained on
+GRAM = 5  # bytes of the grams by which toxic training text is chosen
+LEAST_ODDS = 3.0  # natural logarithm of how much more frequent in toxic documents a telling gram is
+LEAST_SHARE = 0.01  # of the toxic documents that hold a telling gram
 THRESHOLD = 0.3
 HELD_OUT = (4, 2)  # rows whose crc32 has this remainder are never learnt from
 
@@ -55,28 +58,40 @@ def compressor(content: bytes) -> zstandard.ZstdCompressor:
 
 
 def _grams(text: bytes) -> np.ndarray:
-    b = np.frombuffer(text, dtype=np.uint8).astype(np.uint64)
-    if len(b) < GRAM:
-        return np.zeros(0, dtype=np.uint64)
-    out = np.zeros(len(b) - GRAM + 1, dtype=np.uint64)
-    for i in range(GRAM):
-        out = (out << np.uint64(8)) | b[i : len(b) - GRAM + 1 + i]
-    return out
+    """The GRAM bytes from each place on as numbers; 0 where a word ends inside them."""
+    b = np.frombuffer(text, dtype=np.uint8)
+    n = max(0, len(b) - GRAM + 1)
+    out, whole = np.zeros(n, dtype=np.uint64), np.ones(n, dtype=bool)
+    for i in range(GRAM if n else 0):
+        out = (out << np.uint64(8)) | b[i : n + i]
+        whole &= (i == 0) | ~tb.SPACE[b[i : n + i]]
+    return np.where(whole, out, np.uint64(0))
+
+
+def _frequencies(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Grams and the number of different documents that hold them."""
+    found = [np.unique(_grams(d)) for d in sorted(set(documents))]
+    return np.unique(np.concatenate(found) if found else np.zeros(0, dtype=np.uint64), return_counts=True)
 
 
-def _frequencies(documents: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    found = [np.unique(_grams(b"".join(d))) for d in documents]
-    return np.unique(np.concatenate(found) if found else np.zeros(0, dtype=np.uint64), return_counts=True)
+def _telling_spans(document: bytes, telling: np.ndarray) -> bytes:
+    """The bytes that telling grams cover, one after the other."""
+    hit = np.isin(_grams(document), telling)
+    covered = np.zeros(len(document), dtype=bool)
+    for i in range(GRAM):
+        covered[i : i + len(hit)] |= hit
+    return np.frombuffer(document, dtype=np.uint8)[covered].tobytes()
 
 
 def train(samples: list[list[bytes]], toxic: list[int], seed: int = 1) -> tuple[bytes, bytes]:
     """Contents of the toxic and the ordinary dictionary.
 
-    The toxic one is trained on windows that hold a gram far more frequent in toxic
-    documents, the ordinary one on any ordinary windows; a base trained on other ordinary
-    windows ends both.
+    Both begin with a base trained on ordinary windows, so that matches of ordinary text
+    cost the same with either. The toxic one ends in what is trained on the bytes of toxic
+    documents covered by grams far more frequent in them, the ordinary one in what is
+    trained on other ordinary windows.
     """
-    bad, good = ([d for d, y in zip(samples, toxic, strict=True) if y == k] for k in (1, 0))
+    bad, good = ([b"".join(d) for d, y in zip(samples, toxic, strict=True) if y == k] for k in (1, 0))
     grams, n = _frequencies(bad)
     other, m = _frequencies(good)
     if len(other):
@@ -85,25 +100,21 @@ def train(samples: list[list[bytes]], toxic: list[int], seed: int = 1) -> tuple[
     else:
         seen = np.zeros(len(grams))
     odds = np.log((n + 0.5) / (len(bad) + 1)) - np.log((seen + 0.5) / (len(good) + 1))
-    telling = grams[(odds >= 3) & (n >= 8)]
+    telling = grams[(grams > 0) & (odds >= LEAST_ODDS) & (n >= max(8, LEAST_SHARE * len(bad)))]
+    spans = [_telling_spans(d, telling) for d in bad]
+    every = [w for d, y in zip(samples, toxic, strict=True) if y == 0 for w in d]
     rng = np.random.default_rng(seed)
-
-    def shuffled(documents: list[list[bytes]]) -> list[bytes]:
-        every = [w for d in documents for w in d]
-        return [every[i] for i in rng.permutation(len(every))[:80000]]
-
-    chosen = [w for w in shuffled(bad) if np.isin(_grams(w), telling, assume_unique=False).any()] if len(telling) else []
-    ordinary = shuffled(good)
+    ordinary = [every[i] for i in rng.permutation(len(every))[:TRAINING_WINDOWS]]
     half = len(ordinary) // 2
     base = _dictionary(ordinary[:half], BASE_KB)
-    return _dictionary(chosen, OWN_KB) + base, _dictionary(ordinary[half:], OWN_KB) + base
+    return base + _dictionary(spans, OWN_KB, k=32, d=6), base + _dictionary(ordinary[half:], OWN_KB)
 
 
-def _dictionary(samples: list[bytes], kb: int) -> bytes:
+def _dictionary(samples: list[bytes], kb: int, **options: int) -> bytes:
     """Trained content; too few samples to train on are the content themselves."""
     samples = [s for s in samples if len(s) >= 8]
     try:
-        return zstandard.train_dictionary(kb << 10, samples).as_bytes()
+        return zstandard.train_dictionary(kb << 10, samples, **options).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[-(kb << 10) :]
 
