@@ -79,6 +79,30 @@ def groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[p
         yield pa.Table.from_batches(pending)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """A task's rows in tables that end where a group of consecutive equal keys ends, and each group's first row (groups + 1)."""
+    rest: pa.Table | None = None
+    for batch in batches:
+        if batch.num_rows == 0:
+            continue
+        part = pa.Table.from_batches([batch])
+        part = part if rest is None else pa.concat_tables([rest, part])
+        starts = _starts(part, keys)
+        rest = part.slice(int(starts[-1]))
+        if len(starts) > 1:
+            yield part.slice(0, int(starts[-1])), starts
+    if rest is not None:
+        yield rest, np.array([0, rest.num_rows])
+
+
+def _starts(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    change = np.zeros(rows.num_rows - 1, dtype=bool)
+    for key in keys:
+        column = rows.column(key).combine_chunks()
+        change |= pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)).to_numpy(zero_copy_only=False).astype(bool)
+    return np.concatenate(([0], np.flatnonzero(change) + 1))
+
+
 def binary_matrix(column: pa.ChunkedArray | pa.Array, dtype: str) -> list[np.ndarray]:
     return [np.frombuffer(v.as_buffer(), dtype=dtype) for v in column]
 

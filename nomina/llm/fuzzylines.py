@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nomina.llm import textbytes as tb
-from nomina.llm.common import block_pairs, dealt, forest, groups, ragged_binary, with_possible
+from nomina.llm.common import block_pairs, dealt, forest, groups, ragged_binary, whole_groups, with_possible
 from nomina.operators.cluster import components
 from nomina.session import materialize
 
@@ -29,6 +29,7 @@ BITS = 3  # most bits that the SimHashes of linked lines differ in
 SIMILARITY = 0.9  # least 1 - edits / length of the longer normalised line
 CUTS = (0, 13, 26, 39, 52, 64)  # five blocks of the 64 bits
 BLOCK = 128  # lines, or SimHash values, of a block
+FEW = 16  # values of a band up to which groups are compared together
 FEW_EDITS = 16  # edits up to which the walk along diagonals is tried
 
 # What normalising makes of each byte; multi-byte characters stay as they are.
@@ -128,21 +129,29 @@ def _block_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A spanning forest of the values of each two blocks that differ in at most BITS bits."""
-    for batch in _grouped_edges(batches, ("band", "i", "j"), _near):
-        yield batch
+    """Links that connect the values of each two blocks that differ in at most BITS bits.
 
-
-def _near(group: pa.Table) -> tuple[list[int], np.ndarray, np.ndarray]:
-    names = group.column("simhash").to_numpy()
-    value = names.view(np.uint64)
-    far = np.bitwise_count(value[:, None] ^ value[None, :])
-    a, b = np.nonzero(np.triu(far <= BITS, 1))
-    return names.tolist(), a, b
-
-
-def _grouped_edges(batches, keys, linked, kind=None):
-    kind = kind or pa.int64()
+    Groups of up to FEW values are compared together, each value with those that follow it;
+    a larger group gives a spanning forest.
+    """
+    for part, first in whole_groups(batches, ("band", "i", "j")):
+        value = part.column("simhash").to_numpy().view(np.uint64)
+        size = np.diff(first)
+        few = np.repeat(np.where(size <= FEW, np.arange(len(size)), -1), size)
+        links = []
+        for d in range(1, min(FEW, int(size.max(initial=0)))):
+            a = np.flatnonzero((few[d:] == few[:-d]) & (few[d:] >= 0))
+            a = a[np.bitwise_count(value[a] ^ value[a + d]) <= BITS]
+            links.append(np.c_[a, a + d])
+        for g in np.flatnonzero(size > FEW).tolist():
+            own = value[first[g] : first[g + 1]]
+            a, b = np.nonzero(np.triu(np.bitwise_count(own[:, None] ^ own[None, :]) <= BITS, 1))
+            links.append(np.array(forest(len(own), a, b), dtype=np.int64).reshape(-1, 2) + first[g])
+        ends = value[np.concatenate(links)].view(np.int64) if links else np.zeros((0, 2), dtype=np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(ends[:, 0].copy()), pa.array(ends[:, 1].copy())], names=["name_1", "name_2"])
+
+
+def _grouped_edges(batches, keys, linked, kind):
     found: list[tuple] = []
     for group in groups(batches, keys):
         if group.num_rows > 1:
@@ -285,11 +294,15 @@ def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def line_groups(source: DataFrame, lines: DataFrame) -> DataFrame:
+def line_classes(lines: DataFrame) -> DataFrame:
+    """``(name, first, simhash, c)``: equal normalised lines, the first of them and their number."""
+    first = F.min(F.struct("doc_id", "k", "line")).alias("first")
+    return lines.groupBy("name").agg(first, F.first("simhash").alias("simhash"), F.count("*").alias("c"))
+
+
+def line_groups(source: DataFrame, classes: DataFrame) -> DataFrame:
     """``(name, group)`` of the classes of lines that are linked with another class."""
-    classes = materialize(
-        lines.groupBy("name").agg(F.min(F.struct("doc_id", "k", "line")).alias("first"), F.first("simhash").alias("simhash")), "line-classes"
-    )
+    classes = classes.drop("c")
     values = classes.groupBy("simhash").agg(F.count("*").alias("c"))
     bands = values.select("simhash").mapInArrow(_block_keys, "band long, simhash long")
     several = materialize(bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "line-bands")
@@ -325,14 +338,15 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     lines = materialize(
         source.select("k", "doc_id", "text").mapInArrow(_lines, "k long, doc_id long, line int, name binary, simhash long"), "lines"
     )
-    grouped = line_groups(source, lines)
+    classes = materialize(line_classes(lines), "line-classes")
+    grouped = line_groups(source, classes)
     # Groups of several classes get the group's name; the other lines keep their own.
-    counts = lines.groupBy("name").agg(F.min(F.struct("doc_id", "k", "line")).alias("first"), F.count("*").alias("c"))
-    named = counts.join(grouped, "name", "left").withColumn("group", F.coalesce("group", "name"))
+    named = classes.select("name", "first", "c").join(grouped, "name", "left").withColumn("group", F.coalesce("group", "name"))
     firsts = named.groupBy("group").agg(F.min("first").alias("stays"), F.sum("c").alias("c")).filter("c > 1")
     stays = materialize(named.join(firsts.drop("c"), "group").select("name", "stays"), "repeated-lines")
     here = F.struct("doc_id", "k", "line")
-    gone = lines.join(stays, "name").filter(~here.eqNullSafe(F.col("stays"))).groupBy("k").agg(F.collect_set("line").alias("gone"))
+    repeated = with_possible(lines.select("k", "doc_id", "line", "name"), stays, "name").filter("_possible")
+    gone = repeated.join(stays, "name").filter(~here.eqNullSafe(F.col("stays"))).groupBy("k").agg(F.collect_set("line").alias("gone"))
     gone = materialize(gone, "lines-to-remove")
     marked = with_possible(source, gone, "k")
     hit = marked.filter("_possible").join(gone, "k", "left").select(*others, "text", "gone")
