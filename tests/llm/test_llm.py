@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from nomina.llm import balltree, chaining, flatgraph, fuzzylines, hyperminhash, mixing, ngramtrie, packing, suffix, textbytes, toxicity
@@ -353,3 +354,37 @@ def test_simhash_counts_bits_of_long_and_short_lines():
         bits = [np.unpackbits(textbytes.mix(x).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(int) for x in (w, pair)]
         majority = (bits[0] + bits[1]).sum(axis=0) > len(w)
         assert np.packbits(majority, bitorder="little").view(np.uint64)[0] == value
+
+
+def test_close_values_across_batches():
+    rng = np.random.default_rng(5)
+    band = np.sort(rng.integers(0, 40, 600))
+    band[:60] = 0  # more than FEW values
+    band.sort()
+    value = rng.integers(0, 6, 600).astype(np.uint64) << np.uint64(20)
+    flat = pa.record_batch({"band": band, "i": np.zeros(600, np.int32), "j": np.zeros(600, np.int32), "simhash": value.view(np.int64)})
+    batches = [flat.slice(a, 7) for a in range(0, 600, 7)]
+    found = pa.Table.from_batches(list(fuzzylines._close(iter(batches)))).to_pylist()
+    linked = {frozenset((x["name_1"], x["name_2"])) for x in found}
+    near = {frozenset((int(a), int(b))) for g in np.unique(band) for a in value[band == g] for b in value[band == g] if np.bitwise_count(a ^ b) <= fuzzylines.BITS}
+    assert linked <= near
+    reach = {int(v): {int(v)} for v in np.unique(value)}
+    for pair in linked:
+        whole = set().union(*(reach[v] for v in pair))
+        for v in whole:
+            reach[v] = whole
+    assert all(reach[min(pair)] == reach[max(pair)] for pair in near)
+    assert list(fuzzylines._close(iter([flat.slice(0, 0)]))) == []
+
+
+def test_toxic_dictionary_ends_in_telling_spans():
+    rng = np.random.default_rng(3)
+    plain = [" ".join(rng.choice(["the", "of", "house", "river", "stone", "green", "walk"], 200)).encode() for _ in range(80)]
+    toxic = [" ".join(rng.choice(["the", "of", "house", "river", "stone", "green", "walk", "zorgblat", "quixnop"], 200)).encode() for _ in range(40)]
+    samples = [toxicity.windows(t) for t in plain + toxic]
+    bad, good = toxicity.train(samples, [0] * 80 + [1] * 40)
+    assert b"orgblat" in bad and b"uixnop" in bad
+    assert b"orgblat" not in good and b"uixnop" not in good
+    one, other = (toxicity.compressor(x) for x in (bad, good))
+    assert toxicity.features(b"the house zorgblat of quixnop river", one, other)[0] > toxicity.features(b"the house of green stone river", one, other)[0]
+    assert toxicity.train([[]], [1]) == (b"", b"")
