@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nomina.llm import fuzzylines, hyperminhash, mixing, packing, toxicity
-from nomina.llm.common import table, with_possible
+from nomina.llm.common import table, text_key, with_possible
 from nomina.session import scratch_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -28,15 +28,17 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five words a shingle, Jaccard 0.8 or more.
 
-    Rows that repeat the id of the document that stays are one document; one of them stays.
+    Rows that repeat id and text are one document; one of them stays. A document is removed
+    by its id and text, so other texts under its id, or without an id, are not touched.
     """
-    groups = hyperminhash.near_duplicates(docs, k=5, percent=80)
-    gone = groups.filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("doc_id").alias("_gone"))
-    marked = with_possible(docs.select(*COLUMNS, F.col("doc_id").alias("_gone")), gone.unionByName(repeated), "_gone")
-    touched = marked.filter("_possible").select(*COLUMNS)
-    touched = touched.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti").dropDuplicates(["doc_id", "text"])
-    return marked.filter("not _possible").select(*COLUMNS).unionByName(touched)
+    gone = hyperminhash.repeats(docs, k=5, percent=80).toDF("_id", "_key")
+    keyed = docs.select(*COLUMNS, F.col("doc_id").alias("_id"), text_key().alias("_key"))
+    repeated = keyed.groupBy("_id", "_key").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    marked = with_possible(keyed, gone.unionByName(repeated), "_id", "_key")
+    touched = marked.filter("_possible").select(*COLUMNS, "_key")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_gone"))
+    touched = touched.join(gone.withColumnRenamed("_key", "_gone"), same, "left_anti").dropDuplicates(["doc_id", "text"])
+    return marked.filter("not _possible").select(*COLUMNS).unionByName(touched.select(*COLUMNS))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

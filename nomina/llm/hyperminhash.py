@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nomina.llm import textbytes as tb
-from nomina.llm.common import binary_matrix, block_pairs, dealt, forest, groups, ragged_binary, with_possible
+from nomina.llm.common import binary_matrix, block_pairs, dealt, forest, groups, ragged_binary, text_key, with_possible
 from nomina.operators.cluster import components
 from nomina.session import materialize
 
@@ -94,7 +94,7 @@ def set_keys(distinct: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out.byteswap()  # big-endian bytes, so that names sort as numbers
 
 
-def _sketch(k: int):
+def _sketch(k: int, carried: tuple[str, ...] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, distinct, at in distinct_shingles(batch.column("text"), k):
@@ -105,8 +105,9 @@ def _sketch(k: int):
                         pa.array(np.diff(at)),
                         ragged_binary(set_keys(distinct, at).reshape(-1), np.arange(n + 1) * 2),
                         ragged_binary(registers(distinct, at).reshape(-1), np.arange(n + 1) * REGISTERS),
+                        *(batch.column(c).slice(first, n) for c in carried),
                     ],
-                    names=["doc_id", "n_shingles", "key", "registers"],
+                    names=["doc_id", "n_shingles", "key", "registers", *carried],
                 )
 
     return run
@@ -245,6 +246,19 @@ def links(docs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFram
     return dealt(placed, "cluster", "i", "j").mapInArrow(_verify(percent), "name_1 binary, name_2 binary")
 
 
+def _clusters(source: DataFrame, full: DataFrame, k: int, percent: int) -> DataFrame:
+    """``(key, rep, cluster)``: the component of each class of equal shingle sets."""
+    classes = materialize(
+        full.groupBy("key").agg(
+            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")
+        ),
+        "classes",
+    )
+    found = materialize(links(source, classes, k, percent), "confirmed-links")
+    members = components(found).select(F.col("name").alias("key"), F.col("cluster_id").alias("cluster"))
+    return classes.select("key", "rep").join(members, "key", "left").withColumn("cluster", F.coalesce("cluster", "key"))
+
+
 def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per row of ``docs(doc_id, text)``.
 
@@ -259,17 +273,26 @@ def near_duplicates(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame
     source = docs.select("doc_id", "text")
     sketches = materialize(sketch(source, k), "hyperminhash")
     full = sketches.filter("n_shingles > 0")
-    classes = materialize(
-        full.groupBy("key").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")
-        ),
-        "classes",
-    )
-    found = materialize(links(source, classes, k, percent), "confirmed-links")
-    members = components(found).select(F.col("name").alias("key"), F.col("cluster_id").alias("cluster"))
-    placed = classes.select("key", "rep").join(members, "key", "left").withColumn("cluster", F.coalesce("cluster", "key"))
+    placed = _clusters(source, full, k, percent)
     lowest = placed.groupBy("cluster").agg(F.min("rep").alias("component_id"))
     named = placed.join(lowest, "cluster").select("key", "component_id")
     linked = full.select("doc_id", "n_shingles", "key").join(named, "key").select("doc_id", "n_shingles", "component_id")
     alone = sketches.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def repeats(docs: DataFrame, k: int = 3, percent: int = 85) -> DataFrame:
+    """``(doc_id, text_key)`` of the documents that are linked as in ``near_duplicates`` with one that stays.
+
+    Id and text name a document, so texts that share an id, or have none, are told apart.
+    The smallest id of a component stays, null last, and the smallest key where it repeats.
+    """
+    source = docs.select("doc_id", "text", text_key().alias("text_key"))
+    sketches = source.mapInArrow(_sketch(k, ("text_key",)), f"{SKETCH}, text_key binary")
+    full = materialize(sketches.filter("n_shingles > 0"), "hyperminhash")
+    here = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    firsts = full.groupBy("key").agg(F.min(here).alias("first"))
+    placed = materialize(_clusters(source.drop("text_key"), full, k, percent).join(firsts, "key").select("key", "cluster", "first"), "placed")
+    stays = placed.groupBy("cluster").agg(F.min("first").alias("stays"))
+    named = placed.join(stays, "cluster").select("key", "stays")
+    return full.join(named, "key").filter(~here.eqNullSafe(F.col("stays"))).select("doc_id", "text_key").distinct()
