@@ -3,9 +3,12 @@
 Vectors of one label that are equal are one class. Labels are cut into overlapping cluster
 shards of bounded size (centres from bounded samples, each vector in its two nearest
 clusters). A shard builds a graph whose neighbour lists are pruned robustly (Vamana,
-Subramanya et al.); the lists a vector gets in its shards are united. Each shard is then
-searched from its medoid for every member: a greedy walk first, then all neighbours of
-every vector inside the range until none is new. Links are confirmed in doubles.
+Subramanya et al.) and whose parts are joined by spanning edges; the lists a vector gets in
+its shards are united. Each shard is then searched for every member, from the member itself
+and from the medoid: a greedy walk first, then all neighbours of every vector inside the
+range until none is new. Whatever the walk has not met is compared at the end, so no link
+inside a shard (of bounded size) depends on how the graph hangs together. Links are
+confirmed in doubles.
 
 A shard that no cut makes smaller (a dense group) is cut into blocks, and each two blocks
 are one shard, so no pair of such a group is lost.
@@ -119,8 +122,22 @@ def robust_graph(u: np.ndarray) -> np.ndarray:
     return out
 
 
+def spanning_edges(u: np.ndarray, near: np.ndarray) -> list[tuple[int, int]]:
+    """Edges that connect the graph's parts: from each part's first vector to the most similar one of the parts before it."""
+    part = np.arange(len(u))
+    x, y = np.nonzero(near >= 0)
+    for member, root in forest(len(u), x, near[x, y]):
+        part[member] = root
+    heads = np.unique(part)
+    out = []
+    for head in heads[1:].tolist():
+        before = np.flatnonzero(part < head)
+        out.append((head, int(before[np.argmax(u[before] @ u[head])])))
+    return out
+
+
 def range_search(u: np.ndarray, adjacent: list[np.ndarray], queries: np.ndarray, threshold: float) -> np.ndarray:
-    """Pairs (query, row) with similarity >= threshold that a walk from the medoid finds."""
+    """All pairs (query, row) with similarity >= threshold: a walk from the query and the medoid, then the rows it has not met."""
     n = len(u)
     degree = max(1, max((len(a) for a in adjacent), default=1))
     table = np.full((n, degree), -1, dtype=np.int64)
@@ -135,6 +152,7 @@ def range_search(u: np.ndarray, adjacent: list[np.ndarray], queries: np.ndarray,
         b = len(q)
         score = np.full((b, n), -2.0)
         score[:, medoid] = q @ u[medoid]
+        score[np.arange(b), queries[a : a + 128]] = np.einsum("ij,ij->i", q, q)
         expanded = np.zeros((b, n), dtype=bool)
         active = np.arange(b)
         while len(active):
@@ -160,6 +178,7 @@ def range_search(u: np.ndarray, adjacent: list[np.ndarray], queries: np.ndarray,
                 x, y = rr[s : s + (1 << 16)], to[s : s + (1 << 16)]
                 score[x, y] = np.einsum("ij,ij->i", q[x], u[y])
             active = np.unique(r)
+        score = np.where(score > -2, score, q @ u.T)
         x, y = np.nonzero(score >= threshold)
         keep = queries[a + x] != y
         pairs.append(np.c_[queries[a + x[keep]], y[keep]])
@@ -169,8 +188,11 @@ def range_search(u: np.ndarray, adjacent: list[np.ndarray], queries: np.ndarray,
 def _graph(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in groups(batches, ("shard",)):
         ids = group.column("id").to_numpy()
-        near = robust_graph(matrix(group.column("u")))
+        u = matrix(group.column("u"))
+        near = robust_graph(u)
         lists = [ids[row[row >= 0]] for row in near]
+        for x, y in spanning_edges(u, near):
+            lists[x] = np.append(lists[x], ids[y])
         yield pa.RecordBatch.from_arrays([group.column("id").combine_chunks(), pa.array(lists, pa.list_(pa.int64()))], names=["id", "near"])
 
 
