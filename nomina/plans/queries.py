@@ -448,7 +448,7 @@ def gbt_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = materialize(
         pairs.pair_features(pairs.balanced_split(inputs.name_pairs(spark, sf_dir))), "model-features"
     ).withColumn("is_test", F.col("split") == "test")
-    model = models.boosted_trees(features, validation="is_test", rounds=10, max_depth=4)
+    model = models.boosted_trees(features, validation="is_test")
     return models.compare_names(model, features.filter("is_test")).select("pair_id", "is_duplicate", "score", "verdict")
 
 
@@ -458,7 +458,7 @@ def mlp_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoder = Encoder(build_vocabulary(table, ["name_1", "name_2"]))
     encoded = models.encoded_pairs(table, encoder)
     train = materialize(encoded.filter(F.col("split") == "train").select("is_duplicate", "features"), "model-train")
-    model = models.perceptron(train, inputs=2 * encoder.length, hidden=(16,), epochs=10)
+    model = models.perceptron(train, inputs=2 * encoder.length)
     return models.compare_names(model, encoded.filter(F.col("split") == "test")).select(
         "pair_id", "is_duplicate", "score", "verdict"
     )
