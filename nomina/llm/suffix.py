@@ -1,6 +1,8 @@
-"""Exact repeated substrings by bucket-pointer refinement of q-gram buckets.
+"""Repeated substrings by hashed anchors, in place of bucket-pointer refinement.
 
-A 200-byte string is two 100-byte grams, the second at a later offset. Buckets of
+Buckets are hash values without an order, whole runs of strings are compared by one hash,
+and there is one step of refinement, not a recursion; results are exact up to collisions
+of 64-bit hashes. A 200-byte string is two 100-byte grams, the second at a later offset. Buckets of
 100-byte grams are formed first, then refined by the bucket of the gram 100 bytes on:
 a name of 200 bytes is made of two names of 100, which are reused and never recomputed.
 
