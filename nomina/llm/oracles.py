@@ -67,4 +67,49 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM c LEFT JOIN n USING (vec_id)
 """
 
-ORACLES = {"op1_ball_tree": OP1, "op2_flat_graph": OP2, "op10_hyperminhash": OP10}
+_STEPS = " UNION ALL ".join(f"SELECT filter_order, {i} AS step FROM orders" for i in range(1, 6))
+
+OP12 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), {_WORDS}) AS w FROM documents
+), m AS (
+  SELECT doc_id, part, (len(w) < 50)::INT + 2 * (100 * len(list_distinct(w)) < 65 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM d
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), c AS (
+  SELECT part, mask, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+  FROM m LEFT JOIN l USING (doc_id) GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), s AS (
+  SELECT filter_order, step, filter_order[step] AS letter, 1 << (ascii(filter_order[step]) - 65) AS bit,
+    list_sum(list_transform(range(1, step), lambda i: 1 << (ascii(filter_order[i]) - 65))) AS before
+  FROM ({_STEPS})
+), o AS (
+  SELECT part, filter_order, step, letter, n, good, toxic, mask = bit AS alone,
+    mask & bit <> 0 AS fails, mask & coalesce(before, 0)::INT <> 0 AS gone
+  FROM c, s
+), a AS (
+  SELECT part, filter_order, step, letter,
+    sum(CASE WHEN NOT fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN fails AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN fails AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN alone THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN fails AND NOT gone AND good THEN n ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN fails AND NOT gone AND toxic THEN n ELSE 0 END)::BIGINT AS toxic_lost
+  FROM o GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+FROM a
+"""
+
+ORACLES = {"op1_ball_tree": OP1, "op2_flat_graph": OP2, "op10_hyperminhash": OP10, "op12_filter_audit": OP12}
