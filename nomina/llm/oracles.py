@@ -67,6 +67,32 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM c LEFT JOIN n USING (vec_id)
 """
 
+_TERMS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+OP11 = f"""
+WITH b AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all({_LOWER}, {_TERMS}) AS w FROM benchmark WHERE text IS NOT NULL
+), v AS (
+  SELECT DISTINCT item, n, array_to_string(w[i : i + n - 1], ' ') AS win
+  FROM (SELECT item, w, least(10, len(w)) AS n, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS i FROM b WHERE len(w) > 0)
+), d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce({_LOWER}, ''), {_TERMS}) AS w FROM documents
+), g AS (
+  SELECT row, n, p, array_to_string(w[p : p + n - 1], ' ') AS win
+  FROM (SELECT row, w, n, unnest(generate_series(1, len(w) - n + 1)) AS p FROM d, (SELECT DISTINCT n FROM v) WHERE len(w) >= n)
+), m AS (
+  SELECT row, p, n, item FROM g JOIN v USING (n, win)
+), h AS (
+  SELECT row, count(DISTINCT place) AS n_hit
+  FROM (SELECT row, unnest(generate_series(p, p + n - 1)) AS place FROM (SELECT DISTINCT row, p, n FROM m)) GROUP BY row
+), i AS (
+  SELECT row, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM m GROUP BY row
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (row) LEFT JOIN i USING (row)
+"""
+
 _STEPS = " UNION ALL ".join(f"SELECT filter_order, {i} AS step FROM orders" for i in range(1, 6))
 
 OP12 = rf"""
@@ -112,4 +138,4 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM a
 """
 
-ORACLES = {"op1_ball_tree": OP1, "op2_flat_graph": OP2, "op10_hyperminhash": OP10, "op12_filter_audit": OP12}
+ORACLES = {"op1_ball_tree": OP1, "op2_flat_graph": OP2, "op10_hyperminhash": OP10, "op11_decontaminate": OP11, "op12_filter_audit": OP12}
