@@ -30,7 +30,7 @@ from pyspark.sql.types import ArrayType, LongType, StructType
 
 from nomina.llm import textbytes as tb
 from nomina.llm.common import ragged_binary
-from nomina.llm.terms import term_hashes
+from nomina.llm.terms import fetched, term_hashes, text_blocks, word_numbers
 from nomina.session import materialize
 
 WINDOW = 10
@@ -104,15 +104,6 @@ def blocks_of(texts: pa.Array, window: int = WINDOW) -> list[Block]:
     return blocks
 
 
-def word_numbers(hashes: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """A word's number in the vocabulary, 0 for other words."""
-    if len(vocabulary) == 0:
-        return np.zeros(len(hashes), dtype=np.int64)
-    found = np.searchsorted(vocabulary, hashes)
-    found[found == len(vocabulary)] = 0
-    return np.where(vocabulary[found] == hashes, found + 1, 0)
-
-
 def _triples(values: np.ndarray, step: int) -> np.ndarray:
     """Three values, ``step`` apart, in one number; nothing follows a zero."""
     a, b, c = (values[i * step : len(values) - (2 - i) * step].astype(np.uint64) for i in range(3))
@@ -323,19 +314,6 @@ def _longs(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), dtype=np.int64), np.repeat(np.arange(len(column)), np.diff(offsets) // 8)
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[DataFrame]:
-    """The distinct texts of the items in blocks of about ``block_bytes``, which bounds what is sent to tasks."""
-    texts = materialize(benchmark.select("text").filter(F.length("text") > 0).distinct(), "items")
-    size = texts.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    n_blocks = max(1, -(-size // block_bytes))
-    block = F.pmod(F.xxhash64("text"), F.lit(n_blocks))
-    return [texts.filter(block == i) for i in range(n_blocks)]
-
-
-def _texts(items: DataFrame) -> pa.Array:
-    return items.orderBy("text").toArrow().column("text").combine_chunks()
-
-
 _SCANNED = ["row", "text", "n_words", "spans", "windows"]
 
 
@@ -346,7 +324,7 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, carri
     """
     rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row"), "text")
     schema = StructType([*rows.schema.fields]).add("n_words", "long").add("spans", "binary").add("windows", "binary")
-    blocks = [b for items in item_blocks(benchmark) for b in blocks_of(_texts(items), window)]
+    blocks = [b for items in text_blocks(benchmark, BLOCK_BYTES) for b in blocks_of(fetched(items), window)]
     if not blocks:  # nothing to look for: words are counted all the same
         blocks = [Block(*(np.zeros(0, dtype=t) for t in ("u8", "u8", "u8", "i8", "i8", "i8", "i8", "u8", "i8")))]
     for i, block in enumerate(blocks):
@@ -385,8 +363,8 @@ def longest_matches(documents: DataFrame, benchmark: DataFrame, window: int = WI
     id_type = dict(rows.dtypes)["doc_id"]
     schema = f"text string, item_word long, n_words long, doc_id {id_type}, doc_word long"
     found = rows.sparkSession.createDataFrame([], schema)
-    for items in item_blocks(benchmark):
-        texts = _texts(items)
+    for items in text_blocks(benchmark, BLOCK_BYTES):
+        texts = fetched(items)
         for block in blocks_of(texts, window):
             found = found.unionByName(rows.mapInArrow(_places(block, texts.to_pylist()), schema))
     order = F.struct((-F.col("n_words")).alias("n"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "doc_word")

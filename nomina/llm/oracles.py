@@ -138,4 +138,28 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM a
 """
 
-ORACLES = {"op1_ball_tree": OP1, "op2_flat_graph": OP2, "op10_hyperminhash": OP10, "op11_decontaminate": OP11, "op12_filter_audit": OP12}
+OP13 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce({_LOWER}, ''), {_TERMS}) AS w FROM documents
+), s AS (
+  SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS terms FROM d WHERE len(w) > 0
+), p AS (
+  SELECT row, term, count(*)::BIGINT AS tf FROM (SELECT row, unnest(w) AS term FROM d) GROUP BY ALL
+), f AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS weight
+  FROM (SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term), s
+), q AS (
+  SELECT item, item_id, term, count(*)::BIGINT AS n FROM (
+    SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(coalesce({_LOWER}, ''), {_TERMS})) AS term FROM benchmark
+  ) GROUP BY ALL
+), m AS (
+  SELECT row, doc_id, 25 + (75 * len(w) * docs) // terms AS m FROM d, s
+), r AS (
+  SELECT item, item_id, row, doc_id, sum(n * weight * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN p USING (term) JOIN m USING (row) GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER o)::INTEGER AS rank, doc_id, score FROM r WHERE score > 0
+WINDOW o AS (PARTITION BY item ORDER BY score DESC, doc_id) QUALIFY row_number() OVER o <= 10
+"""
+
+ORACLES = {"op1_ball_tree": OP1, "op2_flat_graph": OP2, "op10_hyperminhash": OP10, "op11_decontaminate": OP11, "op12_filter_audit": OP12, "op13_norm_buckets": OP13}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nomina.llm import balltree, chaining, decontaminate, filteraudit, flatgraph, fuzzylines, hyperminhash, mixing, ngramtrie, packing, suffix, toxicity
+from nomina.llm import balltree, chaining, decontaminate, filteraudit, flatgraph, fuzzylines, hyperminhash, mixing, ngramtrie, normbuckets, packing, suffix, toxicity
 from nomina.llm.common import table
 
 
@@ -57,10 +57,14 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filteraudit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normbuckets.top_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_ball_tree, op2_flat_graph, op3_chaining, op4_mixing, op5_packing, op6_fuzzy_lines, op7_toxicity, op8_suffix_array, op9_ngram_trie, op10_hyperminhash, op11_decontaminate, op12_filter_audit, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_ball_tree, op2_flat_graph, op3_chaining, op4_mixing, op5_packing, op6_fuzzy_lines, op7_toxicity, op8_suffix_array, op9_ngram_trie, op10_hyperminhash, op11_decontaminate, op12_filter_audit, op13_norm_buckets, pipeline)}
