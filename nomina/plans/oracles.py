@@ -458,6 +458,10 @@ def _oracles() -> dict[str, str]:
           CASE WHEN round(score, 6) > 0.99 THEN {q("Одинаковое название")} ELSE {q("Другое название")} END AS verdict FROM predicted""",
     )
     sql["positions"] = "SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) AS position FROM orders"
+    sql["positions_of_hashes"] = """SELECT o_orderkey, o_orderstatus, md5(o_orderkey::VARCHAR) AS hashed,
+      row_number() OVER (PARTITION BY o_orderstatus ORDER BY hashed) AS position FROM orders"""
+    sql["positions_of_texts"] = """SELECT lang, doc_id,
+      row_number() OVER (PARTITION BY lang ORDER BY text NULLS FIRST, doc_id NULLS FIRST) AS position FROM documents"""
     sql["balanced_split"] = with_(
         [TITLES, NAME_PAIRS, "sizes AS (SELECT count(*) AS pos FROM name_pairs WHERE is_duplicate = 1)",
          "ranked AS (SELECT *, row_number() OVER (PARTITION BY is_duplicate ORDER BY pair_id) AS rn FROM name_pairs)"],

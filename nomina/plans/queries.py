@@ -166,6 +166,18 @@ def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_position(orders, "o_orderkey", ["o_orderstatus"])
 
 
+def positions_of_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by a hash of their key, as scattered as ids can be."""
+    orders = inputs.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", F.md5(F.col("o_orderkey").cast("string")).alias("hashed"))
+    return with_position(orders, "hashed", ["o_orderstatus"])
+
+
+def positions_of_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in the order of their texts within a language; copies follow each other by id."""
+    documents = inputs.table(spark, sf_dir, "documents").select("lang", "text", "doc_id")
+    return with_position(documents, "text", ["lang"]).drop("text")
+
+
 def balanced_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.balanced_split(inputs.name_pairs(spark, sf_dir)).select("pair_id", "is_duplicate", "split")
 
@@ -470,7 +482,7 @@ QUERIES: dict[str, Query] = {
         normalize_names, normalize_steps, normalize_pipeline, name_tokens, decoded_queries, entity_names,
         page_records, page_links, first_page_links, result_links, record_lookup,
         bulk_load_frame, bulk_load_chunks, distinct_names, swapped_pairs, symmetric_pairs, pair_slice, pairs_csv,
-        pair_features, pair_scores, positions, balanced_split, kfold, random_split,
+        pair_features, pair_scores, positions, positions_of_hashes, positions_of_texts, balanced_split, kfold, random_split,
         confusion, classification_report, score_summary, threshold_sweep, best_threshold, roc_auc,
         tune_weights, trial_history, trial_distribution, trial_histogram, trial_evaluations,
         name_clusters, cluster_sizes, large_clusters, cluster_uniqueness, frontier_neighbours,

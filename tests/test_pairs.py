@@ -60,13 +60,12 @@ def test_set_operations(table):
     assert pairs.symmetric(table.select("name_1", "name_2")).count() == 9  # ("", "") is its own mirror image
 
 
-@pytest.mark.parametrize("block", [1, 3, 1 << 18])
-def test_positions_across_blocks(spark, monkeypatch, block):
-    monkeypatch.setattr(ranking, "BLOCK", block)
+@pytest.mark.parametrize("parts", [1, 3, 16])
+def test_positions_of_ids(spark, parts):
     rng = random.Random(1)
-    ids = rng.sample(range(-50, 1000), 80)
+    ids = rng.sample(range(-50, 1000), 80) + [1 << 60, -(1 << 61)]
     rows = [(i, rng.choice("ab") if i % 7 else None) for i in ids]
-    frame = spark.createDataFrame(rows, "id long, k string")
+    frame = spark.createDataFrame(rows, "id long, k string").repartition(parts)
     got = {r.id: r.position for r in ranking.with_position(frame, "id", ["k"]).collect()}
     want = {}
     for k in ("a", "b", None):
@@ -75,6 +74,40 @@ def test_positions_across_blocks(spark, monkeypatch, block):
     assert [r.id for r in ranking.take_slice(frame, "id", 5, 9).orderBy("id").collect()] == sorted(ids)[5:9]
 
 
+def test_positions_of_any_key(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["", "é", "b", "aa", None]), [rng.randint(0, 2)], rng.choice([0.5, float("nan")]), i % 40, {"m": 1}) for i in range(200)]
+    rows += [("b", [1], 0.5, 7, {"m": 1})] * 100  # a third of all rows is one row
+    frame = spark.createDataFrame(rows, "part string, place array<int>, n double, any int, row map<string,int>")
+    by_text = ranking.with_position(frame, ["part", "place"], name="p")
+    assert by_text.columns == [*frame.columns, "p"]
+    got = sorted(by_text.collect(), key=lambda r: r.p)
+    assert [r.p for r in got] == list(range(1, 301))
+    key = lambda r: ((r[0] is not None, (r[0] or "").encode()), r[1], (r[2] != r[2], r[2] if r[2] == r[2] else 0), r[3])
+    assert [key(r) for r in got] == sorted(map(key, rows))
+    inside = ranking.with_position(frame, "n", ["part"]).collect()
+    for part in ("", "é", "b", "aa", None):
+        assert sorted(r.position for r in inside if r.part == part) == list(range(1, 1 + sum(r[0] == part for r in rows)))
+
+
+def test_no_part_of_a_ranking_holds_a_hot_key(spark, monkeypatch):
+    seen = []
+    store = ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda df, label: seen.append(store(df, label)) or seen[-1])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        frame = spark.range(4000).select(F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id")).alias("key"))
+        ranking.with_position(frame, "key").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [r["count"] for r in seen[0].groupBy("part").count().collect()]
+    assert len(sizes) == 4 and max(sizes) < 1500
+
+
+def test_positions_of_nothing(spark):
+    assert ranking.with_position(spark.createDataFrame([], "a string, b int"), "a", ["b"]).collect() == []
+
+
 def test_balanced_split(spark):
     rng = random.Random(2)
     labels = [int(rng.random() < 0.3) for _ in range(101)]
