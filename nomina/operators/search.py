@@ -3,30 +3,31 @@
 Per query and field the ten best documents by BM25 are found, relevant ones kept,
 collapsed by their shortest name and merged over the fields.
 
-What keeps the work in proportion to queries and documents:
+What keeps the work in proportion to queries:
 
 * equal query strings are searched once, and documents with equal text in a field are
   one *text* that stands for its first ten documents;
 * a query meets a text through the terms they share, never by pairing them all;
-* terms found in very many texts are *hot* and get no postings. What they add to a score
-  travels with the few hot terms of a text and of a query.
-
-Texts that share nothing but hot terms with a query are found in steps, each exact:
-
-1. sharing one hot term: the ten best texts of that term are all that can place;
-2. sharing several, only where the best score such a text can reach is not below the tenth
-   best found so far: pairs of hot terms have postings of their own;
-3. where even a pair is in very many texts, texts with the same hot terms form a group, of
-   which the ten shortest texts are all that can place, and groups take the place of texts.
-
-Queries with the same hot terms and weights go through these steps as one.
+* terms found in more than a fixed number of texts are *hot* and get no postings of their own.
+  What they add to a score travels with the few hot terms of a text and of a query.
+
+Texts that share nothing but hot terms with a query are found in blocks. Texts with equal hot
+terms are one group, of which the ten shortest are all that can place. Groups are ordered by
+their rarest terms first and cut into blocks of blocks; a block knows the largest frequency and
+least length of each term inside it, and so a bound of what any of its texts can score. Queries
+descend level by level, twice: first with the ten best blocks of each level only, which gives a
+tenth score to beat, then with all blocks whose bound reaches it. Both are exact together, since
+a block below the tenth score holds no text that places.
+
+An index consists of segments (``nomina.sources.index``): each has texts, postings and blocks of
+its own, and a search adds their document counts up before it ranks, so the result is that of
+one index over all documents.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,83 +46,112 @@ K1, B = 1.2, 0.75
 LEAST_ENGINE_SCORE = 0.01
 LEAST_SCORE = 0.3
 
-_BAG = "array<struct<term:string,tf:int>>"
-MOST_BROADCAST_TERMS = 100_000
-FEWEST_HOT_TEXTS = 1000  # no term found in fewer texts is hot
 SCORE_DIGITS = 9
 FEW_TERMS = 6
+_ROUNDING = 10.0**-SCORE_DIGITS
 
 
 @dataclass(frozen=True)
 class FieldStatistics:
-    """What ranking needs to know about a field; a handful of numbers per field."""
+    """What ranking needs to know about a field; two numbers per field."""
 
     n_docs: int
     mean_length: float
-    hot_texts: int
 
 
 @dataclass(frozen=True)
 class SearchIndex:
-    """Stored tables behind a search.
-
-    ``documents(doc_id, <all fields>)``; ``texts(field, text_id, norm, hot, rare, hot_tf)``
-    with the ``(term, tf)`` of each distinct text and its length norm; ``terms(field, term, idf,
-    ceiling, is_hot)``; ``best_texts(field, term, text_id, norm, hot)`` with the ten best texts of each
-    hot term; ``text_documents(field, text_id, doc_id)`` with the first documents of each text.
+    """Stored tables behind a search, each with a ``segment`` number.
+
+    ``documents(doc_id, <all fields>)``; ``texts(field, text_id, length, rare, hot_tf)`` with
+    the ``(term, tf)`` of each distinct text; ``terms(field, term, df, is_hot, max_tf,
+    min_length)``; ``text_documents(field, text_id, doc_id)`` with the first documents of each
+    text; ``nodes(level, field, parent, node, term, max_tf, min_length, least_id)`` with the
+    blocks of hot terms and ``members(field, node, text_id, length, hot_tf)`` with the texts of
+    the lowest ones. ``levels`` has the top level of each segment with hot terms.
     """
 
     documents: DataFrame
     texts: DataFrame
     terms: DataFrame
-    best_texts: DataFrame
     text_documents: DataFrame
+    nodes: DataFrame
+    members: DataFrame
     fields: tuple[str, ...]
     statistics: dict[str, FieldStatistics]
+    segments: tuple[int, ...]
+    levels: dict[int, int]
+
+    def only(self, fields: Sequence[str]) -> SearchIndex:
+        """The same index searched in some of its fields."""
+        check_fields(fields, self.fields)
+        return replace(self, fields=tuple(f for f in self.fields if f in fields))
 
 
-def _as_rows(documents: DataFrame, fields: Sequence[str]) -> DataFrame:
+def as_rows(documents: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """``(doc_id, field, text)``: one row per field that is not empty."""
     cells = F.array(*(F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields))
     return documents.select("doc_id", F.inline(cells)).filter(F.col("text") != "")
 
 
-def _term_counts(terms: Column) -> Column:
-    return F.transform(
-        F.array_distinct(terms),
-        lambda t: F.struct(t.alias("term"), F.size(F.filter(terms, lambda x: x == t)).alias("tf")),
-    )
-
-
-def field_statistics(texts: DataFrame) -> DataFrame:
-    """Per field: documents, mean length and texts."""
-    return texts.groupBy("field").agg(
-        F.sum("n_docs").alias("n_docs"),
-        (F.sum(F.col("n_docs") * F.col("length")) / F.sum("n_docs")).alias("mean_length"),
-        F.count("*").alias("n_texts"),
-    )
-
+def with_term_counts(df: DataFrame, text: Column) -> DataFrame:
+    """Add ``length`` and ``counts``, the distinct terms of a text with their frequencies.
 
-def term_statistics(texts: DataFrame, statistics: dict[str, FieldStatistics]) -> DataFrame:
-    """Per field and term: documents and texts with it, its inverse document frequency and highest factor."""
-    terms = texts.select("field", "n_docs", _norm(statistics).alias("norm"), F.inline("counts"))
-    counted = terms.groupBy("field", "term").agg(
-        F.sum("n_docs").alias("df"), F.count("*").alias("n_texts"), F.max(factor(F.col("tf"), F.col("norm"))).alias("ceiling")
+    Runs of the sorted terms are counted, so a long text costs a sort. Each step is a column
+    of its own: inside a lambda it would be computed once per element.
+    """
+    sorted_terms = df.withColumn("_terms", F.array_sort(index_terms(text)))
+    places = F.when(F.size("_terms") > 0, F.sequence(F.lit(0), F.size("_terms") - 1)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(places, lambda i: (i == 0) | (F.get("_terms", i - 1) != F.get("_terms", i)))
+    begun = sorted_terms.withColumn("_starts", starts)
+    counts = F.transform(
+        "_starts",
+        lambda at, i: F.struct(F.get("_terms", at).alias("term"), (F.coalesce(F.get("_starts", i + 1), F.size("_terms")) - at).alias("tf")),
     )
-    n, df = _per_field({f: x.n_docs for f, x in statistics.items()}), F.col("df")
-    return counted.withColumn("idf", F.log1p((n - df + 0.5) / (df + 0.5)))
+    return begun.withColumns({"length": F.size("_terms"), "counts": counts}).drop("_terms", "_starts")
 
 
 def distinct_texts(documents: DataFrame, fields: Sequence[str] = FIELDS) -> DataFrame:
     """``(field, text_id, n_docs, length, counts)``: texts with at least one term; the id is the first document's."""
-    grouped = _as_rows(documents, fields).groupBy("field", "text").agg(
+    grouped = as_rows(documents, fields).groupBy("field", "text").agg(
         F.min("doc_id").alias("text_id"), F.count("*").alias("n_docs")
     )
-    with_terms = grouped.withColumn("terms", index_terms(F.col("text"))).filter(F.size("terms") > 0)
-    return with_terms.select(
-        "field", "text_id", "n_docs", F.size("terms").alias("length"), _term_counts(F.col("terms")).alias("counts")
+    counted = with_term_counts(grouped, F.col("text")).filter(F.col("length") > 0)
+    return counted.select("field", "text_id", "n_docs", "length", "counts")
+
+
+def field_totals(texts: DataFrame) -> DataFrame:
+    """``(field, n_docs, total_length)``: one row per field."""
+    return texts.groupBy("field").agg(F.sum("n_docs").alias("n_docs"), F.sum(F.col("n_docs") * F.col("length")).alias("total_length"))
+
+
+def add_up(rows: Sequence) -> dict[str, FieldStatistics]:
+    """Statistics of all segments from their totals."""
+    fields = {row["field"] for row in rows}
+    docs = {f: sum(row["n_docs"] for row in rows if row["field"] == f) for f in fields}
+    length = {f: sum(row["total_length"] for row in rows if row["field"] == f) for f in fields}
+    return {f: FieldStatistics(docs[f], length[f] / docs[f]) for f in fields}
+
+
+def term_totals(texts: DataFrame) -> DataFrame:
+    """Per field and term: documents and texts with it, its largest frequency and its shortest text."""
+    terms = texts.select("field", "n_docs", "length", F.inline("counts"))
+    return terms.groupBy("field", "term").agg(
+        F.sum("n_docs").alias("df"), F.count("*").alias("n_texts"), F.max("tf").alias("max_tf"), F.min("length").alias("min_length")
     )
 
 
+def idf(n_docs: Column, df: Column) -> Column:
+    return F.log1p((n_docs - df + 0.5) / (df + 0.5))
+
+
+def term_statistics(texts: DataFrame) -> DataFrame:
+    """``(field, term, df, idf)`` of all terms."""
+    totals = add_up(field_totals(texts).collect())  # one row per searched field
+    terms = term_totals(texts)
+    return terms.select("field", "term", "df", idf(_per_field({f: x.n_docs for f, x in totals.items()}), F.col("df")).alias("idf"))
+
+
 def _per_field(values: dict[str, float]) -> Column:
     """A number that depends on the field, as a constant lookup."""
     out = F.lit(None).cast("double")
@@ -135,78 +165,15 @@ def factor(tf: Column, norm: Column) -> Column:
     return (K1 + 1) * tf / (tf + norm)
 
 
-def _norm(statistics: dict[str, FieldStatistics]) -> Column:
-    share = F.col("length") / _per_field({f: x.mean_length for f, x in statistics.items()})
+def _norm(statistics: dict[str, FieldStatistics], length: str = "length") -> Column:
+    share = F.col(length) / _per_field({f: x.mean_length for f, x in statistics.items()})
     return K1 * (1 - B + B * share)
 
 
-def collect_statistics(texts: DataFrame, hot_texts: int | None = None) -> dict[str, FieldStatistics]:
-    def limit(n_texts: int) -> int:
-        return hot_texts if hot_texts is not None else max(FEWEST_HOT_TEXTS, math.isqrt(n_texts))
-
-    rows = field_statistics(texts).collect()  # one row per searched field
-    return {row.field: FieldStatistics(row.n_docs, row.mean_length, limit(row.n_texts)) for row in rows}
-
-
-def build_index(documents: DataFrame, fields: Sequence[str] = FIELDS, hot_texts: int | None = None) -> SearchIndex:
-    """Analyse the documents and store the tables a search reads.
-
-    A term is hot when more texts than ``hot_texts`` have it; by default the larger of
-    1000 and the square root of the number of texts, which bounds both the postings of
-    a term and the number of hot terms.
-    """
-    _check_fields(fields)
-    if "doc_id" not in documents.columns:
-        documents = documents.withColumn("doc_id", F.monotonically_increasing_id())
-    # Read for texts, for the first documents of each text and for every search.
-    documents = materialize(documents.select("doc_id", *FIELDS), "documents")
-    texts = materialize(distinct_texts(documents, fields), "texts")
-    statistics = collect_statistics(texts, hot_texts)
-    is_hot = F.col("n_texts") > _per_field({f: x.hot_texts for f, x in statistics.items()})
-    terms = term_statistics(texts, statistics).select("field", "term", "idf", "ceiling", is_hot.alias("is_hot"))
-    terms = materialize(terms, "terms")
-    norm = _norm(statistics).alias("norm")
-    n_hot = terms.filter("is_hot").count()
-    if n_hot == 0:
-        bags = texts.select("field", "text_id", norm, F.array().cast(_BAG).alias("hot"), F.col("counts").alias("rare"))
-    else:
-        hot = terms.filter("is_hot").select("field", "term", "is_hot")
-        if n_hot <= MOST_BROADCAST_TERMS:  # counted just now; beyond that both sides are shuffled
-            hot = F.broadcast(hot)
-        occurrences = texts.select("field", "text_id", norm, F.inline("counts"))
-        entry = F.struct("term", "tf")
-        bags = (
-            occurrences.join(hot, ["field", "term"], "left")
-            .groupBy("field", "text_id")
-            .agg(
-                F.first("norm").alias("norm"),
-                F.sort_array(F.collect_list(F.when(F.col("is_hot"), entry))).alias("hot"),
-                F.collect_list(F.when(F.col("is_hot").isNull(), entry)).alias("rare"),
-            )
-        )
-    # Frequencies of hot terms are stored as a map too: built in a join, it would be built once per match.
-    bags = materialize(bags.withColumn("hot_tf", F.map_from_entries("hot")), "bags")
-    of_hot_terms = bags.select("field", "text_id", "norm", "hot", F.inline("hot"))
-    best_texts = first_per_group(
-        of_hot_terms, ["field", "term"], [F.desc(factor(F.col("tf"), F.col("norm"))), F.col("text_id")], PAGE_SIZE
-    )
-    first_documents = first_per_group(_as_rows(documents, fields), ["field", "text"], [F.col("doc_id")], PAGE_SIZE)
-    text_id = F.min("doc_id").over(Window.partitionBy("field", "text"))
-    return SearchIndex(
-        documents=documents,
-        texts=bags,
-        terms=terms,
-        best_texts=materialize(best_texts.drop("tf"), "best-texts"),
-        text_documents=materialize(first_documents.select("field", text_id.alias("text_id"), "doc_id"), "text-documents"),
-        fields=tuple(fields),
-        statistics=statistics,
-    )
-
-
-def _check_fields(fields: Sequence[str]) -> None:
-    unknown = set(fields) - set(FIELDS)
+def check_fields(fields: Sequence[str], known: Sequence[str] = FIELDS) -> None:
+    unknown = set(fields) - set(known)
     if unknown or not fields:
-        raise ValueError(f"fields must be among {FIELDS}, not {sorted(unknown)}")
+        raise ValueError(f"fields must be among {known}, not {sorted(unknown)}")
 
 
 def _hot_gain(entry: Column, bag: Column, norm: Column) -> Column:
@@ -226,18 +193,20 @@ def _short_hot_score(weights: Column, bag: Column, norm: Column) -> Column:
 
 
 def _profiles(index: SearchIndex, queries: DataFrame, fuzziness: int) -> DataFrame:
-    """``(query_no, field, hot, rare)``: weighted index terms each query reaches in each field."""
-    tokens = queries.select("query_no", F.inline(_term_counts(index_terms(F.col("query"))))).withColumnRenamed("term", "token")
-    vocabulary = index.terms.select("term").distinct()
-    reached = similar_terms(tokens.select("token").distinct(), vocabulary, fuzziness)
-    weighted = (
-        tokens.join(reached, "token")
-        .join(index.terms, "term")
-        .groupBy("query_no", "field", "term", "is_hot", "idf", "ceiling")
-        .agg((F.sum(F.col("tf") * F.col("weight")) * F.col("idf")).alias("weight"))
-    )
+    """``(query_no, segment, field, hot, rare)``: weighted index terms each query reaches in each field."""
+    tokens = with_term_counts(queries, F.col("query")).select("query_no", F.inline("counts")).withColumnRenamed("term", "token")
+    terms = index.terms.filter(F.col("field").isin(list(index.fields)))
+    reached = similar_terms(tokens.select("token").distinct(), terms.select("term").distinct(), fuzziness)
+    weighed = tokens.join(reached, "token").join(terms, "term")
+    keys = ["query_no", "segment", "field", "term", "is_hot", "df", "max_tf", "min_length"]
+    weighed = weighed.groupBy(*keys).agg(F.sum(F.col("tf") * F.col("weight")).alias("weight"))
+    if len(index.segments) > 1:  # documents with the term in all segments, of which a query and term have a row each
+        weighed = weighed.withColumn("df", F.sum("df").over(Window.partitionBy("query_no", "field", "term")))
+    n_docs = _per_field({f: x.n_docs for f, x in index.statistics.items()})
+    ceiling = factor(F.col("max_tf"), _norm(index.statistics, "min_length"))
+    weighed = weighed.withColumn("weight", F.col("weight") * idf(n_docs, F.col("df"))).withColumn("ceiling", ceiling)
     rare, hot = F.struct("term", "weight"), F.struct("term", "weight", "ceiling")
-    return weighted.groupBy("query_no", "field").agg(
+    return weighed.groupBy("query_no", "segment", "field").agg(
         F.sort_array(F.collect_list(F.when(F.col("is_hot"), hot))).alias("hot"),
         F.collect_list(F.when(~F.col("is_hot"), rare)).alias("rare"),
     )
@@ -251,13 +220,14 @@ def _by_rare_terms(index: SearchIndex, profiles: DataFrame) -> DataFrame:
     fields = F.lit(list(FIELDS))
     # The widest rows of a search: the field travels as a number.
     number = F.array_position(fields, F.col("field")).cast("int").alias("field_no")
-    wanted = profiles.select("query_no", "field", number, F.col("hot").alias("weights"), F.inline("rare"))
-    postings = index.texts.select("field", "text_id", "norm", F.col("hot_tf").alias("bag"), F.inline("rare"))
+    wanted = profiles.select("query_no", "segment", "field", number, F.col("hot").alias("weights"), F.inline("rare"))
+    norm = _norm(index.statistics).alias("norm")
+    postings = index.texts.select("segment", "field", "text_id", norm, F.col("hot_tf").alias("bag"), F.inline("rare"))
     gain = (F.col("weight") * factor(F.col("tf"), F.col("norm"))).alias("gain")
 
     def meet(queries: DataFrame, hot_score: Callable[[Column, Column, Column], Column]) -> DataFrame:
         hot = hot_score(F.col("weights"), F.col("bag"), F.col("norm")).alias("hot_score")
-        return queries.join(postings, ["field", "term"]).select("query_no", "field_no", "text_id", gain, hot)
+        return queries.join(postings, ["segment", "field", "term"]).select("query_no", "field_no", "text_id", gain, hot)
 
     few = F.size("weights") <= FEW_TERMS
     met = meet(wanted.filter(few), _short_hot_score).unionAll(meet(wanted.filter(~few), _hot_score))
@@ -268,80 +238,71 @@ def _by_rare_terms(index: SearchIndex, profiles: DataFrame) -> DataFrame:
     return best.select("query_no", F.element_at(fields, F.col("field_no")).alias("field"), "text_id", "engine_score")
 
 
-def _scored(met: DataFrame) -> DataFrame:
-    """Best texts per group of queries, from groups and texts that met through hot terms."""
-    score = F.round(_hot_score(F.col("weights"), F.map_from_entries("bag"), F.col("norm")), SCORE_DIGITS)
-    found = met.select("field", "group_no", "text_id", score.alias("engine_score")).distinct()
-    return _best(found, ["field", "group_no"], "text_id")
-
-
-def _by_one_hot_term(index: SearchIndex, groups: DataFrame) -> DataFrame:
-    best = index.best_texts.withColumnRenamed("hot", "bag")
-    terms = groups.select("field", "group_no", F.col("hot").alias("weights"), F.explode("hot.term").alias("term"))
-    return _scored(terms.join(best, ["field", "term"]))
+_HEAD = ["segment", "field", "head_no"]
 
 
-def _with_pairs(df: DataFrame, terms: Column) -> DataFrame:
-    """One row per pair ``(first, second)`` of a sorted array of terms, generated row by row."""
-    each = df.withColumn("_terms", terms).select("*", F.posexplode("_terms").alias("_at", "first"))
-    later = F.slice(F.col("_terms"), F.col("_at") + 2, F.size("_terms"))
-    return each.select("*", F.explode(later).alias("second")).drop("_terms", "_at")
+def _descend(index: SearchIndex, heads: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Groups of texts that queries reach through the blocks that ``keep`` leaves at each level.
 
-
-def _by_several_hot_terms(index: SearchIndex, groups: DataFrame) -> DataFrame:
-    key = ["field", "first", "second"]
-    groups = _with_pairs(
-        groups.select("field", "group_no", F.col("hot").alias("weights"), F.col("hot.term").alias("terms")), F.col("terms")
-    )
-    wanted = groups.select(key).distinct()
-    texts = index.texts.filter(F.size("hot") > 1).select("field", "text_id", "norm", F.col("hot").alias("bag"))
-    paired = _with_pairs(texts, F.col("bag.term")).join(wanted, key, "left_semi")
-    sizes = paired.groupBy(key).agg(F.count("*").alias("n"))
-    limit = _per_field({f: x.hot_texts for f, x in index.statistics.items()})
-    is_hot = materialize(sizes.select(*key, (F.col("n") > limit).alias("is_hot")), "hot-pairs")
-    # A group and a text meet once: at the first two hot terms they share.
-    shared = F.sort_array(F.array_intersect("terms", "bag.term"))
-    once = (F.col("first") == shared[0]) & (F.col("second") == shared[1])
-
-    cold = paired.join(is_hot.filter(~F.col("is_hot")), key, "left_semi")
-    by_pair = groups.join(cold, key).filter(once)
-
-    # Texts with the same hot terms, equally often, differ in length only: the shorter, the better.
-    hot_pairs = is_hot.filter("is_hot").select(key)
-    first_texts = first_per_group(texts, ["field", "bag"], [F.col("norm"), F.col("text_id")], PAGE_SIZE)
-    alike = first_texts.groupBy("field", "bag").agg(F.collect_list(F.struct("text_id", "norm")).alias("members"))
-    alike = _with_pairs(alike, F.col("bag.term")).join(hot_pairs, key, "left_semi")
-    by_group = groups.join(alike, key).filter(once).select("*", F.inline("members"))
-    columns = ["field", "group_no", "weights", "text_id", "norm", "bag"]
-    return _scored(by_pair.select(columns).unionAll(by_group.select(columns)))
+    ``heads(segment, field, head_no, hot)`` are queries; returns their keys, ``hot`` and ``node``.
+    """
+    wanted = heads.select(*_HEAD, F.inline("hot"))
+    gain = F.col("weight") * factor(F.col("max_tf"), _norm(index.statistics, "min_length"))
+    top, reached = max(index.levels.values()), None
+    for level in range(top, -1, -1):
+        starting = [s for s, t in index.levels.items() if t == level]
+        begun = heads.filter(F.col("segment").isin(starting)).select(*_HEAD, F.lit(0).cast("long").alias("parent"))
+        reached = begun if reached is None else reached.withColumnRenamed("node", "parent").unionByName(begun)
+        blocks = index.nodes.filter(F.col("level") == level).drop("level")
+        met = wanted.join(reached, _HEAD).join(blocks, ["segment", "field", "parent", "term"])
+        bounds = met.groupBy(*_HEAD, "node").agg(F.sum(gain).alias("bound"), F.min("least_id").alias("least_id"))
+        reached = keep(bounds).select(*_HEAD, "node")
+    return reached.join(heads, _HEAD)
+
+
+def _scored(index: SearchIndex, groups: DataFrame) -> DataFrame:
+    """The best texts of each head among the members of groups."""
+    met = groups.join(index.members, ["segment", "field", "node"])
+    score = F.round(_hot_score(F.col("hot"), F.col("hot_tf"), _norm(index.statistics)), SCORE_DIGITS)
+    return _best(met.select(*_HEAD, "text_id", score.alias("engine_score")), _HEAD, "text_id")
 
 
 def _with_hot_terms(index: SearchIndex, profiles: DataFrame, by_rare: DataFrame) -> DataFrame:
     """Complete the best texts with those that share only hot terms with a query."""
-    # Queries with equal hot terms and weights in a field are one group, known by its first query.
-    with_hot = profiles.filter(F.size("hot") > 0).select("query_no", "field", "hot")
-    groups = with_hot.groupBy("field", "hot").agg(F.min("query_no").alias("group_no"))
-    grouped = materialize(with_hot.join(groups, ["field", "hot"]), "query-groups")
-    heads = grouped.filter(F.col("query_no") == F.col("group_no")).drop("query_no")
-
-    def merged(found: DataFrame, of_groups: DataFrame) -> DataFrame:
-        members = grouped.select("query_no", "field", "group_no")
-        of_queries = members.join(of_groups, ["field", "group_no"]).select(*found.columns)
+    # Queries with equal hot terms and weights in a field are one head, known by its first query.
+    with_hot = profiles.filter(F.size("hot") > 0).select("query_no", "segment", "field", "hot")
+    numbers = with_hot.groupBy("segment", "field", "hot").agg(F.min("query_no").alias("head_no"))
+    queries = materialize(with_hot.join(numbers, ["segment", "field", "hot"]), "hot-queries")
+    heads = queries.filter(F.col("query_no") == F.col("head_no")).drop("query_no")
+
+    def merged(found: DataFrame, of_heads: DataFrame) -> DataFrame:
+        of_queries = queries.select("query_no", *_HEAD).join(of_heads, _HEAD).select(*found.columns)
         # A text found both ways has its full score, the larger one, from its rare terms.
         both = found.unionByName(of_queries).groupBy("query_no", "field", "text_id")
         return _best(both.agg(F.max("engine_score").alias("engine_score")), ["query_no", "field"], "text_id")
 
-    found = materialize(merged(by_rare, _by_one_hot_term(index, heads)), "found")
+    def ten_best(bounds: DataFrame) -> DataFrame:
+        return first_per_group(bounds, _HEAD, [F.desc("bound"), F.col("least_id"), F.col("node")], PAGE_SIZE)
+
+    found = materialize(merged(by_rare, _scored(index, _descend(index, heads, ten_best))), "found")
+    # Fewer than ten texts: no level had more than ten blocks, so nothing was left out.
+    to_beat = F.min(F.struct(F.col("engine_score").alias("score"), (-F.col("text_id")).alias("id"))).alias("tenth")
+    tenth = found.groupBy("query_no", "field").agg(F.count("*").alias("n"), to_beat).filter(F.col("n") >= PAGE_SIZE)
     reachable = F.aggregate("hot", F.lit(0.0), lambda s, x: s + x["weight"] * x["ceiling"])
-    tenth = found.groupBy("query_no", "field").agg(F.count("*").alias("n"), F.min("engine_score").alias("lowest"))
-    # Rounded up by one unit, like the scores it is compared with may have been.
-    undecided = (F.col("n") < PAGE_SIZE) | (reachable + 10.0**-SCORE_DIGITS >= F.col("lowest"))
-    still_open = grouped.filter(F.size("hot") > 1).join(tenth, ["query_no", "field"]).filter(undecided)
-    open_groups = still_open.select("field", "group_no").distinct()
-    open_heads = materialize(heads.join(open_groups, ["field", "group_no"]), "open-groups")
-    if open_heads.isEmpty():
+    undecided = queries.join(tenth, ["query_no", "field"]).filter(reachable + _ROUNDING >= F.col("tenth.score"))
+    limits = undecided.groupBy(*_HEAD).agg(F.min("tenth").alias("tenth"))
+    still_open = materialize(heads.join(limits, _HEAD), "open-heads")
+    if still_open.isEmpty():
         return found
-    return merged(found, _by_several_hot_terms(index, open_heads))
+
+    def in_reach(bounds: DataFrame) -> DataFrame:
+        """Blocks that can beat the tenth text, or equal it with a smaller id."""
+        limited = bounds.join(still_open.select(*_HEAD, "tenth"), _HEAD)
+        above = F.col("bound") > F.col("tenth.score") + _ROUNDING
+        equal = (F.col("bound") >= F.col("tenth.score") - _ROUNDING) & (F.col("least_id") <= -F.col("tenth.id"))
+        return limited.filter(above | equal)
+
+    return merged(found, _scored(index, _descend(index, still_open.drop("tenth"), in_reach)))
 
 
 def field_hits(index: SearchIndex, queries: DataFrame, fuzziness: int = 1) -> DataFrame:
@@ -353,10 +314,10 @@ def field_hits(index: SearchIndex, queries: DataFrame, fuzziness: int = 1) -> Da
         raise ValueError(f"fuzziness must be one of {FUZZINESS}, not {fuzziness!r}")
     profiles = materialize(_profiles(index, queries, fuzziness), "profiles", spread_by="query_no")
     texts = _by_rare_terms(index, profiles)
-    if not index.best_texts.isEmpty():
+    if index.levels:
         texts = _with_hot_terms(index, profiles, texts)
     ranked = Window.partitionBy("query_no", "field").orderBy(F.desc("engine_score"), "doc_id")
-    documents = texts.join(index.text_documents, ["field", "text_id"])
+    documents = texts.join(index.text_documents.drop("segment"), ["field", "text_id"])
     return (
         documents.withColumn("hit_rank", F.row_number().over(ranked))
         .filter(F.col("hit_rank") <= PAGE_SIZE)
@@ -397,7 +358,7 @@ def _search(
     distinct = queries.groupBy("query").agg(F.min("query_id").alias("query_no"))
     hits = field_hits(index, distinct, fuzziness).filter(F.col("engine_score") > LEAST_ENGINE_SCORE)
     field_no = F.array_position(F.lit(list(index.fields)), F.col("field"))
-    named = hits.join(index.documents, "doc_id").withColumn("match_key", shortest_value(key_order))
+    named = hits.join(index.documents.drop("segment"), "doc_id").withColumn("match_key", shortest_value(key_order))
     payload = F.struct("company_name", "company_url", "normalized_name")
     # One pass for both collapses: the last hit of the first field gives the payload, the
     # first hit of the first field the place in the merged list.

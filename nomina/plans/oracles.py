@@ -622,9 +622,44 @@ def _oracles() -> dict[str, str]:
     sql["stream_insert"] = with_(
         base,
         f"""SELECT company_name, arg_min(company_url, company_name || chr(0) || company_url) AS company_url, '' AS query_string, normalized_name
-            FROM company WHERE normalized_name NOT IN (SELECT lower(s_name) FROM supplier) GROUP BY company_name, normalized_name
+            FROM company WHERE company_name <> '' AND normalized_name NOT IN (SELECT lower(s_name) FROM supplier) GROUP BY company_name, normalized_name
           UNION ALL SELECT {capitalized("lower(s_name)")}, '', lower(s_name), lower(s_name) FROM supplier""",
     )
+    partial = "SELECT {0} || s_name || {1} AS what FROM supplier UNION ALL SELECT {2} || p_name FROM part"
+    name, broken = q('{"company_name": "'), q('{"company_name": "')
+    in_dump = partial.format(q('{"_source": {"company_name": "'), q('"}}'), broken)
+    in_payloads = partial.format(name, q('"}'), broken)
+    for key, rejected in (("restored_dump_with_rejects", in_dump), ("quarantined_rows", in_payloads)):
+        sql[key] = with_([TITLES, COMPANY], f"SELECT 'stored' AS outcome, company_name AS what FROM company UNION ALL SELECT 'rejected', what FROM ({rejected})")
+    sql["insert_batch_once"] = with_(
+        [TITLES, COMPANY],
+        """SELECT 'stored' AS outcome, company_name AS what FROM (SELECT min(company_name) AS company_name FROM company GROUP BY normalized_name)
+           UNION ALL SELECT 'rejected', company_name FROM company""",
+    )
+    sql["segmented_search"] = with_(
+        [*base,
+         """numbered AS (SELECT row_number() OVER (ORDER BY doc_id % 4, company_name, company_url, normalized_name, query_string) AS doc_id,
+              * EXCLUDE (doc_id) FROM company)""",
+         *search("query_names", docs="numbered")],
+        f"SELECT query_id, query, {MATCH_COLUMNS} FROM query_names JOIN matches USING (query)",
+    )
+    sql["fuzzy_search_hot"] = search_query(1)
+    sql["fuzzy_search_hot_exact"] = search_query(0)
+    sql["stored_enrichment"] = with_(
+        enriched,
+        # The query names its record where it is shorter than the company's name.
+        "SELECT query_id, query, company_name, company_url, 1.0::DOUBLE AS score FROM found WHERE length(query) < length(company_name)",
+    )
+    fresh = "company_name <> '' AND normalized_name NOT IN (SELECT query FROM matches)"
+    sql["stream_insert_relevant"] = with_(
+        [*base, "odd AS (SELECT * FROM query_names WHERE query_id % 2 = 0)",
+         "stored AS (SELECT query_id AS doc_id, '' AS company_name, '' AS company_url, query AS normalized_name, '' AS query_string FROM odd)",
+         "arriving AS (SELECT DISTINCT normalized_name AS query FROM company)",
+         *search("arriving", 0, ("normalized_name",), "stored")],
+        f"""SELECT company_name, arg_min(company_url, company_name || chr(0) || company_url) AS company_url, '' AS query_string, normalized_name
+            FROM company WHERE {fresh} GROUP BY company_name, normalized_name
+          UNION ALL SELECT {capitalized("query")}, '', query, query FROM odd""",
+    )
     return sql
 
 

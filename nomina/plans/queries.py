@@ -15,8 +15,9 @@ from nomina.operators.ranking import take_slice, with_position
 from nomina.plans import inputs
 from nomina.session import materialize, scratch_path
 from nomina.sources import tables
+from nomina.sources.index import build_index
 from nomina.sources.store import COMPANY_FIELDS, CompanyStore, absent, validate
-from nomina.streaming.ingest import stream_into
+from nomina.streaming.ingest import stream_into, stream_payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -314,13 +315,12 @@ def char_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _index(spark: SparkSession, sf_dir: str) -> search.SearchIndex:
-    return search.build_index(inputs.company(spark, sf_dir))
+    return build_index(inputs.company(spark, sf_dir))
 
 
 def term_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = materialize(search.distinct_texts(inputs.company(spark, sf_dir)), "texts")
-    terms = search.term_statistics(texts, search.collect_statistics(texts))
-    return _rounded(terms.select("field", "term", "df", "idf"), "idf")
+    return _rounded(search.term_statistics(texts), "idf")
 
 
 def _search(spark: SparkSession, sf_dir: str, fuzziness: int) -> DataFrame:
@@ -447,11 +447,102 @@ def stream_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     store.append(suppliers, "suppliers")
     schema = inputs.table(spark, sf_dir, "pages").schema
     pages = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf_dir)
-    records = enrich.PageExtractor().records(pages).select(*COMPANY_FIELDS)
+    records = enrich.PageExtractor().records(pages).filter(F.col("status") == "ok").select(*COMPANY_FIELDS)
     stream_into(records, store, scratch_path(spark, "stream")).awaitTermination()
     return store.read()
 
 
+def stream_insert_relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through the store's search index: page names that resemble no supplier's, one of each."""
+    store = CompanyStore(spark, scratch_path(spark, "store"))
+    store.create()
+    store.append(_named(inputs.query_names(spark, sf_dir).filter(F.col("query_id") % 2 == 0)), "queries")
+    pages = spark.readStream.schema(inputs.table(spark, sf_dir, "pages").schema).option("pathGlobFilter", "pages.parquet").parquet(sf_dir)
+    records = enrich.PageExtractor().records(pages).filter(F.col("status") == "ok").select(*COMPANY_FIELDS)
+    stream_into(records, store, scratch_path(spark, "stream"), mode="relevant").awaitTermination()
+    return store.read()
+
+
+def _named(queries: DataFrame) -> DataFrame:
+    """Records that hold nothing but a query."""
+    query = F.col("query")
+    return queries.select(text.capitalize(query).alias("company_name"), F.lit("").alias("company_url"), query.alias("query_string"), query.alias("normalized_name"))
+
+
+def _kept_and_rejected(stored: DataFrame, rejected: DataFrame, raw: str) -> DataFrame:
+    kept = stored.select(F.lit("stored").alias("outcome"), F.col("company_name").alias("what"))
+    return kept.unionByName(rejected.select(F.lit("rejected").alias("outcome"), F.col(raw).alias("what")))
+
+
+def _partial_lines(spark: SparkSession, sf_dir: str, under: str) -> DataFrame:
+    """JSON of all suppliers without most fields, and one broken line per part."""
+    partial = F.concat(F.lit(under), F.lit('{"company_name": "'), F.col("s_name"), F.lit('"}'), F.lit("}" if under else "")).alias("value")
+    broken = F.concat(F.lit('{"company_name": "'), F.col("p_name")).alias("value")
+    return inputs.table(spark, sf_dir, "supplier").select(partial).unionByName(inputs.table(spark, sf_dir, "part").select(broken))
+
+
+def restored_dump_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dump of all companies with incomplete and broken lines: what is stored, and the lines set apart as they were."""
+    dump, quarantine = scratch_path(spark, "dump"), scratch_path(spark, "quarantine")
+    good = inputs.company(spark, sf_dir).select(F.to_json(F.struct(F.struct(*COMPANY_FIELDS).alias("_source"))).alias("value"))
+    good.unionByName(_partial_lines(spark, sf_dir, '{"_source": ')).write.text(dump)
+    store = CompanyStore(spark, scratch_path(spark, "store"))
+    store.create()
+    store.restore(dump, "dump", quarantine)
+    return _kept_and_rejected(store.read(), spark.read.parquet(f"{quarantine}/dump"), "line")
+
+
+def quarantined_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines as a stream of payloads."""
+    source, quarantine = scratch_path(spark, "payloads"), scratch_path(spark, "quarantine")
+    good = inputs.company(spark, sf_dir).select(F.to_json(F.struct(*COMPANY_FIELDS)).alias("value"))
+    good.unionByName(_partial_lines(spark, sf_dir, "")).write.text(source)
+    store = CompanyStore(spark, scratch_path(spark, "store"))
+    stream_payloads(spark.readStream.text(source), store, scratch_path(spark, "stream"), quarantine, check_exists=False).awaitTermination()
+    return _kept_and_rejected(store.read(), spark.read.option("recursiveFileLookup", "true").parquet(quarantine), "value")
+
+
+def insert_batch_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Companies, each once more without its url: the complete record of each name is stored, the other set apart."""
+    quarantine = scratch_path(spark, "quarantine")
+    complete = inputs.company(spark, sf_dir).select(*COMPANY_FIELDS)
+    twice = complete.unionByName(complete.withColumn("company_url", F.lit(None).cast("string")))
+    store = CompanyStore(spark, scratch_path(spark, "store"))
+    store.create()
+    store.insert(twice, check_exists=True, mode="exact", load="all", quarantine=quarantine)
+    return _kept_and_rejected(store.read(), spark.read.parquet(f"{quarantine}/all"), "company_name")
+
+
+def segmented_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All queries against a store filled by four loads, a segment of the index each."""
+    store = CompanyStore(spark, scratch_path(spark, "store"))
+    store.create()
+    companies = materialize(inputs.company(spark, sf_dir), "companies")
+    for n in range(4):
+        store.append(companies.filter(F.col("doc_id") % 4 == n).select(*COMPANY_FIELDS), f"load-{n}")
+    return _rounded(search.search(store.index(), inputs.query_names(spark, sf_dir)), "score")
+
+
+def stored_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that the fallback finds are stored; the queries that led to them are searched again, in the store."""
+    store = CompanyStore(spark, scratch_path(spark, "store"))
+    store.create()
+    store.append(enrichment_records(spark, sf_dir), "fallback")
+    found = search.nearest(store.index(), inputs.supplier_queries(spark, sf_dir), fuzziness=0)
+    return _rounded(found.filter(F.col("match_key") == F.col("query")).select("query_id", "query", "company_name", "company_url", "score"), "score")
+
+
+def fuzzy_search_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search with an index in which every term of more than three texts is hot."""
+    index = build_index(inputs.company(spark, sf_dir), hot_texts=3)
+    return _rounded(search.search(index, inputs.query_names(spark, sf_dir)), "score")
+
+
+def fuzzy_search_hot_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = build_index(inputs.company(spark, sf_dir), hot_texts=3)
+    return _rounded(search.search(index, inputs.query_names(spark, sf_dir), 0), "score")
+
+
 # --- Models ------------------------------------------------------------------------------------
 
 
@@ -489,7 +580,9 @@ QUERIES: dict[str, Query] = {
         char_vocab, name_length, char_encode,
         term_stats, fuzzy_terms, fuzzy_terms_two_edits, fuzzy_search, fuzzy_search_exact, fuzzy_search_two_edits, nearest_name, search_response,
         insert_if_absent, insert_if_absent_exact, search_then_enrich, enrichment_records,
-        bulk_loaded_store, restored_store, validated_payloads, stream_insert,
+        bulk_loaded_store, restored_store, validated_payloads, stream_insert, stream_insert_relevant,
+        restored_dump_with_rejects, quarantined_rows, insert_batch_once, segmented_search, stored_enrichment,
+        fuzzy_search_hot, fuzzy_search_hot_exact,
         gbt_pairs, mlp_pairs,
     )
 }

@@ -37,11 +37,13 @@ def read_pages(spark: SparkSession, path: str, only_fetched: bool = True) -> Dat
 def read_dump(spark: SparkSession, path: str) -> DataFrame:
     """Company records of an index dump: one JSON document per line, the record under ``_source``.
 
-    A malformed line, or a document without a field, has nulls in their place: no line is left out.
+    A malformed line, or a document without a field, has nulls in their place: no line is
+    left out, and ``line`` has each as it was read.
     """
-    source = "company_name string, company_url string, query_string string, normalized_name string"
-    documents = spark.read.schema(f"_source struct<{source.replace(' string', ':string')}>").json(path)
-    return documents.select("_source.*")
+    record = "company_name string, company_url string, query_string string, normalized_name string"
+    lines = spark.read.text(path).select(F.col("value").alias("line")).filter(F.trim("line") != "")
+    document = F.from_json("line", f"_source struct<{record.replace(' string', ':string')}>")
+    return lines.select("line", document.alias("document")).select("document._source.*", "line")
 
 
 def write_vocabulary(vocabulary: DataFrame, path: str) -> None:

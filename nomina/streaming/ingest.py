@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from nomina.sources.store import CompanyStore, first_of_each_name, split_complete
+from nomina.sources.store import CompanyStore, validate
 
 
 def stream_into(
@@ -21,22 +23,31 @@ def stream_into(
     Each batch is a load of the store named after the batch, so a batch that runs again
     after a failure replaces what it wrote before. Its earlier attempt is not looked at
     when checking which records are new. Incomplete rows go to ``quarantine``;
-    without one they stop the stream.
+    without one they stop the stream. With ``mode="relevant"`` each batch is searched in the
+    store's index, which gets a segment per batch.
     """
     store.create()
 
+    def insert(batch: DataFrame, batch_id: int) -> None:
+        store.insert(batch, check_exists, mode, f"batch-{batch_id}", quarantine)
+
+    return _started(records, insert, checkpoint)
+
+
+def stream_payloads(
+    payloads: DataFrame, store: CompanyStore, checkpoint: str, quarantine: str, check_exists: bool = True, mode: str = "exact", column: str = "value"
+) -> StreamingQuery:
+    """Insert a stream of JSON payloads; those that hold no record are kept as they came, under the batch's name in ``quarantine``."""
+    store.create()
+
     def insert(batch: DataFrame, batch_id: int) -> None:
         load = f"batch-{batch_id}"
-        complete, incomplete = split_complete(batch)
-        if check_exists:
-            others = store.read_without(load)
-            complete = store.absent(first_of_each_name(complete), mode, others)
-        # incomplete rows go to the quarantine, or fail the batch
-        store.append(complete.unionByName(incomplete), load, quarantine)
-
-    return (
-        records.writeStream.foreachBatch(insert)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        valid, rejected = validate(batch, column)
+        store.insert(valid, check_exists, mode, load)
+        rejected.write.mode("overwrite").parquet(f"{quarantine}/{load}")
+
+    return _started(payloads, insert, checkpoint)
+
+
+def _started(stream: DataFrame, insert: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    return stream.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import entry, oracle_sql, queries
 from nomina.operators import search
 from nomina.plans import inputs
+from nomina.sources.index import build_index
 from tools.check import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -41,7 +42,7 @@ def test_entry_returns_matches(spark):
 
 
 def test_every_misspelt_title_hits_its_company(spark):
-    index = search.build_index(inputs.company(spark, SF))
+    index = build_index(inputs.company(spark, SF))
     titles = inputs.titles(spark, SF).select("page_id", F.lower("title").alias("title"))
     queries = inputs.query_names(spark, SF).join(titles.withColumnRenamed("page_id", "query_id"), "query_id")
     distinct = queries.groupBy("query", "title").agg(F.min("query_id").alias("query_no"))

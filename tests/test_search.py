@@ -7,6 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from nomina.operators import search as R
+from nomina.sources import index as I
+from nomina.sources.index import SegmentedIndex, build_index
 from tests.test_similarity import expected_ratio, osa
 
 FIELDS = list(R.FIELDS)
@@ -91,15 +93,13 @@ def fixture_documents(seed, n=60):
 QUERIES = ["yandx group", "the bank of", "group", "pireli llc trade", "ёжк", "zzz", "gruop llc the bank of trade", "münchen nord", "the of", ""]
 
 
-@pytest.mark.parametrize("hot_texts", [None, 0, 2, 6, 15])
-@pytest.mark.parametrize("fuzziness", [0, 1, 2])
-def test_search_matches_brute_force(spark, hot_texts, fuzziness):
-    if fuzziness != 1 and hot_texts not in (None, 2):
-        pytest.skip("hot terms do not depend on the fuzziness")
+@pytest.mark.parametrize(("hot_texts", "fuzziness"), [(None, 1), (0, 1), (3, 0), (6, 2)])
+def test_search_matches_brute_force(spark, monkeypatch, hot_texts, fuzziness):
+    monkeypatch.setattr(I, "FAN_OUT", 3)
     docs = fixture_documents(seed=fuzziness)
     frame = spark.createDataFrame([(i, *(d[f] for f in FIELDS)) for i, d in docs.items()], ["doc_id", *FIELDS])
     queries = spark.createDataFrame([(i, q) for i, q in enumerate(QUERIES + QUERIES[:2])], "query_id long, query string")
-    index = R.build_index(frame, hot_texts=hot_texts)
+    index = build_index(frame, hot_texts=hot_texts)
     got = {}
     for r in R.search(index, queries, fuzziness).orderBy("query_id", "position").collect():
         got.setdefault(r.query_id, []).append((r.match_key, (r.score, r.company_name, r.company_url, r.normalized_name)))
@@ -111,7 +111,7 @@ def test_nearest_and_misses(spark):
     docs = [(1, "Yandex", "https://yandex.ru/", "yandex", ""), (2, "Big pharma", "", "big pharma", "")]
     frame = spark.createDataFrame(docs, "doc_id long, company_name string, company_url string, normalized_name string, query_string string")
     queries = spark.createDataFrame([(7, "yandx"), (8, "unknown thing")], "query_id long, query string")
-    found = {r.query_id: r for r in R.nearest(R.build_index(frame), queries).collect()}
+    found = {r.query_id: r for r in R.nearest(build_index(frame), queries).collect()}
     assert (found[7].exists, found[7].match_key, found[7].score) == (True, "Yandex", 0.91)
     assert (found[8].exists, found[8].match_key) == (False, None)
 
@@ -119,15 +119,15 @@ def test_nearest_and_misses(spark):
 def test_empty_index_finds_nothing(spark):
     frame = spark.createDataFrame([], "doc_id long, company_name string, company_url string, normalized_name string, query_string string")
     queries = spark.createDataFrame([(1, "a b")], "query_id long, query string")
-    assert R.search(R.build_index(frame), queries).collect() == []
+    assert R.search(build_index(frame), queries).collect() == []
 
 
 def test_arguments_are_checked(spark):
     frame = spark.createDataFrame([(1, "a", "b", "c", "d")], "doc_id long, company_name string, company_url string, normalized_name string, query_string string")
     with pytest.raises(ValueError):
-        R.build_index(frame, fields=["name"])
+        build_index(frame, fields=["name"])
     with pytest.raises(ValueError):
-        R.search(R.build_index(frame), spark.createDataFrame([(1, "a")], "query_id long, query string"), "AUTO")
+        R.search(build_index(frame), spark.createDataFrame([(1, "a")], "query_id long, query string"), "AUTO")
 
 
 def test_shortest_value_ties_follow_field_order(spark):
@@ -142,3 +142,66 @@ def test_response_round_trip(spark):
     matches = spark.createDataFrame(rows, "query_id long, query string, position int, match_key string, score double, company_name string, company_url string, normalized_name string")
     back = R.rows_from_response(R.response(matches)).orderBy(F.desc("score")).collect()
     assert [(r.match_key, r.score, r.company_name, r.score_text) for r in back] == [("K", 0.5, "N", "0.50"), ("L", 0.4, "M", "0.40")]
+
+
+def _frame(spark, docs):
+    return spark.createDataFrame([(i, *(d[f] for f in FIELDS)) for i, d in docs.items()], "doc_id long, " + ", ".join(f"{f} string" for f in FIELDS))
+
+
+def test_segments_find_what_one_index_finds(spark, tmp_path, monkeypatch):
+    docs = fixture_documents(seed=9, n=40)
+    queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id long, query string")
+    index = SegmentedIndex(spark, str(tmp_path / "index"), hot_texts=3)
+    assert R.search(index.open(), queries).collect() == []
+    loads = {f"load {n}": {i: d for i, d in docs.items() if i % 4 == n} for n in range(4)}
+    for name, part in loads.items():
+        index.add(_frame(spark, part), name)
+
+    def found():
+        got = {}
+        for r in R.search(index.open(), queries).orderBy("query_id", "position").collect():
+            got.setdefault(r.query_id, []).append((r.match_key, (r.score, r.company_name, r.company_url, r.normalized_name)))
+        return [got.get(i, []) for i in range(len(QUERIES))]
+
+    want = [searched(docs, query, 1) for query in QUERIES]
+    assert len(index.segments()) == 4 and found() == want
+    index.add(_frame(spark, loads["load 2"]), "load 2")  # once more: replaced, not added
+    assert [row["segment"] for row in index.segments()] == [1, 2, 3, 4] and index.open().documents.count() == 40
+    index.compact(most=3)
+    assert [row["segment"] for row in index.segments()] == [4, 5] and index.loads() == set(loads)
+    assert found() == want
+    with pytest.raises(ValueError, match="merged"):
+        index.add(_frame(spark, loads["load 0"]), "load 0")
+    left = {i: d for i, d in docs.items() if i % 4 != 3}
+    names = R.search(index.open(without="load 3").only(["normalized_name"]), queries.filter("query_id = 2"), 0)
+    ranked, scores = engine(left, QUERIES[2], "normalized_name", 0)
+    assert {r.normalized_name for r in names.collect()} <= {left[i]["normalized_name"] for i in ranked}
+
+
+def test_numbers_of_documents_do_not_depend_on_the_run(spark, tmp_path):
+    rows = _frame(spark, fixture_documents(seed=3, n=30)).drop("doc_id")
+    numbered = []
+    for run, parts in enumerate((1, 7)):
+        index = SegmentedIndex(spark, str(tmp_path / str(run)))
+        index.add(rows.repartition(parts), "a")
+        numbered.append(sorted(map(tuple, index.open().documents.collect())))
+    assert numbered[0] == numbered[1]
+    assert len({r[0] for r in numbered[0]}) == 30
+
+
+def test_blocks_out_of_reach_are_not_opened(spark, monkeypatch):
+    """Rows met in the lowest level grow with the queries, not with the texts."""
+    def met(n):
+        names = [f"bank of {i:05d}x trade" for i in range(n)] + ["bank trade"] * 3 + [f"bank trade z{i}" for i in range(12)]
+        frame = spark.createDataFrame([(i, t, "", t, "") for i, t in enumerate(names)], "doc_id long, company_name string, company_url string, normalized_name string, query_string string")
+        index = build_index(frame, ["normalized_name"], hot_texts=20)
+        seen = []
+        scored = R._scored
+        monkeypatch.setattr(R, "_scored", lambda index, groups: seen.append(groups.count()) or scored(index, groups))
+        queries = spark.createDataFrame([(1, "bank trade")], "query_no long, query string")
+        best = [r.doc_id for r in R.field_hits(index, queries, 0).orderBy("hit_rank").collect()]
+        monkeypatch.setattr(R, "_scored", scored)
+        assert best == list(range(n, n + 10))
+        return sum(seen)
+
+    assert met(2000) <= met(200) + 20
