@@ -100,7 +100,7 @@ def with_term_counts(df: DataFrame, text: Column) -> DataFrame:
     Runs of the sorted terms are counted, so a long text costs a sort. Each step is a column
     of its own: inside a lambda it would be computed once per element.
     """
-    sorted_terms = df.withColumn("_terms", F.array_sort(index_terms(text)))
+    sorted_terms = df.withColumn("_terms", F.sort_array(index_terms(text)))
     places = F.when(F.size("_terms") > 0, F.sequence(F.lit(0), F.size("_terms") - 1)).otherwise(F.array().cast("array<int>"))
     starts = F.filter(places, lambda i: (i == 0) | (F.get("_terms", i - 1) != F.get("_terms", i)))
     begun = sorted_terms.withColumn("_starts", starts)
@@ -194,7 +194,9 @@ def _short_hot_score(weights: Column, bag: Column, norm: Column) -> Column:
 
 def _profiles(index: SearchIndex, queries: DataFrame, fuzziness: int) -> DataFrame:
     """``(query_no, segment, field, hot, rare)``: weighted index terms each query reaches in each field."""
-    tokens = with_term_counts(queries, F.col("query")).select("query_no", F.inline("counts")).withColumnRenamed("term", "token")
+    # Not ``inline``: Spark would filter on the size of the counts first, and compute them inside that filter.
+    counted = with_term_counts(queries, F.col("query")).select("query_no", F.inline_outer("counts"))
+    tokens = counted.filter(F.col("term").isNotNull()).withColumnRenamed("term", "token")
     terms = index.terms.filter(F.col("field").isin(list(index.fields)))
     reached = similar_terms(tokens.select("token").distinct(), terms.select("term").distinct(), fuzziness)
     weighed = tokens.join(reached, "token").join(terms, "term")
