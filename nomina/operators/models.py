@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from nomina.functions.encoding import Encoder
 from nomina.functions.similarity import RATIO_FIELDS
 from nomina.operators.pairs import verdict
+from nomina.session import materialize
 
+FIRST_ROUNDS = 14  # beyond the patience, before rounds are doubled
 TREE_FEATURES = ("levenshtein", *RATIO_FIELDS)
 
 
@@ -32,19 +34,47 @@ def boosted_trees(
     max_depth: int = 6,
     step: float = 0.3,
     seed: int = 69,
+    patience: int = 50,
 ) -> PipelineModel:
     """Regression on the 0/1 label, used as a score; stops early on the rows marked by ``validation``.
 
+    Those rows are not trained on. Of all rounds up to the one that ``patience`` rounds have not
+    bettered, the best stays. MLlib can neither wait nor go on from a fitted model, but a shorter
+    fit of the same rows and seed is the beginning of a longer one: the number of rounds doubles
+    until the best lies far enough back, and the trees after it are cut off by a last fit.
     ``features=None`` takes an existing ``features`` vector such as encoded characters.
     """
     stages = [] if features is None else [VectorAssembler(inputCols=list(features), outputCol="features")]
     trees = GBTRegressor(
-        labelCol="is_duplicate", featuresCol="features", predictionCol="score",
-        maxIter=rounds, maxDepth=max_depth, stepSize=step, seed=seed,
-    )
-    if validation:
-        trees = trees.setValidationIndicatorCol(validation)
-    return Pipeline(stages=[*stages, trees]).fit(train)
+        labelCol="is_duplicate", featuresCol="features", predictionCol="score", maxDepth=max_depth, stepSize=step, seed=seed
+    )
+
+    def fitted(rows: DataFrame, n: int) -> PipelineModel:
+        return Pipeline(stages=[*stages, trees.copy({trees.maxIter: n})]).fit(rows)
+
+    if not validation:
+        return fitted(train, rounds)
+    kept, held = materialize(train.filter(~F.col(validation)), "boosting"), materialize(train.filter(validation), "boosting-validation")
+    n = min(rounds, patience + FIRST_ROUNDS)
+    while True:
+        model = fitted(kept, n)
+        ready = model.stages[0].transform(held) if stages else held
+        errors = model.stages[-1].evaluateEachIteration(ready, "squared")
+        best = stopped_at(errors, patience)
+        if n >= rounds or best + patience <= n:
+            return model if best == n else fitted(kept, best)
+        n = min(rounds, 2 * n)
+
+
+def stopped_at(errors: Sequence[float], patience: int) -> int:
+    """Rounds of the best error, of those before ``patience`` rounds without a better one."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 def perceptron(

@@ -30,5 +30,5 @@ def test_registered_queries_train_whole_models(spark, table, monkeypatch):
     for query in (queries.gbt_pairs, queries.mlp_pairs):
         with pytest.raises(StopIteration):
             query(spark, "")
-    assert given["boosted_trees"] == {"validation": "is_test"}
+    assert given["boosted_trees"] == {"validation": "is_validation"}
     assert set(given["perceptron"]) == {"inputs"}

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -55,6 +57,29 @@ def test_boosted_trees_learn_a_clear_rule(spark):
     assert {r.verdict for r in scored} <= {"Одинаковое название", "Другое название"}
 
 
+def test_boosting_goes_on_while_the_error_falls(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        x = [rng.random() * 100 for _ in models.TREE_FEATURES]
+        rows.append((i, *x, int(x[0] + x[1] + rng.gauss(0, 10) > 100), i % 4 == 0))
+    frame = spark.createDataFrame(rows, ["pair_id", *models.TREE_FEATURES, "is_duplicate", "check"])
+    model = models.boosted_trees(frame, validation="check", rounds=40, max_depth=2, patience=6)
+    longer = models.boosted_trees(frame.filter("not check"), rounds=model.stages[-1].getNumTrees + 6, max_depth=2)
+    held = longer.stages[0].transform(frame.filter("check"))
+    errors = longer.stages[-1].evaluateEachIteration(held, "squared")
+    assert model.stages[-1].getNumTrees == errors.index(min(errors)) + 1 > 1
+    own = [r.score for r in models.compare_names(model, frame).orderBy("pair_id").collect()]
+    same = models.boosted_trees(frame.filter("not check"), rounds=model.stages[-1].getNumTrees, max_depth=2)
+    assert own == pytest.approx([r.score for r in models.compare_names(same, frame).orderBy("pair_id").collect()])
+
+
+def test_patience():
+    assert models.stopped_at([5, 4, 6, 3, 7, 7, 7, 1], 3) == 4
+    assert models.stopped_at([5, 4, 6, 3, 7, 7, 1, 2], 3) == 7
+    assert models.stopped_at([5], 3) == 1
+
+
 def test_perceptron_runs_on_encoded_pairs(spark, table):
     encoder = Encoder(build_vocabulary(table, ["name_1", "name_2"]), length=8)
     encoded = models.encoded_pairs(table, encoder)
