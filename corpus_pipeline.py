@@ -42,13 +42,23 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    mixed = mixing.mix(docs)
-    times = mixed.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int").alias("_times"))
-    times = times.groupBy("_id", "_size").agg(F.max("_times").alias("_times")).filter("_times > 0")
-    sized = docs.select(*COLUMNS).withColumn("_s", F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)))
-    taken = sized.join(times, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_s") == F.col("_size")))
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*COLUMNS)
+    """Each document as often as the mix takes it, null ids and texts included; a document without words is not taken.
+
+    The mix sees each row under a key of all its columns, so rows that share an id keep their
+    own numbers. Rows that agree in everything stand for each other: one of them is given as
+    often as all of them are taken.
+    """
+    key = F.struct("doc_id", "lang", "source", "n_chars", F.col("text").isNull().alias("no_text"), text_key().alias("text_key"))
+    docs = docs.select(*COLUMNS)
+    mixed = mixing.mix(docs.select(key.alias("doc_id"), "text", "source")).filter("taken > 0")
+    times = mixed.groupBy(F.col("doc_id").alias("_taken")).agg(F.sum(F.col("taken") / F.col("size")).cast("int").alias("_times"))
+    keyed = docs.withColumn("_key", key).join(times, F.col("_key").eqNullSafe(F.col("_taken")))
+    repeated = docs.select(key.alias("_taken")).groupBy("_taken").agg(F.count("*").alias("n")).filter("n > 1").select("_taken")
+    again = F.col("_taken").eqNullSafe(F.col("_again"))
+    repeated = repeated.withColumnRenamed("_taken", "_again")
+    once = keyed.join(repeated, again, "left_anti")
+    several = keyed.join(repeated, again, "left_semi").dropDuplicates(["_key"])
+    return once.unionByName(several).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times"))).select(*COLUMNS)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import corpus_pipeline
+from nomina.llm import mixing
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -47,3 +48,46 @@ def test_near_copies_are_removed_by_id_and_text(spark):
 
 def test_near_copies_of_nothing(spark):
     assert corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([], SCHEMA), "").collect() == []
+
+
+def test_mixing_emits_what_the_mix_takes(spark):
+    r = random.Random(5)
+    rows = [(None if i % 6 == 0 else i % 40, " ".join(["w"] * r.choice([0, 3, 3, 50, 90])) + r.choice(["", " x", " y"]), "en", r.choice(["a", "b", "b", "b", None]), 1) for i in range(240)]
+    rows += [(1, None, "en", "a", 0), (None, None, None, None, None), *rows[:20], *rows[:5]]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = [tuple(x) for x in corpus_pipeline.mix_sources(spark, docs, "").collect()]
+    size = lambda text: len((text or "").split())
+    planned, total = Counter(), Counter()
+    for x in mixing.mix(docs).collect():
+        planned[x["target"], x["size"]] += x["taken"]
+        total[x["target"]] += x["taken"]
+    by_source, emitted = {}, Counter()
+    for x in mixing.mix(docs.select("source", "text", docs["source"].alias("doc_id"))).collect():
+        by_source[x["doc_id"]] = x["target"]
+    for i, text, _, source, _ in found:
+        emitted[by_source[source], size(text)] += size(text)
+    assert emitted == Counter({k: n for k, n in planned.items() if n})
+    held, got = Counter(rows), Counter(found)
+    assert set(got) <= set(held) and all(n <= 3 * held[row] for row, n in got.items())
+    for source in by_source:
+        words = sum(size(t) for _, t, _, s, _ in found if s == source)
+        assert abs(words - by_source[source]) <= 3
+
+
+def test_mixing_nothing(spark):
+    assert corpus_pipeline.mix_sources(spark, spark.createDataFrame([], SCHEMA), "").collect() == []
+
+
+def test_whole_pipeline_on_small_tables(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = corpus_pipeline.run(spark, sf)
+    places = {}
+    for x in rows.collect():
+        places.setdefault(x["sequence_id"], []).append((x["offset"], x["length"]))
+    for pieces in places.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert places
