@@ -2,8 +2,10 @@
 
 Spark cannot turn an edit-distance predicate into an equi-join, so both sides emit keys
 that any pair within the limit must share. Short terms use deletion variants. Long ones
-use segments: of ``2 * limit + 1`` pieces of a term, ``limit`` edits (a transposition can
-touch two pieces) leave one intact and shift it by at most ``limit`` characters.
+use their rarest grams with their places: an edit touches at most ``GRAM + 1`` grams (a
+transposition; the others fewer), so ``limit`` edits leave one of the ``(GRAM + 1) * limit + 1``
+rarest grams of both strings in common, and shift it by no more than the edits before it. Terms
+that share a long tail or head therefore meet only through what tells them apart.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from pyspark.sql import functions as F
 from nomina.functions.similarity import damerau_within
 
 LONGEST_FOR_VARIANTS = 24
+GRAM = 3
+RARITY_BUCKETS = 1 << 16  # counts of grams are kept by hash: a bound on what is broadcast
 
 
 def _deletions(s: Column) -> Column:
@@ -29,54 +33,55 @@ def deletion_variants(s: Column, limit: int) -> Column:
     return reached
 
 
-def _key(size: Column, segment: Column, text: Column) -> Column:
-    return F.struct(size.cast("int").alias("size"), segment.cast("int").alias("segment"), text.alias("text"))
+def _with_grams(strings: DataFrame, name: str) -> DataFrame:
+    """``(name, size, gram, at)``: one row per place of a gram."""
+    letters = strings.select(name, F.length(name).alias("size"), F.split(name, "").alias("_letters"))
+    places = F.sequence(F.lit(0), F.col("size") - GRAM)
+    gram = F.transform(places, lambda i: F.concat(*(F.get("_letters", i + j) for j in range(GRAM))))
+    return letters.select(name, "size", F.posexplode(gram).alias("at", "gram"))
 
 
-def _segment(text: Column, size: Column, segment: Column, pieces: int, shift: Column | None = None) -> Column:
-    """Piece number ``segment`` of a term of ``size`` characters, read from ``text`` that many places further on.
+def _bucket() -> Column:
+    return F.pmod(F.hash("gram"), F.lit(RARITY_BUCKETS))
 
-    NULL where it would reach beyond the text.
-    """
-    start = F.floor(size * segment / pieces).cast("int") + 1
-    end = F.floor(size * (segment + 1) / pieces).cast("int")
-    at = start if shift is None else start + shift
-    fits = (at >= 1) & (at + end - start <= F.length(text))
-    return F.when(fits, _key(size, segment, F.substring(text, at, end + 1 - start)))
-
-
-def _variant_keys(s: Column, limit: int) -> Column:
-    return F.transform(deletion_variants(s, limit), lambda v: _key(F.lit(0), F.lit(0), v))
-
-
-def _no_keys() -> Column:
-    return F.array().cast("array<struct<size:int,segment:int,text:string>>")
-
-
-def _term_keys(term: Column, limit: int) -> Column:
-    pieces = 2 * limit + 1
-    n = F.length(term)
-    segments = F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)), lambda i: _segment(term, n, i, pieces))
-    return F.when(n <= LONGEST_FOR_VARIANTS, _variant_keys(term, limit)).otherwise(segments)
 
+def _rarest_grams(grams: DataFrame, name: str, counts: DataFrame, limit: int) -> DataFrame:
+    """The grams of each string that a string within ``limit`` edits must share one of.
 
-def _token_keys(token: Column, limit: int) -> Column:
-    pieces = 2 * limit + 1
-    n = F.length(token)
-    drift = F.sequence(F.lit(-limit), F.lit(limit))
+    Any order of grams serves as long as both sides use the same; that of the vocabulary's
+    counts makes the keys selective. Equal grams are ordered by place.
+    """
+    counted = grams.withColumn("bucket", _bucket()).join(F.broadcast(counts), "bucket", "left")
+    entry = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram", "at")
+    ordered = counted.groupBy(name, "size").agg(F.sort_array(F.collect_list(entry)).alias("grams"))
+    return ordered.select(name, "size", F.inline(F.slice("grams", 1, (GRAM + 1) * limit + 1))).drop("n")
+
+
+def _short_candidates(tokens: DataFrame, vocabulary: DataFrame, limit: int) -> DataFrame:
+    """Tokens and short terms that have a string in common after at most ``limit`` deletions each."""
+    left = tokens.filter(F.length("token") <= LONGEST_FOR_VARIANTS + limit)
+    left = left.select("token", F.explode(deletion_variants(F.col("token"), limit)).alias("variant"))
+    right = vocabulary.filter(F.length("term") <= LONGEST_FOR_VARIANTS)
+    right = right.select("term", F.explode(deletion_variants(F.col("term"), limit)).alias("variant"))
+    # Length and weight are cheap to check before the distance.
+    near = F.abs(F.length("token") - F.length("term")) <= limit
+    weighs = (F.col("token") == F.col("term")) | (F.least(F.length("token"), F.length("term")) > 1)
+    return left.join(right, "variant").filter(near & weighs).select("token", "term")
 
-    def of_size(size: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                F.sequence(F.lit(0), F.lit(pieces - 1)),
-                lambda i: F.transform(drift, lambda shift: _segment(token, size, i, pieces, shift)),
-            )
-        )
 
-    sizes = F.filter(F.transform(drift, lambda d: n + d), lambda size: size > LONGEST_FOR_VARIANTS)
-    segments = F.array_compact(F.flatten(F.transform(sizes, of_size)))
-    variants = F.when(n <= LONGEST_FOR_VARIANTS + limit, _variant_keys(token, limit)).otherwise(_no_keys())
-    return F.concat(variants, segments)
+def long_candidates(tokens: DataFrame, vocabulary: DataFrame, limit: int) -> DataFrame:
+    """Tokens and long terms that share one of their rarest grams at places ``limit`` edits can explain."""
+    longer = vocabulary.filter(F.length("term") > LONGEST_FOR_VARIANTS)
+    grams = _with_grams(longer, "term")
+    counts = grams.groupBy(_bucket().alias("bucket")).agg(F.count("*").alias("n"))
+    right = _rarest_grams(grams, "term", counts, limit)
+    left = _rarest_grams(_with_grams(tokens.filter(F.length("token") + limit > LONGEST_FOR_VARIANTS), "token"), "token", counts, limit)
+    # A shift of the gram and the rest of the difference in length are edits before and after it.
+    drift = range(-limit, limit + 1)
+    moves = [(size, at) for size in drift for at in drift if abs(at) + abs(size - at) <= limit]
+    moved = F.array(*(F.struct((F.col("size") + size).alias("size"), (F.col("at") + at).alias("at")) for size, at in moves))
+    left = left.select("token", "gram", F.inline(moved)).filter(F.col("size") > LONGEST_FOR_VARIANTS)
+    return left.join(right, ["gram", "size", "at"]).select("token", "term")
 
 
 def similar_terms(tokens: DataFrame, vocabulary: DataFrame, limit: int) -> DataFrame:
@@ -87,12 +92,7 @@ def similar_terms(tokens: DataFrame, vocabulary: DataFrame, limit: int) -> DataF
     if limit == 0:
         same = tokens.join(vocabulary, tokens["token"] == vocabulary["term"])
         return same.select("token", "term", F.lit(0).alias("distance"), F.lit(1.0).alias("weight"))
-    left = tokens.select("token", F.explode(_token_keys(F.col("token"), limit)).alias("key")).select("token", "key.*")
-    right = vocabulary.select("term", F.explode(_term_keys(F.col("term"), limit)).alias("key")).select("term", "key.*")
-    # Length and weight are cheap to check before the distance.
-    near = F.abs(F.length("token") - F.length("term")) <= limit
-    weighs = (F.col("token") == F.col("term")) | (F.least(F.length("token"), F.length("term")) > 1)
-    candidates = left.join(right, ["size", "segment", "text"]).filter(near & weighs).select("token", "term").distinct()
+    candidates = _short_candidates(tokens, vocabulary, limit).unionByName(long_candidates(tokens, vocabulary, limit)).distinct()
     checked = candidates.withColumn("distance", damerau_within(F.col("token"), F.col("term"), limit))
     weight = 1 - F.col("distance") / F.least(F.length("token"), F.length("term"))
     return checked.filter(F.col("distance").isNotNull()).withColumn("weight", weight).filter(F.col("weight") > 0)

@@ -257,6 +257,14 @@ OSA = """list_reduce(list_transform(range(1, length(token) + 1), lambda i: [[i]]
       [e[1][1]])],
     [range(0, 0), range(0, length(term) + 1)])[2][length(term) + 1]"""
 
+# Folding letters to ASCII never adds edits, so the built-in byte distance of the folded words leaves out no pair.
+_ASCII = "regexp_replace(strip_accents({0}), '[^\\x00-\\x7f]', '?', 'g')"
+NEAR_TWO_EDITS = f"""SELECT token, term, 1 - d / least(length(token), length(term))::DOUBLE AS weight FROM (
+     SELECT token, term, {OSA} AS d FROM (SELECT token, {_ASCII.format("token")} AS t1 FROM tokens)
+     JOIN (SELECT term, {_ASCII.format("term")} AS t2 FROM vocabulary)
+       ON abs(length(token) - length(term)) <= 2 AND damerau_levenshtein(t1, t2) <= 2)
+   WHERE d = 0 OR (d <= 2 AND d < least(length(token), length(term)))"""
+
 FIELD_NO = {"company_name": 1, "company_url": 2, "normalized_name": 3, "query_string": 4}
 
 
@@ -270,13 +278,7 @@ def search(queries: str, fuzziness: int = 1, fields: tuple[str, ...] = tuple(FIE
     if fuzziness == 0:
         near = "SELECT token, term, 1.0::DOUBLE AS weight FROM tokens JOIN vocabulary ON term = token"
     elif fuzziness == 2:
-        # Folding letters to ASCII never adds edits, so the built-in byte distance of the folded words leaves out no pair.
-        ascii_of = "regexp_replace(strip_accents({0}), '[^\\x00-\\x7f]', '?', 'g')"
-        near = f"""SELECT token, term, 1 - d / least(length(token), length(term))::DOUBLE AS weight FROM (
-             SELECT token, term, {OSA} AS d FROM (SELECT token, {ascii_of.format("token")} AS t1 FROM tokens)
-             JOIN (SELECT term, {ascii_of.format("term")} AS t2 FROM vocabulary)
-               ON abs(length(token) - length(term)) <= 2 AND damerau_levenshtein(t1, t2) <= 2)
-           WHERE d = 0 OR (d <= 2 AND d < least(length(token), length(term)))"""
+        near = NEAR_TWO_EDITS
     else:
         near = """SELECT token, term, CASE WHEN token = term THEN 1.0 ELSE 1 - 1.0 / least(length(token), length(term)) END::DOUBLE AS weight
            FROM (SELECT token, term, list_filter(range(1, length(token) + 1), lambda i: substr(token, i, 1) <> substr(term, i, 1)) AS off
@@ -573,6 +575,12 @@ def _oracles() -> dict[str, str]:
     sql["fuzzy_terms_two_edits"] = with_(
         [TITLES, COMPANY, QUERY_NAMES, *search("query_names", 2)], "SELECT token, term, round(weight, 6) AS weight FROM near"
     )
+    joined = "SELECT DISTINCT replace({0}, ' ', '') AS {1} FROM {2}"
+    sql["fuzzy_long_terms"] = with_(
+        [TITLES, QUERY_NAMES, f"tokens AS ({joined.format('query', 'token', 'query_names')})",
+         f"vocabulary AS ({joined.format('lower(title)', 'term', 'titles')})", f"near AS ({NEAR_TWO_EDITS})"],
+        "SELECT token, term, round(weight, 6) AS weight FROM near",
+    )
     sql["fuzzy_search_two_edits"] = search_query(2)
     sql["fuzzy_search"] = search_query(1)
     sql["fuzzy_search_exact"] = search_query(0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nomina.functions import markup, text
@@ -403,6 +403,17 @@ def _fuzzy_terms(spark: SparkSession, sf_dir: str, limit: int) -> DataFrame:
     return _rounded(similar_terms(words, vocabulary, limit).drop("distance"), "weight")
 
 
+def fuzzy_long_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries with their words run together, and the titles run together that are two edits away."""
+
+    def joined(df: DataFrame, column: Column, name: str) -> DataFrame:
+        return df.select(F.replace(column, F.lit(" "), F.lit("")).alias(name)).distinct()
+
+    tokens = joined(inputs.query_names(spark, sf_dir), F.col("query"), "token")
+    vocabulary = joined(inputs.titles(spark, sf_dir), F.lower("title"), "term")
+    return _rounded(similar_terms(tokens, vocabulary, 2).drop("distance"), "weight")
+
+
 def bulk_loaded_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bulk-load frame through a new company store."""
     store = CompanyStore(spark, scratch_path(spark, "store"))
@@ -581,7 +592,7 @@ QUERIES: dict[str, Query] = {
         tune_weights, trial_history, trial_distribution, trial_histogram, trial_evaluations,
         name_clusters, cluster_sizes, large_clusters, cluster_uniqueness, frontier_neighbours,
         char_vocab, name_length, char_encode,
-        term_stats, fuzzy_terms, fuzzy_terms_two_edits, fuzzy_search, fuzzy_search_exact, fuzzy_search_two_edits, nearest_name, search_response,
+        term_stats, fuzzy_terms, fuzzy_terms_two_edits, fuzzy_long_terms, fuzzy_search, fuzzy_search_exact, fuzzy_search_two_edits, nearest_name, search_response,
         insert_if_absent, insert_if_absent_exact, search_then_enrich, enrichment_records,
         bulk_loaded_store, restored_store, validated_payloads, stream_insert, stream_insert_relevant,
         restored_dump_with_rejects, quarantined_rows, insert_batch_once, segmented_search, stored_enrichment,

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from nomina.functions import similarity as S
-from nomina.operators.fuzzyterms import similar_terms
+from nomina.operators.fuzzyterms import long_candidates, similar_terms
 
 # ratio, partial, token sort, token set by indel and by difflib, and the shared share.
 KNOWN = [
@@ -153,3 +153,25 @@ def test_similar_terms_match_brute_force(spark, limit):
     }
     assert {(r.token, r.term, r.distance, round(r.weight, 9)) for r in got} == want
     assert len(got) == len(want)
+
+
+@pytest.mark.parametrize("limit", [1, 2])
+def test_terms_with_a_common_tail_meet_through_what_differs(spark, limit):
+    rng = random.Random(limit)
+    hosts = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) + ".shops.of.the.same.company.example.com" for _ in range(10_000)})
+    typed = {edited(rng, h, limit): h for h in rng.sample(hosts, 300)}
+    tokens = spark.createDataFrame([(t,) for t in typed], "token string")
+    terms = spark.createDataFrame([(h,) for h in hosts], "term string")
+    assert long_candidates(tokens, terms, limit).count() < 100 * len(typed)  # of 10,000 each that share the tail
+    found = {(r.token, r.term) for r in similar_terms(tokens, terms, limit).collect()}
+    assert found >= {(t, h) for t, h in typed.items() if osa(t, h) <= limit}
+
+
+def test_long_terms_empty_tables_nulls_and_repeated_grams(spark):
+    none = spark.createDataFrame([], "token string")
+    terms = spark.createDataFrame([("a" * 30,), ("a" * 31,), ("ab" * 15,), (None,), ("",)], "term string")
+    assert similar_terms(none, terms, 2).isEmpty()
+    tokens = spark.createDataFrame([("a" * 29,), ("a" * 32,), ("ab" * 14 + "ba",), (None,)], "token string")
+    got = {(len(r.token), len(r.term), r.distance) for r in similar_terms(tokens, terms, 2).collect()}
+    assert got == {(29, 30, 1), (29, 31, 2), (32, 30, 2), (32, 31, 1), (30, 30, 1)}
+    assert similar_terms(tokens, terms.limit(0), 2).isEmpty()
