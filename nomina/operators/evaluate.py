@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nomina.session import materialize
+
 THRESHOLDS = 100  # fixed value: 0.00, 0.01 ... 0.99
-_AUC_CELLS = 10_000
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -108,20 +109,22 @@ def best_threshold(sweep: DataFrame, mode: str = "best") -> DataFrame:
 
 
 def roc_auc(df: DataFrame, label: str = "is_duplicate", score: str = "score") -> DataFrame:
-    """Area under the ROC curve of the scores, ties counted half.
+    """Area under the ROC curve of the scores, ties counted half; rows without a score are left out, 0 with one class only.
 
-    Equal scores are counted together first. The running count of negatives is taken
-    inside narrow score cells and completed from one row per cell, so no task orders
-    all scores.
+    Equal scores are counted together first. The different scores are cut into cells of about
+    as many each, by sampled bounds, however close together they lie. The running count of
+    negatives is taken inside the cells and completed from one row per cell.
     """
     y = F.col(label) == 1
-    counts = df.groupBy(F.col(score).alias("s")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    celled = counts.withColumn("cell", F.floor(F.col("s") * _AUC_CELLS))
+    scores = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("s"))
+    counts = scores.agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
+    # Bounds are a sample's, so the cells are stored: read twice, they must be the same.
+    celled = materialize(counts.repartitionByRange("s").withColumn("cell", F.spark_partition_id()), "score-cells")
     cells = celled.groupBy("cell").agg(F.sum("neg").alias("cell_neg"))
     earlier = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)  # one row per cell
     offsets = cells.select("cell", F.coalesce(F.sum("cell_neg").over(earlier), F.lit(0)).alias("before"))
     inside = Window.partitionBy("cell").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = celled.withColumn("lower", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(offsets, "cell")
+    ranked = celled.withColumn("lower", F.coalesce(F.sum("neg").over(inside), F.lit(0))).join(F.broadcast(offsets), "cell")
     wins = F.col("pos") * (F.col("before") + F.col("lower") + F.col("neg") / 2)
     return ranked.agg(
         _ratio(F.sum(wins), F.sum("pos") * F.sum("neg")).alias("roc_auc"),

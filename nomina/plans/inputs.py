@@ -50,6 +50,17 @@ def misspelt(name: Column) -> Column:
     return F.concat(head, F.substring(name, at + 2, F.length(name)))
 
 
+def misspelt_throughout(name: Column) -> Column:
+    """The name with every word of four letters or more short of its second one, and its last one doubled."""
+
+    def twice(word: Column) -> Column:
+        n = F.length(word)
+        typed = F.concat(F.substring(word, 1, 1), F.substring(word, F.lit(3), n), F.substring(word, n, F.lit(1)))
+        return F.when(n >= 4, typed).otherwise(word)
+
+    return F.array_join(F.transform(F.split(name, " "), twice), " ")
+
+
 def query_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = titles(spark, sf_dir)
     return t.select(F.col("page_id").alias("query_id"), misspelt(F.lower("title")).alias("query"))

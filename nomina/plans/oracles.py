@@ -509,6 +509,13 @@ def _oracles() -> dict[str, str]:
          "rank_sums AS (SELECT sum(r) FILTER (is_duplicate = 1) AS s, count(*) FILTER (is_duplicate = 1) AS p, count(*) FILTER (is_duplicate = 0) AS n FROM ranked_scores)"],
         "SELECT round((s - p * (p + 1) / 2) / (p * n), 6) AS roc_auc, p AS positives, n AS negatives FROM rank_sums",
     )
+    close = """CASE WHEN pair_id % 6 = 0 THEN 0 WHEN pair_id % 6 = 1 THEN 1 ELSE score / 16777216 END"""
+    sql["score_area_of_close_scores"] = with_(
+        [*PAIR_SCORES, f"close_scores AS (SELECT is_duplicate, {close} AS close FROM predicted)",
+         """ranked_scores AS (SELECT is_duplicate, rank() OVER (ORDER BY close) + (count(*) OVER (PARTITION BY close) - 1) / 2.0::DOUBLE AS r FROM close_scores)""",
+         "rank_sums AS (SELECT sum(r) FILTER (is_duplicate = 1) AS s, count(*) FILTER (is_duplicate = 1) AS p, count(*) FILTER (is_duplicate = 0) AS n FROM ranked_scores)"],
+        "SELECT round((s - p * (p + 1) / 2) / (p * n), 6) AS roc_auc, p AS positives, n AS negatives FROM rank_sums",
+    )
 
     weights = ", ".join(f"w_{name}" for name in SCORED)
     results = trial_results(20)
@@ -590,6 +597,25 @@ def _oracles() -> dict[str, str]:
         """SELECT query_id, query, match_key, round(score, 6) AS score, company_name, company_url, normalized_name,
           match_key IS NOT NULL AS exists FROM mixed_queries LEFT JOIN (SELECT * FROM matches WHERE position = 1) USING (query)""",
     )
+    typed = """list_transform(string_split(lower(title), ' '), lambda w: CASE WHEN length(w) >= 4
+      THEN substr(w, 1, 1) || substr(w, 3) || substr(w, length(w), 1) ELSE w END)"""
+    gram_names = """SELECT name, list_distinct([substr(' ' || name || ' ', i, 2) FOR i IN range(1, length(name) + 2)]) AS grams
+      FROM (SELECT DISTINCT {0} AS name FROM {1}) WHERE name <> ''"""
+    squeezed = r"lower(trim(regexp_replace({0}, '[ \t\n\x0B\f\r]+', ' ', 'g')))"
+    sql["nearest_name_by_grams"] = with_(
+        [TITLES, f"""asked AS (SELECT 2 * page_id AS query_id, array_to_string({typed}, ' ') AS query FROM titles
+           UNION ALL SELECT 2 * s_suppkey + 1, lower(s_name) FROM supplier)""",
+         f"lefts AS ({gram_names.format(squeezed.format('query'), 'asked')})",
+         f"rights AS ({gram_names.format(squeezed.format(capitalized('title')), 'titles')})",
+         """near AS (SELECT l.name AS name_1, r.name AS name_2, len(list_intersect(l.grams, r.grams)) AS shared,
+              len(l.grams) + len(r.grams) - shared AS in_either FROM lefts l, rights r WHERE 2 * shared >= in_either)""",
+         *token_set_scores("near"),
+         """best AS (SELECT * FROM near JOIN token_set USING (name_1, name_2)
+            QUALIFY row_number() OVER (PARTITION BY name_1 ORDER BY token_set_ratio DESC, shared / in_either DESC, name_2) = 1)""",
+         f"ids AS (SELECT {squeezed.format(capitalized('title'))} AS name_2, min(page_id) AS doc_id FROM titles GROUP BY 1)"],
+        f"""SELECT query_id, query, doc_id, name_2 AS name, round(token_set_ratio / 100.0::DOUBLE, 6) AS score, shared, in_either,
+          doc_id IS NOT NULL AS exists FROM asked LEFT JOIN (SELECT * FROM best JOIN ids USING (name_2)) ON name_1 = {squeezed.format('query')}""",
+    )
     sql["search_response"] = with_(
         [*base, *search("query_names")],
         """SELECT query_id, query, match_key, round(score, 6) AS score, company_name, company_url, normalized_name,

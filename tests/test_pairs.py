@@ -1,3 +1,4 @@
+import bisect
 import random
 
 import numpy as np
@@ -216,3 +217,17 @@ def test_tune_reports(spark):
     assert tune.objective_histogram(log).agg(F.sum("n")).first()[0] == 10
     assert max(r.share for r in tune.empirical_distribution(log).collect()) == 1.0
     assert all(0.2 <= r.threshold <= 1 for r in log.collect())
+
+
+def test_roc_auc_of_scores_close_together(spark):
+    rng = random.Random(5)
+    rows = [(rng.random() * 1e-6 if i % 3 else float(i % 2), rng.randrange(2)) for i in range(6_000)]
+    rows += [(None, 1), (None, 0)]
+    frame = spark.createDataFrame(rows, "score double, is_duplicate int").repartition(4)
+    positive = sorted(s for s, y in rows if y and s is not None)
+    negative = sorted(s for s, y in rows if not y and s is not None)
+    wins = sum(bisect.bisect_left(negative, p) + (bisect.bisect_right(negative, p) - bisect.bisect_left(negative, p)) / 2 for p in positive)
+    got = evaluate.roc_auc(frame).first()
+    assert got.roc_auc == pytest.approx(wins / len(positive) / len(negative))
+    assert (got.positives, got.negatives) == (len(positive), len(negative))
+    assert evaluate.roc_auc(frame.limit(0)).first().roc_auc == 0

@@ -49,3 +49,10 @@ def test_every_misspelt_title_hits_its_company(spark):
     hits = search.field_hits(index, distinct.select("query_no", "query")).join(index.documents, "doc_id")
     found = hits.join(distinct, "query_no").filter(F.col("normalized_name") == F.col("title"))
     assert found.select("query_no").distinct().count() == distinct.count()
+
+
+def test_names_with_two_typos_in_every_word_find_their_company(spark):
+    own = {r.doc_id: r.normalized_name.strip() for r in inputs.company(spark, SF).collect()}
+    rows = [r for r in queries()["nearest_name_by_grams"](spark, SF).collect() if r.query_id % 2 == 0]
+    assert len(rows) == len(own)
+    assert sum(r.name == own[r.query_id // 2] for r in rows) >= 0.9 * len(rows)
