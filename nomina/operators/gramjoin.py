@@ -48,7 +48,7 @@ def _least(size: Column, percent: int) -> Column:
 
 
 def _keys(names: DataFrame, counts: DataFrame, percent: int, gram: int) -> DataFrame:
-    """``(name, size, first, second, at)``: the keys of each name and the place of the first gram in its order."""
+    """``(id, size, first, second, at, second_at)``: the keys of each name and the places of their grams in its order."""
     sets = names.select("name", _grams(F.col("name"), gram).alias("grams"))
     exploded = sets.select("name", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
     counted = exploded.withColumn("bucket", _bucket()).join(F.broadcast(counts), "bucket", "left")
@@ -56,11 +56,12 @@ def _keys(names: DataFrame, counts: DataFrame, percent: int, gram: int) -> DataF
     ordered = counted.groupBy("name", "size").agg(F.sort_array(F.collect_list(entry))["gram"].alias("grams"))
     prefix = F.slice("grams", F.lit(1), F.col("size") - _least(F.col("size"), percent) + 2)
     ordered = ordered.select("name", "size", prefix.alias("_prefix")).withColumn("_rest", F.col("_prefix"))
-    placed = ordered.select("name", "size", "_rest", F.posexplode("_prefix").alias("at", "first"))
+    # A name travels as 64 bits; equal ones for two names only cost a comparison.
+    placed = ordered.select(F.xxhash64("name").alias("id"), "size", "_rest", F.posexplode("_prefix").alias("at", "first"))
     following = F.slice("_rest", F.col("at") + 2, F.size("_rest"))
-    pairs = placed.filter(F.col("size") * percent <= 100 * MOST_FOR_PAIRS).withColumn("second", F.explode(following))
-    single = placed.filter(F.col("size") > MOST_FOR_PAIRS).withColumn("second", F.lit(""))
-    columns = ("name", "size", "first", "second", "at")
+    pairs = placed.filter(F.col("size") * percent <= 100 * MOST_FOR_PAIRS).select("id", "size", "at", "first", F.posexplode(following).alias("after", "second"))
+    single = placed.filter(F.col("size") > MOST_FOR_PAIRS).withColumns({"after": F.lit(-1), "second": F.lit("")})
+    columns = ("id", "size", "first", "second", "at", (F.col("at") + F.col("after") + 1).alias("second_at"))
     return pairs.select(*columns).unionByName(single.select(*columns))
 
 
@@ -78,17 +79,22 @@ def similar_names(left: DataFrame, right: DataFrame, percent: int = LEAST_PERCEN
     counts = counts.groupBy(_bucket().alias("bucket")).agg(F.count("*").alias("n"))
     one, other = (
         _keys(df, counts, percent, gram).select(
-            F.col("name").alias(f"{side}_name"), F.col("size").alias(f"{side}_size"), F.col("at").alias(f"{side}_at"), "first", "second"
+            "first", "second", *(F.col(c).alias(f"{side}_{c}") for c in ("id", "size", "at", "second_at"))
         )
         for df, side in zip(sides, ("left", "right"))
     )
     n, m, i, j = (F.col(c) for c in ("left_size", "right_size", "left_at", "right_at"))
+    # The first two grams that two names of these sizes share: any others need not bring them together.
+    least = F.ceil((n + m) * percent / (100 + percent))
+    early = (i <= n - least) & (j <= m - least) & (F.col("left_second_at") <= n - least + 1) & (F.col("right_second_at") <= m - least + 1)
     # A key's first gram splits both orders: what can be common before it, and after it.
-    most = F.least(i, j) + F.least(n - i, m - j)
-    possible = 100 * most >= percent * (n + m - most)
-    met = one.join(other, ["first", "second"]).filter(possible).select("left_name", "right_name").distinct()
+    possible = F.least(i, j) + F.least(n - i, m - j) >= least
+    met = one.join(other, ["first", "second"]).filter(early & possible).select("left_id", "right_id").distinct()
+    named = (df.select(F.xxhash64("name").alias(f"{side}_id"), F.col("name").alias(f"{side}_name")) for df, side in zip(sides, ("left", "right")))
+    for names in named:
+        met = met.join(names, names.columns[0])
     # Stored, or Spark would compare the grams before it drops repeated pairs.
-    met = materialize(met, "gram-candidates")
+    met = materialize(met.select("left_name", "right_name"), "gram-candidates")
     sets = met.select("left_name", "right_name", _grams(F.col("left_name"), gram).alias("_a"), _grams(F.col("right_name"), gram).alias("_b"))
     shared = F.size(F.array_intersect("_a", "_b"))
     counted = sets.select("left_name", "right_name", shared.alias("shared"), (F.size("_a") + F.size("_b")).alias("_both"))
