@@ -131,3 +131,15 @@ def roc_auc(df: DataFrame, label: str = "is_duplicate", score: str = "score") ->
         F.sum("pos").alias("positives"),
         F.sum("neg").alias("negatives"),
     )
+
+
+def learned_report(scored: DataFrame, label: str = "is_duplicate") -> DataFrame:
+    """The classification report of a model's scores at the threshold of the best F1, with that threshold and the area under the ROC curve.
+
+    ``scored`` is read several times. Rows without a score are left out by the caller.
+    """
+    best = best_threshold(threshold_sweep(scored, label)).select("threshold")
+    area = roc_auc(scored, label).select("roc_auc")
+    at_best = scored.join(F.broadcast(best)).withColumn("prediction", (F.col("score") > F.col("threshold")).cast("int"))  # one row
+    report = classification_report(at_best, label)
+    return report.join(F.broadcast(best)).join(F.broadcast(area))  # one row each

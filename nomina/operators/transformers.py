@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark import keyword_only
 from pyspark.ml import Pipeline, Transformer
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable, MLWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,16 +44,39 @@ Lowercaser = _step("Lowercaser", text.lowercase)
 
 
 class EntityExtractor(TextStep):
-    """Replaces a text by what a pluggable function finds in it; keeps it as it is by default."""
+    """Replaces a text by what a pluggable function finds in it; keeps it as it is by default.
 
-    function: Callable[[Column], Column] = staticmethod(lambda c: c)
+    The function is kept by its importable name, so a saved stage has it when it is loaded.
+    A function without such a name works until the stage is saved, which then fails.
+    """
+
+    functionName = Param(Params._dummy(), "functionName", "module:name of the function", TypeConverters.toString)
+    function: Callable[[Column], Column] | None = None
 
     def using(self, function: Callable[[Column], Column]) -> EntityExtractor:
         self.function = function
+        self._set(functionName=f"{function.__module__}:{function.__qualname__}")
         return self
 
     def rewrite(self, c: Column) -> Column:
-        return self.function(c)
+        if self.function is None and self.isDefined(self.functionName):
+            self.function = self._named()
+        return c if self.function is None else self.function(c)
+
+    def _named(self) -> Callable[[Column], Column]:
+        module, name = self.getOrDefault(self.functionName).split(":")
+        found = importlib.import_module(module)
+        for part in name.split("."):
+            found = getattr(found, part)
+        return found
+
+    def write(self) -> MLWriter:
+        if self.isDefined(self.functionName):
+            try:
+                self._named()
+            except (AttributeError, ImportError) as missing:
+                raise ValueError(f"{self.getOrDefault(self.functionName)} cannot be imported, so the stage cannot be saved") from missing
+        return super().write()
 
 
 STEPS = (

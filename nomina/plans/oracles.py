@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from nomina.functions import markup, text
 from nomina.operators.pairs import SCORED
+from nomina.operators.tune import random_trials
 
 WS = text.WHITESPACE
 W = text.WORD
@@ -356,12 +357,20 @@ def _trial_weighted(prefix: str = "t.") -> list[str]:
     return [f"{prefix}w_{name} * coalesce(f.{name}, 0)::DOUBLE" for name in SCORED]
 
 
-def trial_results(n: int) -> list[str]:
+def drawn_trials(n: int) -> str:
+    """Trials as the search draws them."""
+    rows = ", ".join("(" + ", ".join(f"'{value!r}'" for value in trial.values()) + ")" for trial in random_trials(n))
+    names = ("threshold", *(f"w_{name}" for name in SCORED))
+    cells = ", ".join(f"{name}::DOUBLE AS {name}" for name in names)
+    return f"trials AS (SELECT trial_id::INTEGER AS trial_id, {cells} FROM (VALUES {rows}) v(trial_id, {', '.join(names)}))"
+
+
+def trial_results(tried: str) -> list[str]:
     terms = _trial_weighted()
     return [
         *PAIR_FEATURES,
         *folds(),
-        trials(n),
+        tried,
         f"""trial_rows AS (SELECT t.trial_id, t.threshold, d.fold, d.is_duplicate, ({" + ".join(terms)}) / 5.0::DOUBLE AS mean,
              least({", ".join(terms)}) AS low, greatest({", ".join(terms)}) AS high
            FROM folded d JOIN pair_features f ON f.pair_id = d.pair_id, trials t)""",
@@ -427,6 +436,7 @@ def _oracles() -> dict[str, str]:
     sql["first_page_links"] = f"SELECT * FROM ({links}) WHERE position < 2"
 
     sql["result_links"] = "SELECT page_id, 0 AS position, url AS link FROM pages"
+    sql["result_links_of_stored_pages"] = sql["result_links"]
     sql["record_lookup"] = with_(
         [TITLES, COMPANY, CANDIDATE_PAGES, "asked AS (SELECT DISTINCT url FROM candidate_pages UNION ALL SELECT 'https://none/' || s_name FROM supplier)"],
         """SELECT url, coalesce(company_name, '') AS company_name, coalesce(company_url, '') AS company_url, '' AS query_string,
@@ -518,8 +528,13 @@ def _oracles() -> dict[str, str]:
     )
 
     weights = ", ".join(f"w_{name}" for name in SCORED)
-    results = trial_results(20)
+    results = trial_results(trials(20))
     sql["tune_weights"] = with_(results, f"SELECT trial_id, round(threshold, 6) AS threshold, {weights}, round(objective, 6) AS objective FROM results ORDER BY results.objective, trial_id LIMIT 1")
+    drawn = ", ".join(f"round(w_{name}, 6) AS w_{name}" for name in SCORED)
+    sql["weight_search"] = with_(
+        trial_results(drawn_trials(100)),
+        f"SELECT trial_id, round(threshold, 6) AS threshold, {drawn}, round(objective, 6) AS objective FROM results",
+    )
     sql["trial_history"] = with_(results, "SELECT trial_id, round(objective, 6) AS objective, round(min(results.objective) OVER (ORDER BY trial_id), 6) AS best_so_far FROM results")
     sql["trial_distribution"] = with_(results, "SELECT trial_id, round(objective, 6) AS objective, round(cume_dist() OVER (ORDER BY results.objective), 6) AS share FROM results")
     sql["trial_histogram"] = with_(results, "SELECT CAST(least(floor(objective * 10), 9) AS INTEGER) AS bin, count(*) AS n FROM results GROUP BY 1")
@@ -659,6 +674,10 @@ def _oracles() -> dict[str, str]:
             FROM company WHERE company_name <> '' AND normalized_name NOT IN (SELECT lower(s_name) FROM supplier) GROUP BY company_name, normalized_name
           UNION ALL SELECT {capitalized("lower(s_name)")}, '', lower(s_name), lower(s_name) FROM supplier""",
     )
+    heading = "regexp_extract(html, '<h1>(.*?)</h1>', 1)"
+    sql["stream_values"] = with_(
+        [TITLES], f"SELECT url, title AS value FROM titles WHERE title <> '' UNION ALL SELECT url, {heading} FROM pages WHERE {heading} <> ''"
+    )
     partial = "SELECT {0} || s_name || {1} AS what FROM supplier UNION ALL SELECT {2} || p_name FROM part"
     name, broken = q('{"company_name": "'), q('{"company_name": "')
     in_dump = partial.format(q('{"_source": {"company_name": "'), q('"}}'), broken)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from nomina.functions import markup, text
 from nomina.functions.encoding import Encoder, build_vocabulary, max_length
-from nomina.operators import cluster, enrich, evaluate, models, pairs, search, transformers, tune
+from nomina.operators import cluster, enrich, evaluate, models, network, pairs, search, transformers, tune
 from nomina.operators.fuzzyterms import similar_terms
 from nomina.operators.gramjoin import nearest_names
 from nomina.operators.ranking import take_slice, with_position
@@ -18,7 +18,7 @@ from nomina.session import materialize, scratch_path
 from nomina.sources import tables
 from nomina.sources.index import build_index
 from nomina.sources.store import COMPANY_FIELDS, CompanyStore, absent, validate
-from nomina.streaming.ingest import stream_into, stream_payloads
+from nomina.streaming.ingest import stream_into, stream_pages, stream_payloads, table_output
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,6 +104,22 @@ def result_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich.allowed_links(results, extract=markup.result_links)
 
 
+def result_links_of_stored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result pages with whole stored pages inside their hits.
+
+    The first hit has its link without quotes and its description after the stored page; in
+    the next the description's span comes after its element; the last has its link outside.
+    """
+    link = F.replace("url", F.lit("&"), F.lit("&amp;"))
+    first = ('<html><div class="top g"><div><a class=x href=', link, "><h3>1</h3></a></div>", F.col("html"))
+    second = ('<div class="g"><a href="https://none/2"><h3>2</h3></a>', F.col("html"), '<div style="-webkit-line-clamp:2"></div><span>2</span></div>')
+    third = '<div class="g"><h3>3</h3><div style="-webkit-line-clamp:2"><span>3</span></div></div><a href="https://none/3"></a>'
+    parts = (*first, '<div style="-webkit-line-clamp:2"><b><span>1</span></b></div></div>', *second, third)
+    page = F.concat(*(F.lit(part) if isinstance(part, str) else part for part in parts))
+    results = inputs.pages(spark, sf_dir).select("page_id", page.alias("html"))
+    return enrich.allowed_links(results, extract=markup.result_links)
+
+
 def record_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records of the pages offered to suppliers, empty where the url is unknown."""
     offered = inputs.candidate_pages(spark, sf_dir).select("url").distinct()
@@ -268,6 +284,12 @@ def trial_evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(tune.parameter_evaluations(_trial_results(spark, sf_dir)), "objective", "value")
 
 
+def weight_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of the search for weights: a hundred random trials, as many as it makes by default."""
+    _, log = tune.tune(inputs.name_pairs(spark, sf_dir))
+    return _rounded(log, "threshold", *(f"w_{name}" for name in pairs.SCORED), "objective")
+
+
 # --- Clusters ------------------------------------------------------------------------------
 
 
@@ -491,6 +513,20 @@ def stream_insert_relevant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+def _heading(html: Column) -> Column:
+    return F.regexp_extract(html, "<h1>(.*?)</h1>", 1)
+
+
+def stream_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles and headings of a stream of pages, as a side output of inserting their records keeps them."""
+    schema = inputs.table(spark, sf_dir, "pages").schema
+    pages = spark.readStream.schema(schema).option("pathGlobFilter", "pages.parquet").parquet(sf_dir)
+    store, values = CompanyStore(spark, scratch_path(spark, "store")), scratch_path(spark, "values")
+    extractor = enrich.PageExtractor().add_extractor(_heading)
+    stream_pages(pages, extractor, store, scratch_path(spark, "stream"), [table_output(values)]).awaitTermination()
+    return spark.read.parquet(values).select("url", "value")
+
+
 def _named(queries: DataFrame) -> DataFrame:
     """Records that hold nothing but a query."""
     query = F.col("query")
@@ -586,6 +622,46 @@ def gbt_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("pair_id", "is_duplicate", "score", "verdict", F.lit(model.stages[-1].getNumTrees).alias("trees"))
 
 
+def gbt_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the trees' scores of the test rows are worth."""
+    scored = materialize(gbt_pairs(spark, sf_dir), "scored-pairs")
+    return _rounded(evaluate.learned_report(scored), "precision", "recall", "f1", "roc_auc")
+
+
+def _encoded(spark: SparkSession, sf_dir: str, split: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, int]:
+    """Pairs with their split and the character codes of both names, and how many codes there are."""
+    table = split(inputs.name_pairs(spark, sf_dir))
+    encoder = Encoder(build_vocabulary(table, ["name_1", "name_2"]))
+    columns = models.encoded_pairs(table, encoder).select("pair_id", "is_duplicate", "split", "features")
+    return materialize(columns, "encoded-pairs"), 2 * encoder.length
+
+
+def gbt_codes_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boosted trees on the character codes of both names, evaluated and stopped as those on the six features."""
+    encoded, _ = _encoded(spark, sf_dir, pairs.balanced_split)
+    train = encoded.filter("split <> 'test'").withColumn("is_validation", F.pmod(F.xxhash64("pair_id"), F.lit(10)) == 0)
+    model = models.boosted_trees(train, features=None, validation="is_validation")
+    scored = models.compare_names(model, encoded.filter("split = 'test'"))
+    return scored.select("pair_id", "is_duplicate", "score", "verdict", F.lit(model.stages[-1].getNumTrees).alias("trees"))
+
+
+def _network(spark: SparkSession, sf_dir: str) -> tuple[network.NetworkModel, DataFrame]:
+    encoded, n = _encoded(spark, sf_dir, pairs.random_split)
+    return network.train_network(encoded.filter("split = 'train'"), inputs=n), encoded.filter("split = 'test'")
+
+
+def network_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loss and accuracy of each epoch of the network on character codes."""
+    return _network(spark, sf_dir)[0].epochs
+
+
+def network_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the network's scores of the test rows are worth."""
+    model, test = _network(spark, sf_dir)
+    scored = materialize(model.transform(test).drop("features"), "scored-pairs")
+    return _rounded(evaluate.learned_report(scored), "precision", "recall", "f1", "roc_auc")
+
+
 def mlp_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perceptron on character codes, evaluated on the test rows of the random split."""
     table = pairs.random_split(inputs.name_pairs(spark, sf_dir))
@@ -602,18 +678,18 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         normalize_names, normalize_steps, normalize_pipeline, name_tokens, decoded_queries, entity_names,
-        page_records, page_links, first_page_links, result_links, record_lookup,
+        page_records, page_links, first_page_links, result_links, result_links_of_stored_pages, record_lookup,
         bulk_load_frame, bulk_load_chunks, distinct_names, swapped_pairs, symmetric_pairs, pair_slice, pairs_csv,
         pair_features, pair_scores, positions, positions_of_hashes, positions_of_texts, balanced_split, kfold, random_split,
         confusion, classification_report, score_summary, threshold_sweep, best_threshold, roc_auc, score_area_of_close_scores,
-        tune_weights, trial_history, trial_distribution, trial_histogram, trial_evaluations,
+        tune_weights, trial_history, trial_distribution, trial_histogram, trial_evaluations, weight_search,
         name_clusters, cluster_sizes, large_clusters, cluster_uniqueness, frontier_neighbours,
         char_vocab, name_length, char_encode,
         term_stats, fuzzy_terms, fuzzy_terms_two_edits, fuzzy_long_terms, fuzzy_search, fuzzy_search_exact, fuzzy_search_two_edits, nearest_name, nearest_name_by_grams, search_response,
         insert_if_absent, insert_if_absent_exact, search_then_enrich, enrichment_records,
-        bulk_loaded_store, restored_store, validated_payloads, stream_insert, stream_insert_relevant,
+        bulk_loaded_store, restored_store, validated_payloads, stream_insert, stream_insert_relevant, stream_values,
         restored_dump_with_rejects, quarantined_rows, insert_batch_once, segmented_search, stored_enrichment,
         fuzzy_search_hot, fuzzy_search_hot_exact,
-        gbt_pairs, mlp_pairs,
+        gbt_pairs, gbt_report, gbt_codes_pairs, mlp_pairs, network_epochs, network_report,
     )
 }

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from nomina.sources.store import CompanyStore, validate
+from nomina.operators.enrich import PageExtractor
+from nomina.sources.store import COMPANY_FIELDS, CompanyStore, validate
+
+SideOutput = Callable[[DataFrame, str], None]
 
 
 def stream_into(
@@ -49,5 +53,42 @@ def stream_payloads(
     return _started(payloads, insert, checkpoint)
 
 
+def stream_pages(
+    pages: DataFrame,
+    extractor: PageExtractor,
+    store: CompanyStore,
+    checkpoint: str,
+    side_outputs: Sequence[SideOutput],
+    check_exists: bool = True,
+    mode: str = "exact",
+) -> StreamingQuery:
+    """Insert the records of a stream of pages and hand every extracted value to side outputs.
+
+    A side output gets ``(url, value)`` rows of a batch and a label that is the same when
+    the batch runs again; ``table_output`` writes them once per label. Side outputs come before
+    the insert, so a batch is only done when all have been served.
+    """
+    store.create()
+
+    def insert(batch: DataFrame, batch_id: int) -> None:
+        load = f"batch-{batch_id}"
+        values = extractor.values(batch)
+        for output in side_outputs:
+            output(values, load)
+        found = extractor.records(batch).filter(F.col("status") == "ok").select(*COMPANY_FIELDS)
+        store.insert(found, check_exists, mode, load)
+
+    return _started(pages, insert, checkpoint)
+
+
+def table_output(path: str) -> SideOutput:
+    """A side output that keeps values as a Parquet table below ``path``, a folder per batch that a rerun replaces."""
+
+    def write(values: DataFrame, load: str) -> None:
+        values.write.mode("overwrite").parquet(f"{path}/load={load}")
+
+    return write
+
+
 def _started(stream: DataFrame, insert: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     return stream.writeStream.foreachBatch(insert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

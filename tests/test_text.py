@@ -70,6 +70,22 @@ def test_pipeline_takes_an_entity_extractor(spark):
     assert step.transform(spark.createDataFrame([("VK mobile version | VK",)], "name string")).first().name == "VK"
 
 
+def first_word(c):
+    from pyspark.sql import functions as F
+
+    return F.regexp_extract(c, "^(\\w+)", 1)
+
+
+def test_a_saved_entity_extractor_keeps_its_function(spark, tmp_path):
+    names = spark.createDataFrame([("VK mobile version | VK",)], "name string")
+    EntityExtractor().using(first_word).write().save(str(tmp_path / "step"))
+    assert EntityExtractor.load(str(tmp_path / "step")).transform(names).first().name == "VK"
+    EntityExtractor().write().save(str(tmp_path / "plain"))
+    assert EntityExtractor.load(str(tmp_path / "plain")).transform(names).first().name == "VK mobile version | VK"
+    with pytest.raises(ValueError):
+        EntityExtractor().using(lambda c: c).write()
+
+
 def test_capitalize(column):
     assert column(text.capitalize, ["big PHARMA co", "ёж И", ""]) == ["Big pharma co", "Ёж и", ""]
 
@@ -118,6 +134,33 @@ def test_result_links(column):
     ]
 
 
+def test_hits_end_where_their_element_ends(column):
+    box = '<div style="-webkit-line-clamp:2">{}</div>'
+    whole = "<a href=/in?a=1&amp;b=2><h3>T</h3></a>" + box.format("<p><span>d")
+    pages = [
+        f'<div class="g">{whole}</div>',
+        f'<div class="g"><div>{whole}</div><br><img src=x></div>',
+        '<div class="g"><h3>T</h3>' + box.format("<span>d</span>") + '</div><a href="/out">',  # link outside
+        '<div class="g"><a href="/x"></a>' + box.format("<span>d</span>") + "</div><h3>T</h3>",  # heading outside
+        '<div class="g"><a href="/x"><h3>T</h3></a>' + box.format("") + "<span>d</span></div>",  # span after its element
+        f'<div class="g"><script>"</div>"</script><!-- </div> --></p>{whole}</div>',
+        f'<div class="a g b"><a href="/outer"></a><div class="g">{whole}</div></div>',  # one inside another
+        f"<div class='g'><a name=x></a><b title='>'>{whole}",  # never ends
+        "<div class=g><a href='/q'><H3>T</H3></a><DIV style='-webkit-line-clamp:2'><span></DIV></div>",
+        '<div class="gg"><a href="/x"><h3>T</h3></a>' + box.format("<span>"),
+        "", "<div class='g", None,
+    ]
+    link = "/in?a=1&b=2"
+    assert column(markup.result_links, pages) == [[link], [link], [], [], [], [link], ["/outer", link], [link], ["/q"], [], [], [], []]
+
+
+def test_links_without_quotes_and_all_named_references(column):
+    pages = ["<a href=/a?x=1&amp;y=2>1</a><a class='c' href = '/b'><a data-href=/no href=\"/c d\">", "<a href=>"]
+    assert column(markup.links, pages) == [["/a?x=1&y=2", "/b", "/c d"], []]
+    names = ["&NotEqualTilde;&ngE;&colon;&Tab;&amp;&fjlig;&unknown;"]
+    assert column(markup.unescape, names) == ["\u2242\u0338\u2267\u0338:\t&fj&unknown;"]
+
+
 def test_excluded_links(column):
     urls = ["https://vk.com/x", "https://vk.com/", "http://vk.com/x", "https://www.ok.ru/a", "see https://vk.com/x", "https://www.wikipediaXorg/a"]
     assert column(markup.is_excluded, urls) == [True, False, False, True, False, True]
