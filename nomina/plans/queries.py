@@ -628,26 +628,12 @@ def gbt_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(evaluate.learned_report(scored), "precision", "recall", "f1", "roc_auc")
 
 
-def _encoded(spark: SparkSession, sf_dir: str, split: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, int]:
-    """Pairs with their split and the character codes of both names, and how many codes there are."""
-    table = split(inputs.name_pairs(spark, sf_dir))
-    encoder = Encoder(build_vocabulary(table, ["name_1", "name_2"]))
-    columns = models.encoded_pairs(table, encoder).select("pair_id", "is_duplicate", "split", "features")
-    return materialize(columns, "encoded-pairs"), 2 * encoder.length
-
-
-def gbt_codes_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boosted trees on the character codes of both names, evaluated and stopped as those on the six features."""
-    encoded, _ = _encoded(spark, sf_dir, pairs.balanced_split)
-    train = encoded.filter("split <> 'test'").withColumn("is_validation", F.pmod(F.xxhash64("pair_id"), F.lit(10)) == 0)
-    model = models.boosted_trees(train, features=None, validation="is_validation")
-    scored = models.compare_names(model, encoded.filter("split = 'test'"))
-    return scored.select("pair_id", "is_duplicate", "score", "verdict", F.lit(model.stages[-1].getNumTrees).alias("trees"))
-
-
 def _network(spark: SparkSession, sf_dir: str) -> tuple[network.NetworkModel, DataFrame]:
-    encoded, n = _encoded(spark, sf_dir, pairs.random_split)
-    return network.train_network(encoded.filter("split = 'train'"), inputs=n), encoded.filter("split = 'test'")
+    table = pairs.random_split(inputs.name_pairs(spark, sf_dir))
+    encoder = Encoder(build_vocabulary(table, ["name_1", "name_2"]))
+    encoded = models.encoded_pairs(table, encoder).select("pair_id", "is_duplicate", "split", "features")
+    encoded = materialize(encoded, "encoded-pairs")
+    return network.train_network(encoded.filter("split = 'train'"), inputs=2 * encoder.length), encoded.filter("split = 'test'")
 
 
 def network_epochs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -690,6 +676,6 @@ QUERIES: dict[str, Query] = {
         bulk_loaded_store, restored_store, validated_payloads, stream_insert, stream_insert_relevant, stream_values,
         restored_dump_with_rejects, quarantined_rows, insert_batch_once, segmented_search, stored_enrichment,
         fuzzy_search_hot, fuzzy_search_hot_exact,
-        gbt_pairs, gbt_report, gbt_codes_pairs, mlp_pairs, network_epochs, network_report,
+        gbt_pairs, gbt_report, mlp_pairs, network_epochs, network_report,
     )
 }

@@ -74,6 +74,15 @@ def test_boosting_goes_on_while_the_error_falls(spark):
     assert own == pytest.approx([r.score for r in models.compare_names(same, frame).orderBy("pair_id").collect()])
 
 
+def test_boosting_on_character_codes(spark):
+    rows = [(i, "abc" if i % 2 else "xyz", f"n{i % 7}", i % 2) for i in range(80)]
+    pairs = spark.createDataFrame(rows, SCHEMA)
+    encoded = models.encoded_pairs(pairs, Encoder(build_vocabulary(pairs, ["name_1", "name_2"]), length=4))
+    encoded = encoded.withColumn("check", F.col("pair_id") % 10 == 0)
+    model = models.boosted_trees(encoded, features=None, validation="check", rounds=3, max_depth=2)
+    assert all((r.score > 0.5) == (r.is_duplicate == 1) for r in models.compare_names(model, encoded).collect())
+
+
 def test_patience():
     assert models.stopped_at([5, 4, 6, 3, 7, 7, 7, 1], 3) == 4
     assert models.stopped_at([5, 4, 6, 3, 7, 7, 1, 2], 3) == 7
