@@ -2,8 +2,9 @@
 
 Lines are normalised (lower case, digits as 0, no punctuation, single blanks) and hashed;
 equal ones are one class. A class has a 64-bit SimHash of its words and word pairs. Two
-values at most three bits apart agree in two of five blocks, so values are joined on the
-ten pairs of blocks. Band mates at most three bits apart form clusters, clusters are cut
+values at most three bits apart agree in all but three of any number of blocks, so values
+are joined on all such choices of blocks: two of five, three of six, as many as it takes for
+the bits of a choice to outnumber those that number the values by eight. Band mates at most three bits apart form clusters, clusters are cut
 into blocks that meet pairwise, and inside two blocks edit similarity decides.
 
 The first occurrence (smallest doc_id, then line) of a connected group stays in its
@@ -27,7 +28,7 @@ from nomina.session import materialize
 
 BITS = 3  # most bits that the SimHashes of linked lines differ in
 SIMILARITY = 0.9  # least 1 - edits / length of the longer normalised line
-CUTS = (0, 13, 26, 39, 52, 64)  # five blocks of the 64 bits
+SPARE_BITS = 8  # of a band key, beyond the bits that number the values: unlike values then hardly meet
 BLOCK = 128  # lines, or SimHash values, of a block
 FEW = 16  # values of a band up to which groups are compared together
 FEW_EDITS = 16  # edits up to which the walk along diagonals is tried
@@ -116,16 +117,27 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _block_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A value's bits in each pair of blocks, with the pair's number."""
-    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(CUTS[:-1], CUTS[1:], strict=True)]
-    pairs = [np.uint64(a | b) for a, b in combinations(masks, len(masks) - BITS)]
-    for batch in batches:
-        value = batch.column("simhash").to_numpy().view(np.uint64)
-        keys = np.stack([tb.mix((value & m) + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) for i, m in enumerate(pairs)])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(value.view(np.int64), len(pairs)))], names=["band", "simhash"]
-        )
+def n_blocks(n_values: int) -> int:
+    """Blocks that 64 bits are cut into; all but BITS of them are the bits of a key."""
+    needed = n_values.bit_length() + SPARE_BITS
+    return next((b for b in range(BITS + 2, 4 * BITS) if 64 // b * (b - BITS) >= needed), 4 * BITS)
+
+
+def _block_keys(blocks: int):
+    """Task that gives a value's bits in each choice of all but BITS blocks, with the choice's number."""
+    cuts = [round(64 * i / blocks) for i in range(blocks + 1)]
+    masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    choices = [np.uint64(sum(chosen)) for chosen in combinations(masks, blocks - BITS)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = batch.column("simhash").to_numpy().view(np.uint64)
+            keys = np.stack([tb.mix((value & m) + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) for i, m in enumerate(choices)])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(value.view(np.int64), len(choices)))], names=["band", "simhash"]
+            )
+
+    return run
 
 
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +316,8 @@ def line_groups(source: DataFrame, classes: DataFrame) -> DataFrame:
     """``(name, group)`` of the classes of lines that are linked with another class."""
     classes = classes.drop("c")
     values = classes.groupBy("simhash").agg(F.count("*").alias("c"))
-    bands = values.select("simhash").mapInArrow(_block_keys, "band long, simhash long")
+    # The count of stored classes, at least that of values, comes from the files' footers.
+    bands = values.select("simhash").mapInArrow(_block_keys(n_blocks(classes.count())), "band long, simhash long")
     several = materialize(bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "line-bands")
     shared_bands = with_possible(bands, several, "band").filter("_possible").select("band", "simhash")
     met = block_pairs(shared_bands.join(several, "band"), "band", F.ceil(F.col("n") / BLOCK), "simhash").select("band", "i", "j", "simhash")

@@ -388,3 +388,18 @@ def test_toxic_dictionary_ends_in_telling_spans():
     one, other = (toxicity.compressor(x) for x in (bad, good))
     assert toxicity.features(b"the house zorgblat of quixnop river", one, other)[0] > toxicity.features(b"the house of green stone river", one, other)[0]
     assert toxicity.train([[]], [1]) == (b"", b"")
+
+
+def test_values_three_bits_apart_share_a_band_at_any_number_of_blocks():
+    rng = np.random.default_rng(3)
+    assert [fuzzylines.n_blocks(n) for n in (0, 1, 10**5, 10**6, 10**8, 10**15)] == [5, 5, 6, 6, 7, 12]
+    for blocks in (5, 6, 8, 12):
+        for _ in range(50):
+            value = int(rng.integers(0, 2**63))
+            other = value
+            for bit in rng.choice(64, fuzzylines.BITS, replace=False).tolist():
+                other ^= 1 << bit
+            rows = pa.RecordBatch.from_arrays([pa.array(np.array([value, other], dtype=np.uint64).view(np.int64))], names=["simhash"])
+            (out,) = fuzzylines._block_keys(blocks)(iter([rows]))
+            bands = out.column("band").to_numpy().reshape(-1, 2)
+            assert (bands[:, 0] == bands[:, 1]).any()
