@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from nomina.llm import textbytes as tb
 from nomina.llm.common import block_pairs, dealt, forest, groups, ragged_binary, whole_groups, with_possible
@@ -347,7 +348,9 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     through; n_lines and n_removed replace columns of that name.
     """
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    source = docs.select(*others, "text", F.xxhash64("doc_id", "text").alias("k"))
+    # In one struct, so that no name of theirs meets one of the steps below.
+    rest = F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest")
+    source = docs.select(rest, "doc_id", "text", F.xxhash64("doc_id", "text").alias("k"))
     lines = materialize(
         source.select("k", "doc_id", "text").mapInArrow(_lines, "k long, doc_id long, line int, name binary, simhash long"), "lines"
     )
@@ -362,7 +365,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = repeated.join(stays, "name").filter(~here.eqNullSafe(F.col("stays"))).groupBy("k").agg(F.collect_set("line").alias("gone"))
     gone = materialize(gone, "lines-to-remove")
     marked = with_possible(source, gone, "k")
-    hit = marked.filter("_possible").join(gone, "k", "left").select(*others, "text", "gone")
-    clean = marked.filter("not _possible").select(*others, "text", F.lit(None).cast("array<int>").alias("gone"))
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in others)
-    return hit.unionByName(clean).mapInArrow(_drop, f"{schema}, text string, n_lines long, n_removed long")
+    hit = marked.filter("_possible").join(gone, "k", "left").select("rest", "text", "gone")
+    clean = marked.filter("not _possible").select("rest", "text", F.lit(None).cast("array<int>").alias("gone"))
+    added = [StructField("text", StringType()), StructField("n_lines", LongType()), StructField("n_removed", LongType())]
+    dropped = hit.unionByName(clean).mapInArrow(_drop, StructType([source.schema["rest"], *added]))
+    return dropped.select("rest.*", "text", "n_lines", "n_removed")

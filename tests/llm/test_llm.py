@@ -403,3 +403,13 @@ def test_values_three_bits_apart_share_a_band_at_any_number_of_blocks():
             (out,) = fuzzylines._block_keys(blocks)(iter([rows]))
             bands = out.column("band").to_numpy().reshape(-1, 2)
             assert (bands[:, 0] == bands[:, 1]).any()
+
+
+def test_line_dedup_takes_any_extra_column(spark):
+    names = ["doc_id", "text", "k", "gone", "_bit", "_word", "_mask", "_possible", "rest", "line", "a.b"]
+    rows = [(i, f"the same line\nown {'abcde'[i] * 5}", *range(9)) for i in range(3)]
+    got = fuzzylines.dedup_lines(spark.createDataFrame(rows, names))
+    assert got.columns == ["doc_id", *names[2:], "text", "n_lines", "n_removed"]
+    assert sorted(tuple(r) for r in got.collect()) == [
+        (i, *range(9), f"the same line\nown {'abcde'[i] * 5}" if i == 0 else f"own {'abcde'[i] * 5}", 2, int(i > 0)) for i in range(3)
+    ]
