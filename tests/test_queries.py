@@ -56,3 +56,17 @@ def test_names_with_two_typos_in_every_word_find_their_company(spark):
     rows = [r for r in queries()["nearest_name_by_grams"](spark, SF).collect() if r.query_id % 2 == 0]
     assert len(rows) == len(own)
     assert sum(r.name == own[r.query_id // 2] for r in rows) >= 0.9 * len(rows)
+
+
+@pytest.mark.parametrize("parts", [None, 3])
+def test_streams_read_pages_in_one_file_or_in_parts(spark, tmp_path, parts):
+    rows = [(i, f"http://h.example/{i}", f"<title>Name {'abcdefg'[i]}</title><h1>Head {i}</h1>") for i in range(7)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    if parts:
+        pages.repartition(parts).write.parquet(f"{tmp_path}/pages.parquet")
+    else:
+        pages.toPandas().to_parquet(f"{tmp_path}/pages.parquet", index=False)
+    spark.createDataFrame([(1, "Supplier")], "s_suppkey long, s_name string").write.parquet(f"{tmp_path}/supplier.parquet")
+    values = [tuple(r) for r in queries()["stream_values"](spark, str(tmp_path)).collect()]
+    assert sorted(values) == sorted((url, v) for i, url, _ in rows for v in (f"Name {'abcdefg'[i]}", f"Head {i}"))
+    assert queries()["stream_insert"](spark, str(tmp_path)).count() == len(rows) + 1
