@@ -413,3 +413,36 @@ def test_line_dedup_takes_any_extra_column(spark):
     assert sorted(tuple(r) for r in got.collect()) == [
         (i, *range(9), f"the same line\nown {'abcde'[i] * 5}" if i == 0 else f"own {'abcde'[i] * 5}", 2, int(i > 0)) for i in range(3)
     ]
+
+
+def _words(name, n):
+    return [f"{name}{i}" for i in range(n)]
+
+
+def _linked(spark, texts):
+    """Pairs that ``passages`` links, of texts given as lists of words."""
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    return {(r.other_id, r.doc_id) for r in chaining.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_passages_link_texts_whose_seeds_smaller_ids_hold_too(spark):
+    shared = _words("s", 70)
+    around = lambda i, part: _words(f"x{i}v", 60) + part + _words(f"y{i}v", 60)
+    texts = [around(0, shared[:38]), around(1, shared[32:]), around(2, shared), around(3, shared)]
+    assert _linked(spark, texts) == {(2, 3)}
+
+
+def test_every_two_texts_with_a_common_passage_are_linked(spark):
+    texts = [_words(f"x{i}v", 50) + _words("s", 60) + _words(f"y{i}v", 50) for i in range(6)]
+    assert _linked(spark, texts) == {(i, j) for j in range(6) for i in range(j)}
+
+
+def test_passages_of_seeds_in_many_texts(spark, monkeypatch):
+    """All seeds of the 70 words are in more texts than meet pairwise; the 70 words are in two only."""
+    monkeypatch.setattr(chaining, "MOST_PAIRED", 3)
+    shared = _words("s", 70)
+    around = lambda i, part: _words(f"x{i}v", 60) + part + _words(f"y{i}v", 60)
+    texts = [around(i, shared[:38] if i % 2 else shared[32:]) for i in range(10)] + [around(i, shared) for i in (10, 11)]
+    assert _linked(spark, texts) == {(10, 11)}
+    many = [around(i, shared[:50]) for i in range(9)]
+    assert {(0, j) for j in range(1, 9)} <= _linked(spark, many)
