@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from nomina.operators import search, termproduct
+from nomina.operators import fuzzyterms, search, termproduct
 from nomina.operators.ranking import first_per_group
 from nomina.sources.index import build_index
 from pyspark.sql import functions as F
@@ -68,3 +68,17 @@ def test_single_matches_never_become_rows(spark):
     assert "Join" not in _operators(by_hot)
     # Every query's ten best share only the common word with it; equal scores go by id.
     assert {tuple(row) for row in by_hot.groupBy("field").agg(F.count("*"), F.max("text_id")).collect()} == {("company_name", 400, 9), ("normalized_name", 400, 9)}
+
+
+def test_variants_of_terms_are_shuffled_not_broadcast(spark):
+    words = spark.createDataFrame([(f"word{i}",) for i in range(50)], "token string")
+    near = fuzzyterms._short_candidates(words, words.withColumnRenamed("token", "term"), 2)
+    assert "Broadcast" not in _operators(near) and "SortMergeJoin" in _operators(near)
+
+
+def test_profiles_are_dealt_by_query_once(spark):
+    rows = [(i, f"Common word{i}", "", "", f"common word{i}") for i in range(40)]
+    companies = spark.createDataFrame(rows, "doc_id long, company_name string, company_url string, query_string string, normalized_name string")
+    queries = spark.createDataFrame([(i, f"common word{i + 1}") for i in range(40)], "query_no long, query string")
+    plan = _operators(search._profiles(build_index(companies), queries, 0))
+    assert plan.count("Exchange hashpartitioning(query_no") == 1
