@@ -206,7 +206,8 @@ def train_network(
     known = train.filter(F.col("features").isNotNull() & F.col("is_duplicate").isNotNull())
     rows = known.select(_numbers().alias("x"), F.col("is_duplicate").cast("double").alias("y"))
     dealt = rows.withColumn("batch", F.floor(F.rand(seed) * steps).cast("int"))
-    dealt.write.partitionBy("batch").parquet(path)
+    for b in range(steps):  # a pass each: writing all at once would sort a task's vectors, far larger than their files, by batch
+        dealt.filter(F.col("batch") == b).drop("batch").write.parquet(f"{path}/batch={b}")
     weights = Weights.drawn((inputs, *hidden), seed)
     schema = "epoch int, loss double, accuracy double"
     stored = spark.read.schema("x array<double>, y double, batch int").parquet(path)

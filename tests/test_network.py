@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from nomina.operators import network
 
@@ -61,3 +62,12 @@ def test_rows_without_features_or_label_and_no_rows_at_all(spark):
     assert model.transform(gaps).filter("score is null").count() == 4
     none = network.train_network(rows.filter("false"), inputs=6, hidden=(4,), epochs=2)
     assert none.epochs.count() == 0 and none.transform(rows).filter("score between 0 and 1").count() == 20
+
+
+def test_batches_are_stored_without_a_sort(spark, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("rows of a task would be sorted by batch")
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", refuse)
+    model = network.train_network(frame(spark, 40, 1), inputs=6, hidden=(3, 3), epochs=2, steps=3)
+    assert model.epochs.count() == 2
