@@ -1,26 +1,36 @@
 """Join of names with names whose character grams largely agree, whatever their words are.
 
-The grams of a name are the distinct runs of letters in it and the blanks around it. Of two names
-whose sets agree in a share of their union (Jaccard), any order of grams has its guarantee: the
-first ``size - least common + 2`` grams of both have two in common, when that many must be common.
-Ordered by rarity those are selective, and pairs of them even more: pairs of grams are the keys of
-names with few grams, single grams those of long ones, which would have too many pairs. A name
-near the limit has both, since its partner may be on either side.
+The grams of a name are the distinct runs of letters in it and the blanks around it. Blocks of
+names meet blocks of names, each pair of blocks in one group, and what they share is added up
+there: half of the grams in common is so low a bar that the pairs which only come near it are
+hundreds for each name, so none of them becomes a row. The additions grow with the product of the
+names, but a frequent gram is added to all names of a block at once, a byte for each.
+
+Grams travel as 64 bits. Only numpy and pyarrow are needed by executors for this step.
 """
 
 from __future__ import annotations
 
+import math
+import sys
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nomina.functions.similarity import with_token_set_ratio
 from nomina.operators.ranking import first_per_group
-from nomina.session import materialize
+from nomina.operators.termproduct import FEWEST_TERMS, MOST_TERMS, SPREAD, _offsets
+from nomina.session import materialize, spread
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 GRAM = 2
 LEAST_PERCENT = 50
-MOST_FOR_PAIRS = 60  # grams of a name; both ways of making keys lose nothing
-RARITY_BUCKETS = 1 << 16  # counts of grams are kept by hash: a bound on what is broadcast
+SPARSE = 32  # a gram is frequent if more than one name in that many of a block holds it
 
 
 def _cleaned(name: Column) -> Column:
@@ -38,68 +48,85 @@ def _grams(name: Column, gram: int) -> Column:
     return F.transform(F.array(F.split(F.concat(blanks, name, blanks), "")), of)[0]
 
 
-def _bucket() -> Column:
-    return F.pmod(F.hash("gram"), F.lit(RARITY_BUCKETS))
-
-
-def _least(size: Column, percent: int) -> Column:
-    """Grams that a name shares with any partner: with the smallest that is large enough, all of that one's."""
-    return F.ceil(size * percent / 100).cast("int")
-
-
-def _keys(names: DataFrame, counts: DataFrame, percent: int, gram: int) -> DataFrame:
-    """``(id, size, first, second, at, second_at)``: the keys of each name and the places of their grams in its order."""
-    sets = names.select("name", _grams(F.col("name"), gram).alias("grams"))
-    exploded = sets.select("name", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
-    counted = exploded.withColumn("bucket", _bucket()).join(F.broadcast(counts), "bucket", "left")
-    entry = F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")
-    ordered = counted.groupBy("name", "size").agg(F.sort_array(F.collect_list(entry))["gram"].alias("grams"))
-    prefix = F.slice("grams", F.lit(1), F.col("size") - _least(F.col("size"), percent) + 2)
-    ordered = ordered.select("name", "size", prefix.alias("_prefix")).withColumn("_rest", F.col("_prefix"))
-    # A name travels as 64 bits; equal ones for two names only cost a comparison.
-    placed = ordered.select(F.xxhash64("name").alias("id"), "size", "_rest", F.posexplode("_prefix").alias("at", "first"))
-    following = F.slice("_rest", F.col("at") + 2, F.size("_rest"))
-    pairs = placed.filter(F.col("size") * percent <= 100 * MOST_FOR_PAIRS).select("id", "size", "at", "first", F.posexplode(following).alias("after", "second"))
-    single = placed.filter(F.col("size") > MOST_FOR_PAIRS).withColumns({"after": F.lit(-1), "second": F.lit("")})
-    columns = ("id", "size", "first", "second", "at", (F.col("at") + F.col("after") + 1).alias("second_at"))
-    return pairs.select(*columns).unionByName(single.select(*columns))
+def _similar(percent: int):
+    """Cogrouped function: the pairs of two blocks of names that share enough grams."""
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        schema = pa.schema([("left_name", pa.string()), ("right_name", pa.string()), ("shared", pa.int32()), ("in_either", pa.int32())])
+        if not left.num_rows or not right.num_rows:
+            return schema.empty_table()
+        grams, sizes = _lists(right)
+        vocabulary, number = np.unique(grams, return_inverse=True)
+        rows = np.repeat(np.arange(len(sizes)), sizes)[np.argsort(number, kind="stable")]
+        starts = _offsets(np.sort(number), len(vocabulary))
+        held = np.diff(starts)
+        # A frequent gram is a row of a byte for each name: at most SPARSE times the grams of a name on average.
+        frequent = np.flatnonzero(held * SPARSE >= len(sizes))
+        dense = np.zeros((len(frequent), len(sizes)), dtype=np.uint8)
+        for i, term in enumerate(frequent.tolist()):
+            dense[i, rows[starts[term] : starts[term + 1]]] = 1
+        dense_no = np.full(len(vocabulary), -1)
+        dense_no[frequent] = np.arange(len(frequent))
+        asked, asked_sizes = _lists(left)
+        at = np.minimum(np.searchsorted(vocabulary, asked), len(vocabulary) - 1)
+        known, ends = vocabulary[at] == asked, np.cumsum(asked_sizes)
+        found = []
+        for name, (end, size) in enumerate(zip(ends.tolist(), asked_sizes.tolist(), strict=True)):
+            part = slice(end - size, end)
+            terms = at[part][known[part]]
+            least = -(-size * percent // 100)  # shared with the smallest partner, all of whose grams it has
+            if len(terms) < least:
+                continue
+            shared = np.zeros(len(sizes), dtype=np.uint8 if size < 256 else np.int32)
+            for term, i in zip(terms.tolist(), dense_no[terms].tolist(), strict=True):
+                if i >= 0:
+                    shared += dense[i]
+                else:
+                    shared[rows[starts[term] : starts[term + 1]]] += 1  # a name once at most
+            near = np.flatnonzero(shared >= least)
+            shared = shared[near].astype(np.int64)
+            in_either = size + sizes[near] - shared
+            good = 100 * shared >= percent * in_either
+            found.append((np.full(good.sum(), name), near[good], shared[good], in_either[good]))
+        if not found:
+            return schema.empty_table()
+        one, other, shared, in_either = (np.concatenate(parts) for parts in zip(*found))
+        columns = [left.column("name").take(pa.array(one)), right.column("name").take(pa.array(other)), pa.array(shared, pa.int32()), pa.array(in_either, pa.int32())]
+        return pa.Table.from_arrays(columns, schema=schema)
+
+    return run
+
+
+def _lists(names: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of all names one after the other, and how many each has."""
+    grams = names.column("grams").combine_chunks()
+    return grams.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(grams).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def similar_names(left: DataFrame, right: DataFrame, percent: int = LEAST_PERCENT, gram: int = GRAM) -> DataFrame:
     """``(left_name, right_name, shared, in_either)`` of all pairs that share ``percent`` of the grams in either.
 
     ``left(name)`` and ``right(name)`` are compared in lower case with single blanks; copies
-    count once. Empty and missing names meet nothing. The share must be above a third: below,
-    two names may have a single gram in common.
+    count once. Empty and missing names meet nothing. The share must be above a third.
     """
     if not 34 <= percent <= 100 or gram < 2:
         raise ValueError("percent must be between 34 and 100, grams at least 2 letters")
-    sides = [df.select(_cleaned(F.col("name")).alias("name")).filter("name <> ''").distinct() for df in (left, right)]
-    counts = sides[1].select(F.explode(_grams(F.col("name"), gram)).alias("gram"))
-    counts = counts.groupBy(_bucket().alias("bucket")).agg(F.count("*").alias("n"))
-    one, other = (
-        _keys(df, counts, percent, gram).select(
-            "first", "second", *(F.col(c).alias(f"{side}_{c}") for c in ("id", "size", "at", "second_at"))
-        )
-        for df, side in zip(sides, ("left", "right"))
-    )
-    n, m, i, j = (F.col(c) for c in ("left_size", "right_size", "left_at", "right_at"))
-    # The first two grams that two names of these sizes share: any others need not bring them together.
-    least = F.ceil((n + m) * percent / (100 + percent))
-    early = (i <= n - least) & (j <= m - least) & (F.col("left_second_at") <= n - least + 1) & (F.col("right_second_at") <= m - least + 1)
-    # A key's first gram splits both orders: what can be common before it, and after it.
-    possible = F.least(i, j) + F.least(n - i, m - j) >= least
-    met = one.join(other, ["first", "second"]).filter(early & possible).select("left_id", "right_id").distinct()
-    named = (df.select(F.xxhash64("name").alias(f"{side}_id"), F.col("name").alias(f"{side}_name")) for df, side in zip(sides, ("left", "right")))
-    for names in named:
-        met = met.join(names, names.columns[0])
-    # Stored, or Spark would compare the grams before it drops repeated pairs.
-    met = materialize(met.select("left_name", "right_name"), "gram-candidates")
-    sets = met.select("left_name", "right_name", _grams(F.col("left_name"), gram).alias("_a"), _grams(F.col("right_name"), gram).alias("_b"))
-    shared = F.size(F.array_intersect("_a", "_b"))
-    counted = sets.select("left_name", "right_name", shared.alias("shared"), (F.size("_a") + F.size("_b")).alias("_both"))
-    in_either = F.col("_both") - F.col("shared")
-    return counted.withColumn("in_either", in_either).filter(100 * F.col("shared") >= percent * F.col("in_either")).drop("_both")
+    sides = []
+    for df in (left, right):
+        names = df.select(_cleaned(F.col("name")).alias("name")).filter("name <> ''").distinct()
+        hashed = F.transform(_grams(F.col("name"), gram), lambda g: F.xxhash64(g))
+        sides.append(materialize(names.select("name", hashed.alias("grams")), "name-grams"))
+    in_left, in_right = (df.agg(F.sum(F.size("grams"))).first()[0] or 0 for df in sides)
+    blocks = max(math.ceil(in_left / MOST_TERMS), min(SPREAD, math.ceil(in_left / FEWEST_TERMS)), 1)
+    shards = max(math.ceil(in_right / MOST_TERMS), 1)
+    block, shard = (F.pmod(F.xxhash64("name"), F.lit(n)).cast("int") for n in (blocks, shards))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    one = sides[0].withColumn("block", block).withColumn("shard", every(shards))
+    other = sides[1].withColumn("shard", shard).withColumn("block", every(blocks))
+    group = (F.col("block") * shards + F.col("shard")).alias("group")
+    # A group is much work for few bytes, so they are dealt to many tasks.
+    one, other = (spread(df.select("name", "grams", group), "group").groupBy("group") for df in (one, other))
+    return one.cogroup(other).applyInArrow(_similar(percent), "left_name string, right_name string, shared int, in_either int")
 
 
 def nearest_names(

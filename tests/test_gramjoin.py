@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from nomina.operators import gramjoin
 from nomina.operators.gramjoin import nearest_names, similar_names
 
 
@@ -58,3 +59,20 @@ def test_shares_below_a_third_are_refused(spark):
     empty = spark.createDataFrame([], "name string")
     with pytest.raises(ValueError, match="percent"):
         similar_names(empty, empty, 33)
+
+
+def test_many_blocks_find_the_same_pairs(spark, monkeypatch):
+    """Names in several blocks on both sides, among them those that share half of their grams and no more with all others."""
+    monkeypatch.setattr(gramjoin, "MOST_TERMS", 400)
+    rng = random.Random(5)
+    alike = ["common part " + "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(60)]
+    left, right = [" ".join(x.split()) for x in names(rng, 40) + alike], [" ".join(x.split()) for x in names(rng, 40) + alike[::2]]
+    frames = [spark.createDataFrame([(x,) for x in side], "name string") for side in (left, right)]
+    want = set()
+    for a in set(left) - {""}:
+        for b in set(right) - {""}:
+            x, y = grams(a, 2), grams(b, 2)
+            if 2 * len(x & y) >= len(x | y):
+                want.add((a, b, len(x & y), len(x | y)))
+    got = [tuple(r) for r in similar_names(*frames).collect()]
+    assert len(got) == len(want) and set(got) == want
