@@ -40,6 +40,23 @@ NONE = np.uint16(65535)  # quantised probability 0
 END = tb.mix(np.array([0x3C2F733E], dtype=np.uint64))[0]  # the token after the last word
 START = np.uint32(0x3C733E)  # context of the first word
 
+# One bit in each byte of a word, and the place of the k-th one in each byte value.
+_LOWEST = np.uint64(0x0101010101010101)
+_TOP = np.uint64(0x8080808080808080)
+_PLACE = np.argsort(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little") == 0, axis=1, kind="stable").astype(np.int64)
+
+
+def _select(words: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Place of the k-th one (from 0) in 64-bit words that have as many: first its byte, by counts of all eight at once."""
+    n = words - ((words >> np.uint64(1)) & np.uint64(0x5555555555555555))
+    n = (n & np.uint64(0x3333333333333333)) + ((n >> np.uint64(2)) & np.uint64(0x3333333333333333))
+    up_to = ((n + (n >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * _LOWEST
+    k = k.astype(np.uint64)
+    shift = np.bitwise_count(((k * _LOWEST) | _TOP) - up_to & _TOP).astype(np.uint64) << np.uint64(3)
+    before = ((up_to << np.uint64(8)) >> shift) & np.uint64(255)
+    value = (words >> shift) & np.uint64(255)
+    return shift.astype(np.int64) + _PLACE[value.astype(np.int64), (k - before).astype(np.int64)]
+
 
 class EliasFano:
     """A non-decreasing sequence: packed low bits, and the high parts in unary.
@@ -71,11 +88,7 @@ class EliasFano:
         """Position of the k-th zero (from 0) in the unary part."""
         word = np.searchsorted(self._rank, k, side="right") - 1
         word = np.minimum(word, len(self._rank) - 2)
-        left = k - self._rank[word]
-        raw = self._high.reshape(-1, 8)[word]
-        zero = np.unpackbits(raw, axis=1, bitorder="little") == 0
-        place = np.argmax(np.cumsum(zero, axis=1, dtype=np.int16) == (left + 1)[:, None], axis=1)
-        return word * 64 + place
+        return word * 64 + _select(~self._high.view("<u8")[word], k - self._rank[word])
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Index of the first value >= x (n if there is none)."""
@@ -114,8 +127,7 @@ class EliasFano:
         for a in range(0, len(i), 1 << 15):
             k = i[a : a + (1 << 15)]
             word = np.minimum(np.searchsorted(ones, k, side="right") - 1, len(self._rank) - 2)
-            one = np.unpackbits(self._high.reshape(-1, 8)[word], axis=1, bitorder="little")
-            place = np.argmax(np.cumsum(one, axis=1, dtype=np.int16) == (k - ones[word] + 1)[:, None], axis=1)
+            place = _select(self._high.view("<u8")[word], k - ones[word])
             high = (word * 64 + place - k).astype(np.uint64)
             out[a : a + (1 << 15)] = (high << np.uint64(self.low_bits)) | self.low(k)
         return out
@@ -135,11 +147,8 @@ def _unpack_bits(packed: np.ndarray, i: np.ndarray, width: int) -> np.ndarray:
     if width == 0:
         return np.zeros(len(i), dtype=np.uint64)
     bit = i * width
-    byte = bit >> 3
-    value = np.zeros(len(i), dtype=np.uint64)
-    for k in range(8):
-        value |= packed[byte + k].astype(np.uint64) << np.uint64(8 * k)
-    return (value >> (bit & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)
+    at_byte = np.ndarray((len(packed) - 7,), dtype="<u8", buffer=packed, strides=(1,))  # the eight bytes from each one on
+    return (at_byte[bit >> 3] >> (bit & 7).astype(np.uint64)) & np.uint64((1 << width) - 1)
 
 
 class Mapped:
@@ -154,7 +163,7 @@ class Mapped:
         self._file.write(np.ascontiguousarray(values).view(np.uint8).tobytes())
         self._file.flush()
         n = values.nbytes // np.dtype(dtype).itemsize
-        return np.memmap(self._file, dtype=dtype, mode="r", offset=at, shape=(n,)) if n else np.zeros(0, dtype=dtype)
+        return np.asarray(np.memmap(self._file, dtype=dtype, mode="r", offset=at, shape=(n,))) if n else np.zeros(0, dtype=dtype)
 
 
 def quantise(p: np.ndarray) -> np.ndarray:
@@ -304,6 +313,18 @@ def _shards(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
     yield from zip(shard[first].tolist(), first.tolist(), [*first[1:].tolist(), len(shard)], strict=True)
 
 
+def _distinct(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct n-grams in order, the number of each given one among them, and what they count."""
+    order = np.lexsort((words, contexts))
+    contexts, words = contexts[order], words[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new) - 1
+    first = np.flatnonzero(new)
+    return contexts[first], words[first], number, np.add.reduceat(counts[order], first)
+
+
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Build each shard of the trie and look up what each block asks of it."""
     for group in groups(batches, ("kind", "shard")):
@@ -312,8 +333,10 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.concatenate([_array(x, np.uint32) for x in c]).astype(np.int64)
         if kind == "1":
             names = [_array(x, np.uint64) for x in a]
-            level = Words(np.concatenate(names), counts)
-            result = [_raw(level.count(x)) for x in names]
+            asked = [len(x) for x in names]
+            names, number = np.unique(np.concatenate(names), return_inverse=True)
+            level = Words(names, np.bincount(number, counts, len(names)).astype(np.int64))
+            found = level.count(names)
             size = level.names.n
         else:
             b, d = ([v.as_py() for v in group.column(x)] for x in ("b", "d"))
@@ -321,9 +344,14 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 (np.repeat(_array(heads, np.uint64), _array(run, np.uint32)), _array(ends, np.uint32))
                 for heads, ends, run in zip(a, b, d, strict=True)
             ]
-            level = Successors(np.concatenate([g[0] for g in grams]), np.concatenate([g[1] for g in grams]), counts)
-            result = [_raw(np.stack(level.look_up(*g))) for g in grams]
+            asked = [len(ends) for _, ends in grams]
+            contexts, words = (np.concatenate(parts) for parts in zip(*grams, strict=True))
+            contexts, words, number, total = _distinct(contexts, words, counts)
+            level = Successors(contexts, words, total)
+            found = np.stack(level.look_up(contexts, words))
             size = level.words.n
+        # Blocks share most of what they ask, so each n-gram is looked up once.
+        result = [_raw(found[..., of_block]) for of_block in np.split(number, np.cumsum(asked)[:-1])]
         n = len(result)
         yield pa.RecordBatch.from_arrays(
             [
