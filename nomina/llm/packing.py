@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +32,7 @@ from nomina.session import materialize
 LONGEST = 1024
 END = 2
 GROUP = 16384  # pieces packed together
-CACHE = 600_000  # chunks a worker remembers: about 120 MB
+CACHE = 1_000_000  # chunks a worker remembers, by their hashes: about 50 MB
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, slot long"
 
@@ -42,7 +44,7 @@ _LEAD = np.zeros(256, dtype=bool)
 _LEAD[0xC3:0xE0] = True
 
 _tokenizers: dict[str, object] = {}
-_known: dict[str, dict[bytes, bytes]] = {}
+_known: dict[str, _Known] = {}
 
 
 def _cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -66,21 +68,47 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, np.searchsorted(starts, offsets)
 
 
-def _encode(path: str, parts: list[bytes]) -> list[bytes]:
-    """Ids of each part as little-endian unsigned 32-bit numbers."""
+class _Known:
+    """Chunks a worker has tokenised: their hashes in order, and where the ids of each are among all ids."""
+
+    def __init__(self):
+        self.hashes, self.first, self.size = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.ids = np.zeros(0, dtype="<u4")
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where each hash is; past the end, or at another one, if it is not known."""
+        return np.searchsorted(self.hashes, hashes)
+
+    def missing(self, hashes: np.ndarray) -> np.ndarray:
+        at = self.places(hashes)
+        there = np.minimum(at, max(len(self.hashes) - 1, 0))
+        return np.flatnonzero((at == len(self.hashes)) | (self.hashes[there] != hashes)) if len(self.hashes) else np.arange(len(hashes))
+
+    def add(self, hashes: np.ndarray, ids: np.ndarray, size: np.ndarray) -> None:
+        at = self.places(hashes)
+        self.first = np.insert(self.first, at, len(self.ids) + np.cumsum(size) - size)
+        self.size, self.hashes = np.insert(self.size, at, size), np.insert(self.hashes, at, hashes)
+        self.ids = np.concatenate((self.ids, ids))
+
+
+def _encode(path: str, hashes: np.ndarray, parts: Callable[[np.ndarray], list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all chunks a worker knows, and the first place and number of those of each chunk; ``parts`` gives the text of some."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     if path not in _tokenizers:
-        _tokenizers[path], _known[path] = Tokenizer.from_file(path), {}
-    tokenizer, known = _tokenizers[path], _known[path]
-    if len(known) > CACHE:
-        known.clear()
-    new = [p for p in parts if p not in known]
-    if new:
-        encoded = tokenizer.encode_batch_fast([p.decode("utf-8") for p in new], add_special_tokens=False)
-        known.update(zip(new, (np.array(e.ids, dtype="<u4").tobytes() for e in encoded), strict=True))
-    return [known[p] for p in parts]
+        _tokenizers[path] = Tokenizer.from_file(path)
+    if path not in _known or len(_known[path].hashes) > CACHE:
+        _known[path] = _Known()
+    known = _known[path]
+    new = known.missing(hashes)
+    if len(new):
+        encoded = _tokenizers[path].encode_batch_fast([p.decode("utf-8") for p in parts(new)], add_special_tokens=False)
+        size = np.fromiter(map(len, encoded), dtype=np.int64, count=len(encoded))
+        ids = chain.from_iterable(map(attrgetter("ids"), encoded))
+        known.add(hashes[new], np.fromiter(ids, dtype="<u4", count=int(size.sum())), size)
+    at = known.places(hashes)
+    return known.ids, known.first[at], known.size[at]
 
 
 def token_ids(path: str, data: np.ndarray, offsets: np.ndarray, end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
@@ -89,11 +117,10 @@ def token_ids(path: str, data: np.ndarray, offsets: np.ndarray, end: int | None
     n = len(offsets) - 1
     if len(starts):
         ends = np.append(starts[1:], len(data))
-        _, index, code = np.unique(tb.spans(tb.prefix_hashes(data), starts, ends), return_index=True, return_inverse=True)
+        hashes, index, code = np.unique(tb.spans(tb.prefix_hashes(data), starts, ends), return_index=True, return_inverse=True)
         raw = data.tobytes()
-        blobs = _encode(path, [raw[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist(), strict=True)])
-        size = np.fromiter((len(x) // 4 for x in blobs), dtype=np.int64, count=len(blobs))
-        flat, first = np.frombuffer(b"".join(blobs), dtype="<u4"), np.concatenate(([0], np.cumsum(size)[:-1]))
+        parts = lambda new: [raw[a:b] for a, b in zip(starts[index[new]].tolist(), ends[index[new]].tolist(), strict=True)]
+        flat, first, size = _encode(path, hashes, parts)
         length = size[code]
         total = np.concatenate(([0], np.cumsum(length)))
         ids = flat[np.repeat(first[code] - total[:-1], length) + np.arange(total[-1])]
