@@ -25,7 +25,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from nomina.llm import textbytes as tb
 from nomina.llm.common import block_pairs, dealt, forest, groups, ragged_binary, whole_groups, with_possible
 from nomina.operators.cluster import components
-from nomina.session import materialize
+from nomina.session import materialize, spread
 
 BITS = 3  # most bits that the SimHashes of linked lines differ in
 SIMILARITY = 0.9  # least 1 - edits / length of the longer normalised line
@@ -141,6 +141,26 @@ def _block_keys(blocks: int):
     return run
 
 
+def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys that come more than once, and how often, of a task's keys in order."""
+    last, held = 0, 0
+    for batch in batches:
+        band = batch.column("band").to_numpy()
+        if not len(band):
+            continue
+        first = np.flatnonzero(np.concatenate(([True], band[1:] != band[:-1])))
+        keys, n = band[first], np.diff(np.append(first, len(band)))
+        if held and keys[0] == last:
+            n[0] += held
+        elif held:
+            keys, n = np.append(last, keys), np.append(held, n)
+        last, held = int(keys[-1]), int(n[-1])  # may go on in the next batch
+        several = np.flatnonzero(n[:-1] > 1)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[several]), pa.array(n[several])], names=["band", "n"])
+    if held > 1:
+        yield pa.RecordBatch.from_arrays([pa.array([last], pa.int64()), pa.array([held], pa.int64())], names=["band", "n"])
+
+
 def _close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links that connect the values of each two blocks that differ in at most BITS bits.
 
@@ -319,7 +339,9 @@ def line_groups(source: DataFrame, classes: DataFrame) -> DataFrame:
     values = classes.groupBy("simhash").agg(F.count("*").alias("c"))
     # The count of stored classes, at least that of values, comes from the files' footers.
     bands = values.select("simhash").mapInArrow(_block_keys(n_blocks(classes.count())), "band long, simhash long")
-    several = materialize(bands.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1"), "line-bands")
+    # Nearly all keys differ, so counting them before the shuffle would fill a table for nothing; they are sorted after it.
+    in_order = spread(bands.select("band"), "band").sortWithinPartitions("band")
+    several = materialize(in_order.mapInArrow(_repeated, "band long, n long"), "line-bands")
     shared_bands = with_possible(bands, several, "band").filter("_possible").select("band", "simhash")
     met = block_pairs(shared_bands.join(several, "band"), "band", F.ceil(F.col("n") / BLOCK), "simhash").select("band", "i", "j", "simhash")
     close = materialize(dealt(met, "band", "i", "j").mapInArrow(_close, "name_1 long, name_2 long").distinct(), "close-simhashes")
