@@ -124,8 +124,8 @@ def n_blocks(n_values: int) -> int:
     return next((b for b in range(BITS + 2, 4 * BITS) if 64 // b * (b - BITS) >= needed), 4 * BITS)
 
 
-def _block_keys(blocks: int):
-    """Task that gives a value's bits in each choice of all but BITS blocks, with the choice's number."""
+def _block_keys(blocks: int, with_value: bool = True):
+    """Task that gives a value's bits in each choice of all but BITS blocks, with the choice's number; the value too if asked for."""
     cuts = [round(64 * i / blocks) for i in range(blocks + 1)]
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     choices = [np.uint64(sum(chosen)) for chosen in combinations(masks, blocks - BITS)]
@@ -134,9 +134,10 @@ def _block_keys(blocks: int):
         for batch in batches:
             value = batch.column("simhash").to_numpy().view(np.uint64)
             keys = np.stack([tb.mix((value & m) + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) for i, m in enumerate(choices)])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys.reshape(-1).view(np.int64)), pa.array(np.tile(value.view(np.int64), len(choices)))], names=["band", "simhash"]
-            )
+            columns = {"band": pa.array(keys.reshape(-1).view(np.int64))}
+            if with_value:
+                columns["simhash"] = pa.array(np.tile(value.view(np.int64), len(choices)))
+            yield pa.RecordBatch.from_pydict(columns)
 
     return run
 
@@ -338,9 +339,11 @@ def line_groups(source: DataFrame, classes: DataFrame) -> DataFrame:
     classes = classes.drop("c")
     values = classes.groupBy("simhash").agg(F.count("*").alias("c"))
     # The count of stored classes, at least that of values, comes from the files' footers.
-    bands = values.select("simhash").mapInArrow(_block_keys(n_blocks(classes.count())), "band long, simhash long")
+    blocks = n_blocks(classes.count())
+    bands = values.select("simhash").mapInArrow(_block_keys(blocks), "band long, simhash long")
+    keys = values.select("simhash").mapInArrow(_block_keys(blocks, with_value=False), "band long")
     # Nearly all keys differ, so counting them before the shuffle would fill a table for nothing; they are sorted after it.
-    in_order = spread(bands.select("band"), "band").sortWithinPartitions("band")
+    in_order = spread(keys, "band").sortWithinPartitions("band")
     several = materialize(in_order.mapInArrow(_repeated, "band long, n long"), "line-bands")
     shared_bands = with_possible(bands, several, "band").filter("_possible").select("band", "simhash")
     met = block_pairs(shared_bands.join(several, "band"), "band", F.ceil(F.col("n") / BLOCK), "simhash").select("band", "i", "j", "simhash")
