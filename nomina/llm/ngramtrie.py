@@ -313,16 +313,21 @@ def _shards(shard: np.ndarray) -> Iterator[tuple[int, int, int]]:
     yield from zip(shard[first].tolist(), first.tolist(), [*first[1:].tolist(), len(shard)], strict=True)
 
 
-def _distinct(contexts: np.ndarray, words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
-    """The distinct n-grams in order, the number of each given one among them, and what they count."""
+def _distinct(grams: list[tuple[np.ndarray, np.ndarray]], counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The distinct n-grams in order, the number of each given one among them, and what they count; empties the list."""
+    contexts, words = (np.concatenate(parts) for parts in zip(*grams, strict=True))
+    grams.clear()  # the largest arrays of a shard: each is let go before the next is made
     order = np.lexsort((words, contexts))
-    contexts, words = contexts[order], words[order]
+    contexts = contexts[order]
+    words = words[order]
     new = np.ones(len(order), dtype=bool)
     new[1:] = (contexts[1:] != contexts[:-1]) | (words[1:] != words[:-1])
-    number = np.empty(len(order), dtype=np.int64)
-    number[order] = np.cumsum(new) - 1
     first = np.flatnonzero(new)
-    return contexts[first], words[first], number, np.add.reduceat(counts[order], first)
+    contexts, words = contexts[first], words[first]
+    total = np.add.reduceat(counts[order], first, dtype=np.int64)
+    number = np.empty(len(order), dtype=np.int32)
+    number[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return contexts, words, number, total
 
 
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,7 +335,8 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for group in groups(batches, ("kind", "shard")):
         kind = group.column("kind")[0].as_py()
         a, c = ([v.as_py() for v in group.column(x)] for x in ("a", "c"))
-        counts = np.concatenate([_array(x, np.uint32) for x in c]).astype(np.int64)
+        counts = np.concatenate([_array(x, np.uint32) for x in c])
+        learnt = counts.sum(dtype=np.int64)
         if kind == "1":
             names = [_array(x, np.uint64) for x in a]
             asked = [len(x) for x in names]
@@ -345,8 +351,9 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for heads, ends, run in zip(a, b, d, strict=True)
             ]
             asked = [len(ends) for _, ends in grams]
-            contexts, words = (np.concatenate(parts) for parts in zip(*grams, strict=True))
-            contexts, words, number, total = _distinct(contexts, words, counts)
+            del a, b, c, d
+            contexts, words, number, total = _distinct(grams, counts)
+            del counts
             level = Successors(contexts, words, total)
             found = np.stack(level.look_up(contexts, words))
             size = level.words.n
@@ -357,7 +364,7 @@ def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 *(group.column(x).combine_chunks() for x in ("kind", "block", "shard")),
                 pa.array(np.full(n, size)),
-                pa.array(np.full(n, counts.sum())),
+                pa.array(np.full(n, learnt)),
                 pa.array(result, pa.binary()),
             ],
             names=["kind", "block", "shard", "size", "learnt", "result"],
