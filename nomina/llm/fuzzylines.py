@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from nomina.llm import textbytes as tb
 from nomina.llm.common import block_pairs, dealt, forest, groups, ragged_binary, whole_groups, with_possible
 from nomina.operators.cluster import components
-from nomina.session import materialize, spread
+from nomina.session import materialize
 
 BITS = 3  # most bits that the SimHashes of linked lines differ in
 SIMILARITY = 0.9  # least 1 - edits / length of the longer normalised line
@@ -33,6 +34,8 @@ SPARE_BITS = 8  # of a band key, beyond the bits that number the values: unlike
 BLOCK = 128  # lines, or SimHash values, of a block
 FEW = 16  # values of a band up to which groups are compared together
 FEW_EDITS = 16  # edits up to which the walk along diagonals is tried
+PART_KEYS = 1 << 19  # band keys that are sorted together, about
+HELD_KEYS = 1 << 18  # band keys that a task gathers before it deals them to parts
 
 # What normalising makes of each byte; multi-byte characters stay as they are.
 _NORMAL = tb.LOWER.copy()
@@ -124,24 +127,67 @@ def n_blocks(n_values: int) -> int:
     return next((b for b in range(BITS + 2, 4 * BITS) if 64 // b * (b - BITS) >= needed), 4 * BITS)
 
 
-def _block_keys(blocks: int, with_value: bool = True):
-    """Task that gives a value's bits in each choice of all but BITS blocks, with the choice's number; the value too if asked for."""
+def _block_keys(blocks: int):
+    """Task that gives a value's bits in each choice of all but BITS blocks, with the choice's number, and the value."""
+    keys_of = _keys_of(blocks)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value = batch.column("simhash").to_numpy().view(np.uint64)
+            keys = keys_of(value)
+            yield pa.RecordBatch.from_pydict(
+                {"band": pa.array(keys.reshape(-1).view(np.int64)), "simhash": pa.array(np.tile(value.view(np.int64), len(keys)))}
+            )
+
+    return run
+
+
+def _keys_of(blocks: int):
+    """Function that gives the band keys (choices, values) of values."""
     cuts = [round(64 * i / blocks) for i in range(blocks + 1)]
     masks = [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
     choices = [np.uint64(sum(chosen)) for chosen in combinations(masks, blocks - BITS)]
+    marks = [np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) for i in range(len(choices))]
+    return lambda value: np.stack([tb.mix((value & m) + mark) for m, mark in zip(choices, marks, strict=True)])
+
+
+def _key_parts(blocks: int, parts: int):
+    """Task that gives all band keys of its values as arrays: those of one part of the key space in a row."""
+    keys_of = _keys_of(blocks)
+    bounds = np.array([((i << 64) // parts - (1 << 63)) for i in range(1, parts)], dtype=np.int64)
+
+    def dealt_keys(held: list[np.ndarray]) -> pa.RecordBatch:
+        keys = np.sort(np.concatenate(held).view(np.int64))
+        at = np.concatenate(([0], np.searchsorted(keys, bounds), [len(keys)]))
+        some = np.flatnonzero(np.diff(at))
+        rows = ragged_binary(keys, np.append(at[some], len(keys)))
+        return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), rows], names=["part", "keys"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
         for batch in batches:
-            value = batch.column("simhash").to_numpy().view(np.uint64)
-            keys = np.stack([tb.mix((value & m) + np.uint64((i + 1) * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) for i, m in enumerate(choices)])
-            columns = {"band": pa.array(keys.reshape(-1).view(np.int64))}
-            if with_value:
-                columns["simhash"] = pa.array(np.tile(value.view(np.int64), len(choices)))
-            yield pa.RecordBatch.from_pydict(columns)
+            held.append(keys_of(batch.column("simhash").to_numpy().view(np.uint64)).reshape(-1))
+            n += len(held[-1])
+            if n >= HELD_KEYS:
+                yield dealt_keys(held)
+                held, n = [], 0
+        if n:
+            yield dealt_keys(held)
 
     return run
 
 
+def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The keys of a task's parts, each part's sorted."""
+    for part in groups(batches, ("part",)):
+        keys = np.sort(np.concatenate([np.frombuffer(row.as_buffer(), np.int64) for row in part.column("keys")]))
+        yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["band"])
+
+
+def _repeated_in_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield from _repeated(_in_order(batches))
+
+
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keys that come more than once, and how often, of a task's keys in order."""
     last, held = 0, 0
@@ -339,12 +385,14 @@ def line_groups(source: DataFrame, classes: DataFrame) -> DataFrame:
     classes = classes.drop("c")
     values = classes.groupBy("simhash").agg(F.count("*").alias("c"))
     # The count of stored classes, at least that of values, comes from the files' footers.
-    blocks = n_blocks(classes.count())
+    n_classes = classes.count()
+    blocks = n_blocks(n_classes)
     bands = values.select("simhash").mapInArrow(_block_keys(blocks), "band long, simhash long")
-    keys = values.select("simhash").mapInArrow(_block_keys(blocks, with_value=False), "band long")
-    # Nearly all keys differ, so counting them before the shuffle would fill a table for nothing; they are sorted after it.
-    in_order = spread(keys, "band").sortWithinPartitions("band")
-    several = materialize(in_order.mapInArrow(_repeated, "band long, n long"), "line-bands")
+    # Nearly all keys differ: they are shuffled as arrays, a row for a part of them, and sorted and counted as such.
+    parts = max(int(source.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_classes * comb(blocks, BITS) // PART_KEYS + 1)
+    keys = values.select("simhash").mapInArrow(_key_parts(blocks, parts), "part int, keys binary")
+    in_parts = keys.repartition(parts, "part").sortWithinPartitions("part")
+    several = materialize(in_parts.mapInArrow(_repeated_in_parts, "band long, n long"), "line-bands")
     shared_bands = with_possible(bands, several, "band").filter("_possible").select("band", "simhash")
     met = block_pairs(shared_bands.join(several, "band"), "band", F.ceil(F.col("n") / BLOCK), "simhash").select("band", "i", "j", "simhash")
     close = materialize(dealt(met, "band", "i", "j").mapInArrow(_close, "name_1 long, name_2 long").distinct(), "close-simhashes")
