@@ -14,7 +14,7 @@ from nomina.operators.fuzzyterms import similar_terms
 from nomina.operators.gramjoin import nearest_names
 from nomina.operators.ranking import take_slice, with_position
 from nomina.plans import inputs
-from nomina.session import materialize, scratch_path
+from nomina.session import materialize, scratch_path, spread_rows
 from nomina.sources import tables
 from nomina.sources.index import build_index
 from nomina.sources.store import COMPANY_FIELDS, CompanyStore, absent, validate
@@ -23,6 +23,7 @@ from nomina.streaming.ingest import stream_into, stream_pages, stream_payloads,
 Query = Callable[[SparkSession, str], DataFrame]
 
 N_TRIALS = 20
+MODEL_ROWS = 20_000  # pairs that a task encodes or compares for a model
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -613,7 +614,8 @@ def gbt_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     A tenth of the training rows, by a hash of their ids, decides when to stop; the test rows take no part.
     """
-    features = materialize(pairs.pair_features(pairs.balanced_split(inputs.name_pairs(spark, sf_dir))), "model-features")
+    table = spread_rows(pairs.balanced_split(inputs.name_pairs(spark, sf_dir)), "balanced-pairs", MODEL_ROWS)
+    features = materialize(pairs.pair_features(table), "model-features")
     train = features.filter("split <> 'test'").withColumn("is_validation", F.pmod(F.xxhash64("pair_id"), F.lit(10)) == 0)
     model = models.boosted_trees(train, validation="is_validation")
     scored = models.compare_names(model, features.filter("split = 'test'"))
@@ -627,7 +629,7 @@ def gbt_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _network(spark: SparkSession, sf_dir: str) -> tuple[network.NetworkModel, DataFrame]:
-    table = pairs.random_split(inputs.name_pairs(spark, sf_dir))
+    table = spread_rows(pairs.random_split(inputs.name_pairs(spark, sf_dir)), "model-pairs", MODEL_ROWS)
     encoder = Encoder(build_vocabulary(table, ["name_1", "name_2"]))
     encoded = models.encoded_pairs(table, encoder).select("pair_id", "is_duplicate", "split", "features")
     encoded = materialize(encoded, "encoded-pairs")
@@ -648,7 +650,7 @@ def network_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mlp_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Perceptron on character codes, evaluated on the test rows of the random split."""
-    table = pairs.random_split(inputs.name_pairs(spark, sf_dir))
+    table = spread_rows(pairs.random_split(inputs.name_pairs(spark, sf_dir)), "model-pairs", MODEL_ROWS)
     encoder = Encoder(build_vocabulary(table, ["name_1", "name_2"]))
     encoded = models.encoded_pairs(table, encoder)
     train = materialize(encoded.filter(F.col("split") == "train").select("is_duplicate", "features"), "model-train")

@@ -95,3 +95,33 @@ def test_perceptron_runs_on_encoded_pairs(spark, table):
     model = models.perceptron(encoded, inputs=16, hidden=(4,), epochs=3)
     assert models.compare_names(model, encoded).filter("score between 0 and 1").count() == table.count()
     assert models.training_history(model, spark).count() >= 1
+
+
+def test_perceptron_trains_inputs_that_never_vary_as_one(spark, table, tmp_path, monkeypatch):
+    """The whole network's losses and scores, from a fit of the inputs that vary and one more."""
+    encoded = models.encoded_pairs(table, Encoder(build_vocabulary(table, ["name_1", "name_2"]), length=30)).coalesce(1)
+    whole = models.MultilayerPerceptronClassifier(labelCol="is_duplicate", layers=[60, 5, 4, 2], maxIter=8, seed=69).fit(encoded)
+    layers = []
+    fit = models.MultilayerPerceptronClassifier._fit
+    monkeypatch.setattr(models.MultilayerPerceptronClassifier, "_fit", lambda self, rows: layers.append((self.getLayers()[0], self.getMaxIter())) or fit(self, rows))
+    model = models.perceptron(encoded, inputs=60, hidden=(5, 4), epochs=8)
+    assert max(n for n, steps in layers if steps) < 20
+    assert [r.loss for r in models.training_history(model, spark).orderBy("step").collect()] == pytest.approx(whole.summary().objectiveHistory)
+    assert list(model.stages[-1].weights) == pytest.approx(list(whole.weights), rel=1e-6, abs=1e-8)
+    longer = spark.createDataFrame([(1, "name " * 4, "Name 1", 1)], SCHEMA)  # inputs that never vary in training do here
+    longer = models.encoded_pairs(longer, Encoder(build_vocabulary(table, ["name_1", "name_2"]), length=30))
+    want = [r.probability[1] for r in whole.transform(longer).collect()]
+    assert [r.score for r in models.compare_names(model, longer).collect()] == pytest.approx(want)
+
+
+def test_trees_after_the_best_are_cut_off_without_a_fit(spark, tmp_path):
+    rng = random.Random(7)
+    rows = [(i, *(rng.random() for _ in models.TREE_FEATURES), rng.randint(0, 1)) for i in range(200)]
+    frame = spark.createDataFrame(rows, ["pair_id", *models.TREE_FEATURES, "is_duplicate"])
+    long, short = (models.boosted_trees(frame, rounds=n, max_depth=2) for n in (5, 3))
+    cut = models.PipelineModel([long.stages[0], models.first_trees(long.stages[-1], 3)])
+    assert cut.stages[-1].getNumTrees == 3 and cut.stages[-1].getPredictionCol() == "score"
+    cut.write().overwrite().save(str(tmp_path / "m"))
+    want = [r.score for r in models.compare_names(short, frame).orderBy("pair_id").collect()]
+    for model in (cut, models.PipelineModel.load(str(tmp_path / "m"))):
+        assert [r.score for r in models.compare_names(model, frame).orderBy("pair_id").collect()] == pytest.approx(want)
