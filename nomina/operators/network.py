@@ -114,7 +114,8 @@ def gradient(weights: Weights, x: np.ndarray, y: np.ndarray, kept: np.ndarray) -
         d_linear = d_rectified * (rectified > 0)
         d_w += a.T @ d_linear
         d_b += d_linear.sum(axis=0)
-        d_a = d_linear @ w.T
+        if a is not x:  # nothing lies below the first layer
+            d_a = d_linear @ w.T
     return out, loss, right, moments
 
 
