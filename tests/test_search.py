@@ -205,3 +205,21 @@ def test_blocks_out_of_reach_are_not_opened(spark, monkeypatch):
         return sum(seen)
 
     assert met(2000) <= met(200) + 20
+
+
+@pytest.mark.parametrize("most_members", [0, 1 << 20])
+def test_hot_terms_are_exact_with_the_descent_and_without(spark, monkeypatch, most_members):
+    """A query with fewer than ten texts by rare terms meets all groups, whether it descends first or not."""
+    monkeypatch.setattr(R, "MOST_MEMBERS", most_members)
+    descents, descend = [], R._descend
+    monkeypatch.setattr(R, "_descend", lambda *a: descents.append(1) or descend(*a))
+    names = [f"bank of {i:05d}x trade" for i in range(400)] + ["bank trade"] * 3 + [f"bank trade z{i}" for i in range(12)]
+    index = build_index(spark.createDataFrame([(i, t, "", t, "") for i, t in enumerate(names)], "doc_id long, company_name string, company_url string, normalized_name string, query_string string"), ["normalized_name"], hot_texts=20)
+    queries = spark.createDataFrame([(1, "bank trade"), (2, "bank z7"), (3, "of 00012x bank")], "query_no long, query string")
+    best = {}
+    for r in R.field_hits(index, queries, 0).orderBy("query_no", "hit_rank").collect():
+        best.setdefault(r.query_no, []).append(r.doc_id)
+    assert best[1] == list(range(400, 410))
+    assert best[2] == [410, *range(400, 409)]
+    assert best[3] == [12, *(i for i in range(10) if i != 12)][:10]
+    assert len(descents) == (most_members == 0)
