@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from nomina.functions import similarity as S
+from nomina.operators import fuzzyterms
 from nomina.operators.fuzzyterms import long_candidates, similar_terms
 
 # ratio, partial, token sort, token set by indel and by difflib, and the shared share.
@@ -175,3 +176,15 @@ def test_long_terms_empty_tables_nulls_and_repeated_grams(spark):
     got = {(len(r.token), len(r.term), r.distance) for r in similar_terms(tokens, terms, 2).collect()}
     assert got == {(29, 30, 1), (29, 31, 2), (32, 30, 2), (32, 31, 1), (30, 30, 1)}
     assert similar_terms(tokens, terms.limit(0), 2).isEmpty()
+
+
+@pytest.mark.parametrize("limit", [1, 2])
+def test_long_terms_of_few_syllables_meet_by_segments(spark, limit):
+    """Three letters at a place tell little where a few syllables make up all terms; a fifth of the term tells much."""
+    r = random.Random(limit)
+    words = ["".join(r.choice(("the", "ing", "ion", "ent", "rea", "oun")) for _ in range(12)) for _ in range(500)]
+    typed = [w[:7] + w[8:] if i % 2 else w[:20] + "x" + w[20:] for i, w in enumerate(words[:50])]
+    terms, tokens = (spark.createDataFrame([(w,) for w in sorted(set(x))], f"{c} string") for x, c in ((words, "term"), (typed, "token")))
+    assert long_candidates(tokens, terms, limit).count() * 4 < fuzzyterms._by_rarest_grams(tokens, terms, limit).count()
+    found = {(x.token, x.term) for x in similar_terms(tokens, terms, limit).collect()}
+    assert {(t, w) for t, w in zip(typed, words)} <= found
