@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from nomina.operators import fuzzyterms, search, termproduct
@@ -82,3 +83,17 @@ def test_profiles_are_dealt_by_query_once(spark):
     queries = spark.createDataFrame([(i, f"common word{i + 1}") for i in range(40)], "query_no long, query string")
     plan = _operators(search._profiles(build_index(companies), queries, 0))
     assert plan.count("Exchange hashpartitioning(query_no") == 1
+
+
+def test_sums_of_few_matches_are_those_of_all_rows(monkeypatch):
+    """A query with few matches does not go through all texts of a block; its sums are the same to the last bit."""
+    r = np.random.default_rng(4)
+    row, gain = r.integers(0, 5000, 200), r.random(200)
+    counted, bincount = [], np.bincount
+    monkeypatch.setattr(np, "bincount", lambda x, w, n: counted.append(n) or bincount(x, w, n))
+    few = termproduct._sums(row, gain, 5000)
+    assert max(counted) <= 200
+    monkeypatch.setattr(termproduct, "FEW", 0)
+    every = termproduct._sums(row, gain, 5000)
+    assert all(np.array_equal(x, y) for x, y in zip(few, every))
+    assert [len(x) for x in termproduct._sums(row[:0], gain[:0], 9)] == [0, 0]
